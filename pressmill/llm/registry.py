@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pressmill.llm import exact_dedup
+from pressmill.llm import exact_dedup, quality, toxicity
 
 
 def queries() -> dict:
-    return {"op7_exact_dedup": exact_dedup.op7_exact_dedup}
+    return {
+        "op5_toxicity": toxicity.op5_toxicity,
+        "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+        "op8_quality_classifier": quality.op8_quality_classifier,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
