@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pressmill.llm import exact_dedup, quality, toxicity
+from pressmill.llm import exact_dedup, packing, quality, toxicity
 
 
 def queries() -> dict:
     return {
         "op5_toxicity": toxicity.op5_toxicity,
+        "op6_best_fit_packing": packing.op6_best_fit_packing,
         "op7_exact_dedup": exact_dedup.op7_exact_dedup,
         "op8_quality_classifier": quality.op8_quality_classifier,
     }
