@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pressmill.llm import exact_dedup, packing, quality, toxicity
+from pressmill.llm import exact_dedup, packing, pieces, quality, toxicity
 
 
 def queries() -> dict:
     return {
+        "op10_sentencepiece": pieces.op10_sentencepiece,
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_best_fit_packing": packing.op6_best_fit_packing,
         "op7_exact_dedup": exact_dedup.op7_exact_dedup,

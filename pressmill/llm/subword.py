@@ -10,6 +10,7 @@ trained model is shipped as one number a feature, a table of fixed size, and who
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -149,7 +150,7 @@ def fit(labels: np.ndarray, ids: list[np.ndarray], shares: list[np.ndarray], pos
         unique, inverse = np.unique(flat, return_inverse=True)
         sizes = np.array([len(ids[i]) for i in rows])
         row = np.repeat(np.arange(len(rows)), sizes)
-        return unique, inverse, row, np.concatenate([shares[i] for i in rows]), labels[rows]
+        return unique, inverse.astype(np.int32), row.astype(np.int16), np.concatenate([shares[i] for i in rows]), labels[rows]
 
     batches = [pack(train[i : i + s.batch]) for i in range(0, len(train), s.batch)]
     seen = np.zeros(1 << s.bits, np.int32)
@@ -213,9 +214,12 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, s: Settings, id_co
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     rows = plain.join(F.broadcast(sample), "doc_id").select("label", "text").mapInArrow(featurize(s), "label int, ids binary, shares binary").toArrow()
     known.unpersist()
-    # a fixed order, whatever the order of the tasks
-    found = sorted(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), rows.column(2).to_pylist()))
-    return fit(np.array([r[0] for r in found], np.int64), [np.frombuffer(r[1], np.int32) for r in found], [np.frombuffer(r[2], np.float32) for r in found], counts.get(1, 0), counts.get(0, 0), s)
+    # a fixed order, whatever the order of the tasks; the arrays stay where Arrow has them
+    known_labels = rows.column(0).to_numpy()
+    ids = [np.frombuffer(v.as_buffer(), np.int32) for v in rows.column(1)]
+    shares = [np.frombuffer(v.as_buffer(), np.float32) for v in rows.column(2)]
+    order = sorted(range(len(ids)), key=lambda i: (known_labels[i], hashlib.sha256(ids[i].tobytes()).digest()))
+    return fit(known_labels[order].astype(np.int64), [ids[i] for i in order], [shares[i] for i in order], counts.get(1, 0), counts.get(0, 0), s)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
