@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pressmill.llm import exact_dedup, packing, pieces, quality, toxicity
+from pressmill.llm import exact_dedup, imatch, packing, pieces, quality, toxicity
 
 
 def queries() -> dict:
     return {
         "op10_sentencepiece": pieces.op10_sentencepiece,
+        "op2_document_fingerprints": imatch.op2_document_fingerprints,
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_best_fit_packing": packing.op6_best_fit_packing,
         "op7_exact_dedup": exact_dedup.op7_exact_dedup,
