@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pressmill.llm import exact_dedup, imatch, packing, pieces, quality, toxicity
+from pressmill.llm import exact_dedup, imatch, packing, pieces, pii, quality, toxicity
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op6_best_fit_packing": packing.op6_best_fit_packing,
         "op7_exact_dedup": exact_dedup.op7_exact_dedup,
         "op8_quality_classifier": quality.op8_quality_classifier,
+        "op9_private_data": pii.op9_private_data,
     }
 
 
