@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pressmill.llm import exact_dedup, imatch, packing, pieces, pii, quality, toxicity
+from pressmill.llm import exact_dedup, html_text, imatch, packing, pieces, pii, quality, toxicity
 
 
 def queries() -> dict:
     return {
+        "op1_html_extraction": html_text.op1_html_extraction,
         "op10_sentencepiece": pieces.op10_sentencepiece,
         "op2_document_fingerprints": imatch.op2_document_fingerprints,
         "op5_toxicity": toxicity.op5_toxicity,
