@@ -335,8 +335,9 @@ def sample_page(rng: random.Random) -> tuple[str, list[str]]:
 
     def words(n: int, stop: bool = True) -> str:
         out = [rng.choice(stems) + rng.choice(("", "", rng.choice(stems))) for _ in range(max(1, n))]
+        rate = rng.choice((0.03, 0.12, 0.12, 0.12, 0.4, 1))
         for i in range(len(out)):
-            if stop and rng.random() < 0.12:
+            if stop and rng.random() < rate:
                 out[i] += rng.choice((",", ",", ".", "."))
         return " ".join(out).capitalize() + ("." if stop else "")
 
