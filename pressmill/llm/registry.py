@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pressmill.llm import exact_dedup, html_text, imatch, near_dedup, packing, pieces, pii, quality, toxicity
+from pressmill.llm import exact_dedup, html_text, imatch, near_dedup, packing, pieces, pii, quality, repeats, toxicity
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op10_sentencepiece": pieces.op10_sentencepiece,
         "op2_document_fingerprints": imatch.op2_document_fingerprints,
         "op3_minhash_near_dedup": near_dedup.op3_minhash_near_dedup,
+        "op4_suffix_array_dedup": repeats.op4_suffix_array_dedup,
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_best_fit_packing": packing.op6_best_fit_packing,
         "op7_exact_dedup": exact_dedup.op7_exact_dedup,
