@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -40,3 +40,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id and the text; other columns, whatever their names, never get in the way. Null text counts as empty."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def kept_rows(docs: DataFrame, decided: DataFrame, digest: Column, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that ``decided`` (doc_id, text_sha256, kept) keeps, one of each id and text."""
+    keep = decided.where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
+    sha, place = free_name(docs, "_sha"), free_name(docs, "_place")
+    rows = docs.withColumn(sha, digest)
+    rows = rows.join(keep, rows[id_col].cast("long").eqNullSafe(F.col("_kept_id")) & (rows[sha] == F.col("_kept_sha")), "left_semi")
+    first = F.row_number().over(Window.partitionBy(id_col, sha).orderBy(sha))
+    return rows.withColumn(place, first).where(F.col(place) == 1).select(*docs.columns)

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressmill.llm.common import small_batches, staged, table, texts
+from pressmill.llm.common import kept_rows, small_batches, staged, table, texts
 
 WHITE = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 #: Bytes of different contents that a table holds before it spills.
@@ -198,6 +198,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows and columns of the documents that stay."""
+    digest = F.sha2(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"[\x20\x09-\x0D]+", " "), 256)
+    return kept_rows(docs, exact_dedup(docs, id_col, text_col), digest, id_col)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 

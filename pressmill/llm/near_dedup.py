@@ -22,10 +22,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressmill.llm.common import small_batches, staged, table, texts
+from pressmill.llm.common import kept_rows, small_batches, staged, table, texts
 
 SHINGLE = 5
 REGISTERS, BAND = 120, 5
@@ -143,8 +143,8 @@ def word_key(folded: bytes) -> bytes:
 
 
 def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) to (uid, doc_id, key, bands, registers); of a key seen before in the partition only the id."""
-    schema = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("key", pa.binary()), ("bands", pa.list_(pa.int64())), ("registers", pa.list_(pa.int32()))])
+    """(doc_id, text) to (uid, doc_id, sha, key, bands, registers); of a key seen before in the partition only the id."""
+    schema = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("sha", pa.binary()), ("key", pa.binary()), ("bands", pa.list_(pa.int64())), ("registers", pa.list_(pa.int32()))])
     uid, hashed, seen = (TaskContext.get().partitionId() << 36) if TaskContext.get() else 0, Words(), set()
     for batch in batches:
         for start, part in chunks(batch, 1):
@@ -159,7 +159,8 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for i, b, r, size in zip(new, bands(winner), (winner & np.uint64(0x7FFFFFFF)).astype(np.int32), sizes):
                     band_lists[i], register_lists[i] = (b, r) if size else ([], [])
             ids = batch.column(0).slice(start, len(part))
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(uid, uid + len(part))), ids, pa.array(keys, pa.binary()), pa.array(band_lists, schema.field(3).type), pa.array(register_lists, schema.field(4).type)], schema=schema)
+            shas = [hashlib.sha256(batch.column(1)[i].as_buffer()).digest() for i in range(start, start + len(part))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(uid, uid + len(part))), ids, pa.array(shas, pa.binary()), pa.array(keys, pa.binary()), pa.array(band_lists, schema.field(4).type), pa.array(register_lists, schema.field(5).type)], schema=schema)
             uid += len(part)
 
 
@@ -222,10 +223,11 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """One row per input row: doc_id, class_id, class_size, n_links (verified links of its text) and kept."""
+    """One row per input row: doc_id, class_id, class_size, n_links (verified links of its text), kept and
+    text_sha256 (of the text as it is)."""
     small_batches(docs.sparkSession)
     plain = texts(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("text"))
-    rows = staged(plain.mapInArrow(sketch, "uid long, doc_id long, key binary, bands array<long>, registers array<int>"), "sketches")
+    rows = staged(plain.mapInArrow(sketch, "uid long, doc_id long, sha binary, key binary, bands array<long>, registers array<int>"), "sketches")
     # sketches repeat for a key once a partition at most; explode before folding keeps arrays out of the shuffle
     buckets = rows.where("bands is not null").select("key", F.explode("bands").alias("bucket")).distinct()
     pivots = buckets.groupBy("bucket").agg(F.min("key").alias("pivot"), F.max("key").alias("other")).where("pivot <> other").select("bucket", "pivot")
@@ -259,10 +261,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             links = staged(links.unionByName(verified(more)), "links")
             labels = components(links)
     degree = links.select("key").union(links.select("pivot")).groupBy("key").agg(F.count("*").alias("n_links"))
-    placed = rows.select("uid", "doc_id", "key").join(labels, "key", "left").join(degree, "key", "left")
-    placed = placed.select("uid", "doc_id", F.coalesce("label", "key").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    placed = rows.select("uid", "doc_id", "sha", "key").join(labels, "key", "left").join(degree, "key", "left")
+    placed = placed.select("uid", "doc_id", "sha", F.coalesce("label", "key").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     classes = placed.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("head"), F.count("*").alias("class_size"))
-    return placed.join(classes, "label").select("doc_id", F.col("head.doc_id").alias("class_id"), "class_size", "n_links", (F.col("uid") == F.col("head.uid")).alias("kept"))
+    return placed.join(classes, "label").select("doc_id", F.col("head.doc_id").alias("class_id"), "class_size", "n_links", (F.col("uid") == F.col("head.uid")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows and columns of one document of each class."""
+    return kept_rows(docs, near_duplicates(docs, id_col, text_col), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256), id_col)
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -138,13 +138,14 @@ def surrogates(forms: DataFrame, key: str) -> DataFrame:
     return checked.select("kind", "form", "surrogate")
 
 
-def replace_private(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The same rows and columns with the text rewritten, and ``n_entities`` last (replacing a column of that name)."""
-    names = [c for c in docs.columns if c != "n_entities"]
+def replace_private(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = "n_entities") -> DataFrame:
+    """The same rows and columns with the text rewritten, and last the number of entities (where ``count_col`` is set; it
+    replaces a column of that name)."""
+    names = [c for c in docs.columns if c != count_col]
     text = F.col(text_col)
     ents = F.when(text.rlike(MAYBE), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>"))
     rows = docs.select(*names, F.coalesce(ents, F.array().cast("array<string>")).alias("_ents"))
-    clean = rows.where(F.size("_ents") == 0).select(*names, F.lit(0).alias("n_entities"))
+    clean = rows.where(F.size("_ents") == 0).select(*names, *([F.lit(0).alias(count_col)] if count_col else []))
     held = staged(rows.where(F.size("_ents") > 0).withColumn("_row", F.sha2(F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")), text), 256)), "private")
     mentions = held.select("_row", F.posexplode("_ents").alias("_at", "e")).select("_row", "_at", "e", F.posexplode(F.expr(PARTS)).alias("_part", "p"))
     mentions = mentions.select("_row", "_at", "e", "_part", F.col("p.kind").alias("kind"), F.col("p.form").alias("form"))
@@ -154,7 +155,7 @@ def replace_private(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", tex
     per_row = written.groupBy("_row").agg(F.expr("transform(sort_array(collect_list(struct(_at, new))), x -> x.new)").alias("_new"))
     between = F.split(text, ENTITY, -1)
     rewritten = F.array_join(F.concat(F.transform(F.col("_new"), lambda new, i: F.concat(F.element_at(between, i + 1), new)), F.array(F.element_at(between, -1))), "")
-    dirty = held.join(per_row, "_row").select(*[rewritten.alias(c) if c == text_col else F.col(c) for c in names], F.size("_new").alias("n_entities"))
+    dirty = held.join(per_row, "_row").select(*[rewritten.alias(c) if c == text_col else F.col(c) for c in names], *([F.size("_new").alias(count_col)] if count_col else []))
     return clean.unionByName(dirty)
 
 

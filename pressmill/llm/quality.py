@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pressmill.llm import subword
-from pressmill.llm.common import table
+from pressmill.llm.common import free_name, table
 
 SETTINGS = subword.Settings()
 THRESHOLD = 0.3
@@ -19,5 +19,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame, settings: subword.Setting
     return subword.judged(subword.score(docs, subword.train(docs, labels, "quality", settings)), threshold)
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, settings: subword.Settings = SETTINGS, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows and columns of documents that are not rejected."""
+    name = free_name(docs, "score")
+    model = subword.train(docs, labels, "quality", settings)
+    return subword.scored(docs, model, name).where(f"`{name}` >= {threshold}").drop(name)
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

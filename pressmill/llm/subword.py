@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from pressmill.llm.common import small_batches
 
@@ -222,17 +223,18 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, s: Settings, id_co
     return fit(known_labels[order].astype(np.int64), [ids[i] for i in order], [shares[i] for i in order], counts.get(1, 0), counts.get(0, 0), s)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and score, the probability of label 1, of every whole text; an empty or null text gets the prior."""
+def scored(docs: DataFrame, model: Model, name: str, text_col: str = "text") -> DataFrame:
+    """All rows and columns, and in column ``name`` the probability of label 1 of every whole text; an empty or null text
+    gets the prior."""
     spark = docs.sparkSession
     small_batches(spark)
     weights, bias, settings = spark.sparkContext.broadcast(model.weights), model.bias, model.settings
-    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
+    at_text = docs.columns.index(text_col)
 
     def run(batches):
         hasher, w = Hasher(settings), weights.value
         for batch in batches:
-            texts = [v.as_buffer().to_pybytes() for v in batch.column(1)]
+            texts = [v.as_buffer().to_pybytes() if v.is_valid else b"" for v in batch.column(at_text)]
             total, count = np.zeros(len(texts)), np.zeros(len(texts))
             for owners, starts, data in pieces(texts):
                 for at, bucket in hasher(data):
@@ -241,10 +243,14 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                     np.add.at(total, owners, np.diff(sums))
                     np.add.at(count, owners, np.diff(bounds))
             z = np.clip(total / np.maximum(count, 1) + bias, -30, 30)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-z)))], schema=schema)
+            yield batch.append_column(name, pa.array(1 / (1 + np.exp(-z))))
 
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    return plain.mapInArrow(run, "doc_id long, score double")
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
+
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and score of every row."""
+    return scored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), model, "score").select("doc_id", "score")
 
 
 def judged(scores: DataFrame, threshold: float) -> DataFrame:
