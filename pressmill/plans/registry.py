@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from pressmill.plans import lens_queries, report_queries
+
+MODULES = (report_queries, lens_queries)
+
 
 def queries() -> dict:
-    return {}
+    return {name: query for module in MODULES for name, query in module.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for module in MODULES for name, sql in module.SQL.items()}
