@@ -52,9 +52,9 @@ def free_name(df: DataFrame, name: str) -> str:
 
 def kept_rows(docs: DataFrame, decided: DataFrame, digest: Column, id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that ``decided`` (doc_id, text_sha256, kept) keeps, one of each id and text."""
-    keep = decided.where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
-    sha, place = free_name(docs, "_sha"), free_name(docs, "_place")
+    sha, place, kept_id, kept_sha = (free_name(docs, n) for n in ("_sha", "_place", "_kept_id", "_kept_sha"))
+    keep = decided.where("kept").select(F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(kept_sha))
     rows = docs.withColumn(sha, digest)
-    rows = rows.join(keep, rows[id_col].cast("long").eqNullSafe(F.col("_kept_id")) & (rows[sha] == F.col("_kept_sha")), "left_semi")
+    rows = rows.join(keep, F.col(id_col).cast("long").eqNullSafe(F.col(kept_id)) & (F.col(sha) == F.col(kept_sha)), "left_semi")
     first = F.row_number().over(Window.partitionBy(id_col, sha).orderBy(sha))
     return rows.withColumn(place, first).where(F.col(place) == 1).select(*docs.columns)

@@ -76,7 +76,7 @@ def shingles(words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarr
     h = np.zeros(len(words), np.uint64)
     for k in range(SHINGLE):
         there = np.zeros(len(words), np.uint64)
-        there[: len(words) - k] = words[k:] * np.uint64(ODD[k])
+        there[: max(0, len(words) - k)] = words[k:] * np.uint64(ODD[k])
         h += np.where(left > k, there, np.uint64(0))
     whole = sizes[owner]
     use = (left >= SHINGLE) | ((whole < SHINGLE) & (left == whole))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pressmill.llm.common import staged, table
+from pressmill.llm.common import free_name, staged, table
 
 KEY = "surrogates"
 ROUNDS = 12
@@ -143,19 +143,20 @@ def replace_private(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", tex
     replaces a column of that name)."""
     names = [c for c in docs.columns if c != count_col]
     text = F.col(text_col)
+    found, row, new = (free_name(docs, n) for n in ("_entities", "_row", "_new"))
     ents = F.when(text.rlike(MAYBE), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    rows = docs.select(*names, F.coalesce(ents, F.array().cast("array<string>")).alias("_ents"))
-    clean = rows.where(F.size("_ents") == 0).select(*names, *([F.lit(0).alias(count_col)] if count_col else []))
-    held = staged(rows.where(F.size("_ents") > 0).withColumn("_row", F.sha2(F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")), text), 256)), "private")
-    mentions = held.select("_row", F.posexplode("_ents").alias("_at", "e")).select("_row", "_at", "e", F.posexplode(F.expr(PARTS)).alias("_part", "p"))
+    rows = docs.select(*names, F.coalesce(ents, F.array().cast("array<string>")).alias(found))
+    clean = rows.where(F.size(found) == 0).select(*names, *([F.lit(0).alias(count_col)] if count_col else []))
+    held = staged(rows.where(F.size(found) > 0).withColumn(row, F.sha2(F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")), text), 256)), "private")
+    mentions = held.select(F.col(row).alias("_row"), F.posexplode(found).alias("_at", "e")).select("_row", "_at", "e", F.posexplode(F.expr(PARTS)).alias("_part", "p"))
     mentions = mentions.select("_row", "_at", "e", "_part", F.col("p.kind").alias("kind"), F.col("p.form").alias("form"))
     mapping = surrogates(mentions.select("kind", "form").distinct(), key)
     written = mentions.join(mapping, ["kind", "form"]).groupBy("_row", "_at", "e").agg(F.sort_array(F.collect_set(F.struct("_part", "surrogate"))).alias("found"))
     written = written.select("_row", "_at", F.col("e"), F.expr("transform(found, x -> x.surrogate)").alias("s")).select("_row", "_at", F.expr(WRITTEN).alias("new"))
-    per_row = written.groupBy("_row").agg(F.expr("transform(sort_array(collect_list(struct(_at, new))), x -> x.new)").alias("_new"))
+    per_row = written.groupBy("_row").agg(F.expr("transform(sort_array(collect_list(struct(_at, new))), x -> x.new)").alias(new)).withColumnRenamed("_row", row)
     between = F.split(text, ENTITY, -1)
-    rewritten = F.array_join(F.concat(F.transform(F.col("_new"), lambda new, i: F.concat(F.element_at(between, i + 1), new)), F.array(F.element_at(between, -1))), "")
-    dirty = held.join(per_row, "_row").select(*[rewritten.alias(c) if c == text_col else F.col(c) for c in names], *([F.size("_new").alias(count_col)] if count_col else []))
+    rewritten = F.array_join(F.concat(F.transform(F.col(new), lambda one, i: F.concat(F.element_at(between, i + 1), one)), F.array(F.element_at(between, -1))), "")
+    dirty = held.join(per_row, row).select(*[rewritten.alias(c) if c == text_col else F.col(c) for c in names], *([F.size(new).alias(count_col)] if count_col else []))
     return clean.unionByName(dirty)
 
 
