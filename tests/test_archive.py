@@ -105,3 +105,21 @@ def test_issue_text_is_dealt_out(spark):
     arts = spark.createDataFrame([(1, 1, "La primera nota larga"), (1, 2, "Segunda nota de prueba"), (1, 3, "Breve")], "issue_id int, id int, title string")
     got = {r["id"]: r["part"] for r in rescue.split_issue(texts, arts).collect()}
     assert got == {1: "La primera nota larga empieza aquí.", 2: "Segunda nota de prueba: fin."}
+
+
+def test_streamed_records_become_snapshots(spark, tmp_path):
+    from pressmill.sources import snapshots
+    from pressmill.streaming.ingest import ingest
+
+    incoming, state, checkpoint = (str(tmp_path / n) for n in ("in", "state", "checkpoint"))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"url": "u", "title": "one", "published_date": "2020-01-01", "publication": "p", "scraped_at": "1"}\n{"url": "u", "title": "two", "scraped_at": "2"}\n')
+    ingest(spark, incoming, state, checkpoint).awaitTermination(120)
+    (tmp_path / "in" / "b.json").write_text('{"url": "u", "subtitle": "s", "issue_url": "i", "publication": "q", "scraped_at": "3"}\n{"url": "v", "title": "new", "scraped_at": "3"}\n')
+    ingest(spark, incoming, state, checkpoint).awaitTermination(120)
+    rows = {r["url"]: r for r in snapshots.current(spark, state).collect()}
+    assert snapshots.versions(spark, state) == [1, 2] and set(rows) == {"u", "v"}
+    assert (rows["u"]["title"], rows["u"]["subtitle"], rows["u"]["issue_url"], rows["u"]["publication"]) == (None, "s", "i", None)
+    ingest(spark, incoming, state, checkpoint).awaitTermination(120)
+    assert snapshots.versions(spark, state) == [1, 2]
+    assert snapshots.write_version(snapshots.current(spark, state), state) == 3
