@@ -1,7 +1,7 @@
 """Surrogates for personal data, with DataFrame functions only.
 
-Entities (e-mail and IP addresses, telephone, card, account and social security numbers, access keys, names after a
-form of address) are found by one pattern. What identifies an entity is its canonical form: digits alone for numbers,
+Entities (e-mail and IP addresses, telephone, card, account and social security numbers, access keys, values of
+keys named as such, names after a form of address) are found by one pattern. What identifies an entity is its canonical form: digits alone for numbers,
 lower case for addresses and keys, the single name for persons. Each canonical form gets a surrogate derived from a key
 by SHA-256, so that all its mentions, in whatever format, get the same one: digits stay digits, letters stay letters of
 their script, a valid card number stays valid, the domain of an address is replaced alike everywhere, a given name keeps
@@ -26,6 +26,8 @@ ROUNDS = 12
 # Fixed patterns, one for each kind of entity, tried in this order at each place.
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 GAP = r"[!#$%&*|,;]{0,4}[ .-]?"  # between the groups of a telephone number
+KEY_NAMES = r"(?i:password|passwd|pwd|secret|api[_-]?key|access[_-]?key|token)"
+KEYED = rf"(?<![\p{{L}}\p{{N}}]){KEY_NAMES}(?:=[\"']?|\s{{0,2}}[=:]\s{{0,2}}[\"']?(?=[A-Za-z+/_-]*\d))[A-Za-z0-9+/_-]{{6,}}+"
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+"
 SECRET = r"(?<![\p{L}\p{N}])(?:[0-9a-fA-F]{32,}+|(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}+|sk-[A-Za-z0-9_-]{20,}+)(?![\p{L}\p{N}])"
 IP = rf"(?<![\p{{N}}.])(?:{OCTET}\.){{3}}{OCTET}(?!\p{{N}}|\.\p{{N}})"
@@ -35,9 +37,9 @@ CARD = r"(?<![\p{L}\p{N}])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\
 PHONE = rf"(?<![\p{{N}}+])(?:\+\d{{1,3}}{GAP})?(?:\(\d{{2,4}}\){GAP}|\d{{3}}[.-])\d{{3}}{GAP}\d{{4}}(?!\p{{N}})|(?<![\p{{N}}+])\+\d{{1,3}}(?:[ .-]?\d{{2,4}}){{3,4}}(?!\p{{N}})"
 MALE, FEMALE = r"Mr|Herr|Monsieur|Señor|Sr|г-н", r"Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|г-жа"
 NAME = rf"(?<![\p{{L}}])(?:{FEMALE}|{MALE})\.? \p{{Lu}}[\p{{Ll}}'-]+(?: \p{{Lu}}[\p{{Ll}}'-]+)?"
-ENTITY = "|".join((EMAIL, SECRET, IP, IBAN, SSN, CARD, PHONE, NAME))
+ENTITY = "|".join((KEYED, EMAIL, SECRET, IP, IBAN, SSN, CARD, PHONE, NAME))
 #: What every entity has; a cheap test that spares most texts the search.
-MAYBE = rf"[0-9@]|(?:{FEMALE}|{MALE})\.? \p{{Lu}}"
+MAYBE = rf"[0-9@]|{KEY_NAMES}=|(?:{FEMALE}|{MALE})\.? \p{{Lu}}"
 # Syllables of made-up names, by script.
 LATIN = ("ba", "ce", "do", "fi", "ga", "he", "jo", "ki", "la", "me", "no", "pi", "ra", "se", "to", "vi", "wa", "xe", "yo", "zu")
 CYRILLIC = ("ба", "ве", "го", "ди", "жа", "зе", "ко", "ли", "ма", "не", "по", "ри", "са", "те", "фо", "хи", "ца", "че", "шо", "ю")
@@ -50,6 +52,8 @@ def quoted(values: tuple[str, ...]) -> str:
 #: Entity e to its parts: (kind, canonical form).
 PARTS = rf"""
 case
+  when e rlike r'^{KEY_NAMES}\s{{0,2}}[=:]' then transform(array(regexp_extract(e, r'([A-Za-z0-9+/_-]+)\z', 1)),
+    v -> named_struct('kind', 'secret', 'form', if(v rlike r'^[0-9a-fA-F]+\z', lower(v), v)))
   when contains(e, '@') then array(named_struct('kind', 'email', 'form', lower(e)))
   when e rlike r'^(?:{OCTET}\.){{3}}{OCTET}\z' then array(named_struct('kind', 'ip', 'form', e))
   when e rlike r'^(?:[0-9a-fA-F]{{32,}}|AKIA|ASIA|gh[pousr]_|sk-)' then array(named_struct('kind', 'secret', 'form', if(e rlike r'^[0-9a-fA-F]+\z', lower(e), e)))
@@ -113,6 +117,7 @@ end"""
 #: Entity e with the surrogates s of its parts written in the entity's own format.
 WRITTEN = rf"""
 case
+  when e rlike r'^{KEY_NAMES}\s{{0,2}}[=:]' then concat(regexp_replace(e, r'[A-Za-z0-9+/_-]+\z', ''), if(e rlike r'[0-9A-F]+\z' and e = upper(e), upper(s[0]), s[0]))
   when e rlike r'^\p{{L}}+\.? ' and e not rlike '[0-9@]' then concat(regexp_extract(e, r'^(?:{FEMALE}|{MALE})\.? ', 0), array_join(transform(s, w -> concat(upper(substring(w, 1, 1)), substring(w, 2))), ' '))
   when contains(e, '@') or contains(e, '.') and e rlike r'^[\d.]+\z' then if(e = upper(e) and e <> lower(e), upper(s[0]), s[0])
   when e rlike r'^[0-9a-fA-F]{{32,}}\z' then if(e = upper(e), upper(s[0]), s[0])

@@ -51,7 +51,7 @@ def test_surrogates(spark):
         (3, "4539 5787 6362 1486, 4539578763621486, token = \"24be64439e3e49cf46b2d7c90f3602a3d0b907ff\""),
         (4, "Llamó la señora. Frau Müller y Herr Müller; Mrs. Ana Smith"),
         (5, "+1 983 555 7102 y +1!! (983)!! 555-7102"),
-        (6, None), (7, ""), (8, "nada que ver, 2019 y 3,5"), (8, "nada que ver, 2019 y 3,5"), (None, "x@y.org"), (9, "ß" * 100_000 + " 1.2.3.4"),
+        (6, None), (7, ""), (8, "nada que ver, 2019 y 3,5"), (8, "nada que ver, 2019 y 3,5"), (None, "x@y.org"), (10, "password=e9b9ed9cc9 y PASSWORD=E9B9ED9CC9!! Api-Key: \"Zx81_kq\" secret: nada"), (9, "ß" * 100_000 + " 1.2.3.4"),
     ]
     df = frame(spark, rows)
     out = pii.replace_private(df)
@@ -70,6 +70,8 @@ def test_surrogates(spark):
     assert frau == herr and re.search(r"Mrs\. \w+na \w+", text[4])
     assert re.sub(r"\D", "", text[5])[:11] == re.sub(r"\D", "", text[5])[11:] == re.sub(r"\D", "", text[1])
     assert text[6] is None and text[7] == "" and text[8] == "nada que ver, 2019 y 3,5" and len(text[9]) == 100_008
+    low, high, own = re.fullmatch(r'password=([0-9a-f]{10}) y PASSWORD=([0-9A-F]{10})!! Api-Key: "(\S+)" secret: nada', text[10]).groups()
+    assert low == high.lower() != "e9b9ed9cc9" and own != "Zx81_kq" and re.fullmatch(r"[A-Z][a-z]\d\d_[a-z]{2}", own)
     again = {r["doc_id"]: r["text"] for r in pii.replace_private(df.repartition(3)).collect()}
     assert again == text and {r["doc_id"]: r["text"] for r in pii.replace_private(df, key="other").collect()} != text
     assert pii.replace_private(df.limit(0)).count() == 0
