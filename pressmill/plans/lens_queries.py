@@ -41,6 +41,7 @@ QUERIES = {
     "term_period": lambda spark, d: lens.term_period(docs_of(spark, d, False)),
     "period_density": lambda spark, d: lens.period_density(docs_of(spark, d, False)),
     "vocab_size": lambda spark, d: lens.vocabulary(docs_of(spark, d, False)).agg(F.count("*").alias("terms"), F.sum("total").cast("bigint").alias("pairs")),
+    "scale_factors": lambda spark, d: lens.corpus_health(docs_of(spark, d)).select("period", "factor"),
     "corpus_health": lambda spark, d: lens.corpus_health(docs_of(spark, d)),
     "lens_rising": changed(True),
     "lens_falling": changed(False),
@@ -106,6 +107,7 @@ SQL = {
     "term_period": sql(ARTICLES_SQL, "articles", "select term, period, count(*) as n from found where term in (select term from found group by term having count(*) >= 4) group by all"),
     "period_density": sql(ARTICLES_SQL, "articles", "select s.period, count(distinct s.id) as docs, round(count(f.term) / count(distinct s.id), 6) as density from source s left join found f using (id) group by s.period"),
     "vocab_size": sql(ARTICLES_SQL, "articles", "select count(*) as terms, cast(sum(n) as bigint) as pairs from (select count(*) as n from found group by term having count(*) >= 4)"),
+    "scale_factors": sql(SKEWED_SQL, "skewed", _SCALE + "select period, round(factor, 6) as factor from factors"),
     "corpus_health": sql(SKEWED_SQL, "skewed", _SCALE + "select p.period, p.docs, round((select count(*) from found f where f.period = p.period) / p.docs, 6) as density, round(factor, 6) as factor, factor < 0.7 or factor > 1.4 as warning from periods p join factors using (period)"),
     "lens_rising": sql(SKEWED_SQL, "skewed", _changes(True)),
     "lens_falling": sql(SKEWED_SQL, "skewed", _changes(False)),
