@@ -48,15 +48,26 @@ def lexicon(docs: DataFrame, least: float = LEAST_SHARE, most: float = MOST_SHAR
     return counted.where((F.col("df") >= max(2.0, least * n)) & (F.col("df") <= max(2.0, most * n))).select("term")
 
 
-def subset_hashes(found: Column) -> Column:
-    """One number for each randomised subset, 0 where it is empty, from the sorted terms."""
-    specs = F.array(*[F.struct(F.lit(10 * g).alias("s"), F.lit((1 << bits) - 1).cast("long").alias("m")) for g in range(6) for bits in RATES])
+def subset_hashes(sets: DataFrame) -> DataFrame:
+    """``hashes`` from ``found``, the sorted terms: one number for each randomised subset, 0 where it is empty. Twelve draws
+    (ten bits each of the term and of its hash) are thinned from rate to rate, so most terms are looked at once a draw."""
+    others = [c for c in sets.columns if c != "found"]
 
-    def hashes(values: Column) -> Column:
-        kept = F.transform(specs, lambda p: F.filter(values, lambda x: F.call_function("shiftrightunsigned", x, p["s"]).bitwiseAND(p["m"]) == 0))
-        return F.transform(kept, lambda f: F.when(F.size(f) == 0, F.lit(0).cast("long")).otherwise(F.pmod(F.xxhash64(f), F.lit(16777215)) + 1))
+    def thin(values: Column, shift: Column, bits: int) -> Column:
+        return F.filter(values, lambda x: F.call_function("shiftrightunsigned", x, shift).bitwiseAND(F.lit((1 << bits) - 1).cast("long")) == 0)
 
-    return F.concat(hashes(found), hashes(F.transform(found, lambda x: F.xxhash64(x))))
+    shifts = F.array(*[F.lit(10 * g) for g in range(6)])
+    both = sets.withColumn("again", F.transform("found", lambda x: F.xxhash64(x)))
+    drawn = F.concat(F.transform(shifts, lambda s: thin(F.col("found"), s, RATES[0])), F.transform(shifts, lambda s: thin(F.col("again"), s, RATES[0])))
+    rows = both.select(*others, drawn.alias("r0"))
+
+    def thinner(bits: int):
+        return lambda v, i: thin(v, (i % 6) * 10, bits)
+
+    for k, bits in enumerate(RATES[1:]):
+        rows = rows.withColumn(f"r{k + 1}", F.transform(f"r{k}", thinner(bits)))
+    hashed = [F.transform(f"r{k}", lambda v: F.when(F.size(v) == 0, F.lit(0).cast("long")).otherwise(F.pmod(F.xxhash64(v), F.lit(16777215)) + 1)) for k in range(len(RATES))]
+    return rows.select(*others, F.concat(*hashed).alias("hashes"))
 
 
 def fingerprint(hashes: Column) -> Column:
@@ -115,7 +126,7 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
     found = sides.select(*key, "side", (F.size("terms") < FEW_TERMS).alias("few"), F.explode_outer("terms").alias("term")).join(words, "term", "left")
     kept = F.when(F.coalesce(F.col("known"), F.lit(False)) | F.col("few"), F.col("term"))
     sets = found.groupBy(*key, "side").agg(F.sort_array(F.collect_list(kept)).alias("found"))
-    hashed = sets.select(*key, "side", subset_hashes(F.col("found")).alias("hashes"))
+    hashed = subset_hashes(sets)
     pairs = hashed.groupBy(*key).agg(F.max(F.when(F.col("side") == 0, F.col("hashes"))).alias("own"), F.max(F.when(F.col("side") == 1, F.col("hashes"))).alias("edited"))
     by_place = Window.partitionBy("range_id").orderBy("pos")
     pairs = pairs.withColumn("next", F.lead("own").over(by_place)).withColumn("next_sha", F.lead("sha").over(by_place))
