@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pressmill.llm import subword
 from pressmill.llm.common import free_name, table
 
-SETTINGS = subword.Settings()
+SETTINGS = subword.Settings(bits=18, per_class=1500)
 THRESHOLD = 0.3
 
 

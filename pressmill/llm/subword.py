@@ -158,7 +158,8 @@ def fit(labels: np.ndarray, ids: list[np.ndarray], shares: list[np.ndarray], pos
     for i in train:
         seen[ids[i]] += 1
     known = seen >= s.least_docs
-    e = rng.normal(0, 0.1, (1 << s.bits, s.dim)).astype(np.float32) * known[:, None]
+    e = rng.standard_normal((1 << s.bits, s.dim), np.float32)
+    e *= np.float32(0.1) * known[:, None]
     e2 = np.full((1 << s.bits, s.dim), s.damping, np.float32)
     w, w2 = rng.normal(0, 0.5, (s.dim, 2)), np.full((s.dim, 2), 1e-6)
     c, c2 = np.zeros(2), np.full(2, 1e-6)
@@ -220,7 +221,10 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, s: Settings, id_co
     ids = [np.frombuffer(v.as_buffer(), np.int32) for v in rows.column(1)]
     shares = [np.frombuffer(v.as_buffer(), np.float32) for v in rows.column(2)]
     order = sorted(range(len(ids)), key=lambda i: (known_labels[i], hashlib.sha256(ids[i].tobytes()).digest()))
-    return fit(known_labels[order].astype(np.int64), [ids[i] for i in order], [shares[i] for i in order], counts.get(1, 0), counts.get(0, 0), s)
+    model = fit(known_labels[order].astype(np.int64), [ids[i] for i in order], [shares[i] for i in order], counts.get(1, 0), counts.get(0, 0), s)
+    del rows, ids, shares
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def scored(docs: DataFrame, model: Model, name: str, text_col: str = "text") -> DataFrame:
