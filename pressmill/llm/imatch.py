@@ -3,16 +3,17 @@
 Document frequencies of all terms are counted over the whole corpus. The lexicon holds the terms within a band of
 inverse document frequency; since the frequencies of all terms add up to (documents x mean distinct terms), it has at
 most (mean distinct terms / least share) terms however large the corpus is. It is broadcast when it is within a checked
-size, joined by shuffle when not. Of a text the distinct terms in the lexicon are sorted, and those in each of 60
-randomised subsets of the lexicon (12 draws at each of the rates 1/8, 1/32, 1/128, 1/256 and 1/1024) are hashed. The fingerprint is these
-hashes in hexadecimal, 000000 where a subset holds no term of the text. Two fingerprints are as like as the share of
+size, joined by shuffle when not. Of a text the distinct terms in the lexicon are sorted; all of them are hashed, and those in each of 66
+randomised subsets of the lexicon (4 draws at the rate 1/2, 2 at 1/4, 12 at each of 1/8, 1/32, 1/128, 1/256 and 1/1024). The fingerprint is these
+67 hashes in hexadecimal, 000000 where a subset holds no term of the text. Two fingerprints are as like as the share of
 subsets, with a term in either, that have equal hashes.
 
 ``neighbours`` finds the next document by id without sorting all rows in one task: ids are dealt over ranges of about
 equal size, and the first document of a range is also sent to the range before it. The fingerprints are then made in
 that same partitioning, so the texts are shuffled once.
 
-Defined results: null text counts as empty; a text of fewer than 16 distinct terms keeps them all, in the band or not;
+Defined results: null text counts as empty; a text of fewer than 16 terms in the lexicon keeps all its terms, in the band or not;
+so only a text without any term has an empty fingerprint;
 two texts without any term are as like as 1 if equal, else 0; null ids come first; rows with the same id follow each
 other; one document is its own next; an empty table gives an empty table.
 """
@@ -49,8 +50,9 @@ def lexicon(docs: DataFrame, least: float = LEAST_SHARE, most: float = MOST_SHAR
 
 
 def subset_hashes(sets: DataFrame) -> DataFrame:
-    """``hashes`` from ``found``, the sorted terms: one number for each randomised subset, 0 where it is empty. Twelve draws
-    (ten bits each of the term and of its hash) are thinned from rate to rate, so most terms are looked at once a draw."""
+    """``hashes`` from ``found``, the sorted terms: one number for all of them and for each randomised subset, 0 where it is
+    empty. Twelve draws (ten bits each of the term and of its hash) are thinned from rate to rate, so most terms are looked at
+    once a draw; the dense subsets use the four bits of each that are left."""
     others = [c for c in sets.columns if c != "found"]
 
     def thin(values: Column, shift: Column, bits: int) -> Column:
@@ -59,14 +61,15 @@ def subset_hashes(sets: DataFrame) -> DataFrame:
     shifts = F.array(*[F.lit(10 * g) for g in range(6)])
     both = sets.withColumn("again", F.transform("found", lambda x: F.xxhash64(x)))
     drawn = F.concat(F.transform(shifts, lambda s: thin(F.col("found"), s, RATES[0])), F.transform(shifts, lambda s: thin(F.col("again"), s, RATES[0])))
-    rows = both.select(*others, drawn.alias("r0"))
+    dense = [F.array(F.col("found")), *[F.array(thin(F.col("found"), F.lit(60 + g), 1)) for g in range(4)], *[F.array(thin(F.col("again"), F.lit(60 + g), 2)) for g in (0, 2)]]
+    rows = both.select(*others, F.concat(*dense).alias("whole"), drawn.alias("r0"))
 
     def thinner(bits: int):
         return lambda v, i: thin(v, (i % 6) * 10, bits)
 
     for k, bits in enumerate(RATES[1:]):
         rows = rows.withColumn(f"r{k + 1}", F.transform(f"r{k}", thinner(bits)))
-    hashed = [F.transform(f"r{k}", lambda v: F.when(F.size(v) == 0, F.lit(0).cast("long")).otherwise(F.pmod(F.xxhash64(v), F.lit(16777215)) + 1)) for k in range(len(RATES))]
+    hashed = [F.transform(c, lambda v: F.when(F.size(v) == 0, F.lit(0).cast("long")).otherwise(F.pmod(F.xxhash64(v), F.lit(16777215)) + 1)) for c in ("whole", *(f"r{k}" for k in range(len(RATES))))]
     return rows.select(*others, F.concat(*hashed).alias("hashes"))
 
 
@@ -123,9 +126,11 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
     rows = rows.select("range_id", "pos", "helper", "doc_id", F.length("text").cast("long").alias("n_chars"), "text", edited.alias("edited"))
     rows = rows.withColumn("sha", F.sha2("text", 256)).withColumn("edited_sha256", F.sha2("edited", 256))
     sides = rows.select(*key, F.posexplode(F.array(terms(F.col("text")), terms(F.col("edited")))).alias("side", "terms"))
-    found = sides.select(*key, "side", (F.size("terms") < FEW_TERMS).alias("few"), F.explode_outer("terms").alias("term")).join(words, "term", "left")
-    kept = F.when(F.coalesce(F.col("known"), F.lit(False)) | F.col("few"), F.col("term"))
-    sets = found.groupBy(*key, "side").agg(F.sort_array(F.collect_list(kept)).alias("found"))
+    found = sides.select(*key, "side", F.explode_outer("terms").alias("term")).join(words, "term", "left")
+    inside, outside = F.when(F.col("known"), F.col("term")), F.when(F.col("known").isNull(), F.col("term"))
+    sets = found.groupBy(*key, "side").agg(F.collect_list(inside).alias("inside"), F.collect_list(outside).alias("outside"))
+    kept = F.when(F.size("inside") < FEW_TERMS, F.concat("inside", "outside")).otherwise(F.col("inside"))
+    sets = sets.select(*key, "side", F.sort_array(kept).alias("found"))
     hashed = subset_hashes(sets)
     pairs = hashed.groupBy(*key).agg(F.max(F.when(F.col("side") == 0, F.col("hashes"))).alias("own"), F.max(F.when(F.col("side") == 1, F.col("hashes"))).alias("edited"))
     by_place = Window.partitionBy("range_id").orderBy("pos")

@@ -44,6 +44,14 @@ def test_fingerprints(spark, monkeypatch):
     assert sorted(r["n_chars"] for r in same) == [1, 3, 3]
 
 
+def test_fingerprints_of_texts_outside_the_lexicon(spark):
+    junk = [(k, " ".join(f"j{k}x{i}" for i in range(40))) for k in range(4)]
+    out = imatch.neighbour_fingerprints(frame(spark, [*junk, (8, "solo"), (9, "")])).orderBy("doc_id").collect()
+    zero = {r["doc_id"] for r in out if not r["fingerprint"].strip("0")}
+    assert zero == {9} and len({r["fingerprint"] for r in out}) == 6
+    assert all(r["near_edited"] > r["near_next"] == 0 for r in out[:4])
+
+
 def test_surrogates(spark):
     rows = [
         (1, "Escriba a Ana.Paz@Mail.example.com, o a ana.paz@mail.example.com; tel. +1 (983) 555-7102."),
