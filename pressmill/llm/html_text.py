@@ -26,16 +26,25 @@ from pyspark.sql import functions as F
 from pressmill.llm.common import small_batches, table
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*+)>|<[!?][^>]*+>""", re.S)
+END_OF = re.compile(r"</(script|style|noscript|iframe|textarea|title|template|svg|select|button|head|object|canvas)\b[^>]*>", re.I)
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-HIDDEN = re.compile(r"display\s*:\s*none|\bhidden\b|aria-hidden\s*=\s*[\"']?true", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
+MAY_HIDE = re.compile(r"hidden|display", re.I)
+NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg textarea select button head title object canvas".split())
+#: Text up to their own end tag, whatever stands in it.
+RAW = frozenset("script style noscript iframe textarea title".split())
+#: Elements read like any other, then dropped with all that is in them.
+DROPPED = frozenset("template svg select button head object canvas".split())
+IN_HEAD = frozenset("base link meta script style noscript template title object".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var label br img wbr input".split())
 #: An opening tag ends these open elements, up to the nearest of the second set.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 TAG_GROUPS = ("article main", "section", "div", "p", "h1 h2 h3 h4 h5 h6", "ul ol dl menu", "li dd dt", "a", "table tbody thead tr td th", "nav", "header", "footer", "aside", "form fieldset", "figure figcaption", "blockquote pre", "body html")
+#: These end a head, an svg and a dropped element that has no end tag.
+BLOCKS = frozenset(" ".join(TAG_GROUPS).split()) - {"a", "html"}
 GROUP_OF = {tag: i for i, tags in enumerate(TAG_GROUPS) for tag in tags.split()}
 # Fixed word lists: what a class, id or role says about an element.
 ROLES = (
@@ -85,20 +94,42 @@ def roles_of(attributes: str) -> int:
     return found
 
 
+def hides(attributes: str) -> bool:
+    """Whether hidden, aria-hidden="true" or display: none is among the attributes, by name and value."""
+    if not MAY_HIDE.search(attributes):
+        return False
+    for name, *values in ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values)
+        if name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true") or (name == "style" and NO_DISPLAY.search(value)):
+            return True
+    return False
+
+
 def parse(page: str) -> Tree:
     tree = Tree()
     parent, tags, roles, hidden, items = tree.parent, tree.tag, tree.roles, tree.hidden, tree.items
     stack = [0]
     open_tags: dict[str, int] = {}
+    dropped: list[bool] = [False]
     at, skip_to = 0, 0
+    last_end = {m[1].lower(): m.start() for m in END_OF.finditer(page)}
+    lenient: set[int] = set()  # open dropped elements that a block ends
 
     def close_to(depth: int) -> None:
         while len(stack) > depth:
-            name = tags[stack.pop()]
+            v = stack.pop()
+            name = tags[v]
             open_tags[name] -= 1
-            if name not in INLINE:
+            lenient.discard(v)
+            if name not in INLINE and name not in DROPPED:
                 items.append((stack[-1], None))
 
+    def close_last(name: str) -> None:
+        depth = len(stack) - 1
+        while tags[stack[depth]] != name:
+            depth -= 1
+        close_to(depth)
+
     for m in TAG.finditer(page):
         start = m.start()
         if start < skip_to:
@@ -112,17 +143,31 @@ def parse(page: str) -> Tree:
         name = name.lower()
         if m[1]:
             if open_tags.get(name):
-                depth = len(stack) - 1
-                while tags[stack[depth]] != name:
-                    depth -= 1
-                close_to(depth)
+                close_last(name)
             continue
+        empty = bool(m[3]) and m[3].endswith("/")
+        if open_tags.get("head") and name not in IN_HEAD and not dropped[parent[stack[-1]]]:
+            close_last("head")
+        if name in BLOCKS and lenient and not open_tags.get("foreignobject"):
+            for depth, v in enumerate(stack):
+                if v in lenient:
+                    close_to(depth)
+                    break
         if name in RAW:
-            end = re.compile(f"</{name}\\b[^>]*>", re.I).search(page, at)
-            if end is None and name == "head":
-                continue
-            at = skip_to = end.end() if end else len(page)
+            end = re.compile(f"</{name}\\b[^>]*>", re.I).search(page, at) if last_end.get(name, -1) >= at else None
+            if end or not empty:
+                at = skip_to = end.end() if end else len(page)
             continue
+        if name in DROPPED:
+            if empty or (name == "head" and last_end.get(name, -1) < at):
+                continue
+            if name in ("button", "select") and open_tags.get(name):
+                close_last(name)
+            ended = last_end.get(name, -1) >= at
+            if ended and name in ("button", "select", "canvas"):
+                ended = bool(re.compile(f"<(/?){name}\\b", re.I).search(page, at)[1])
+            if name == "svg" or not ended:
+                lenient.add(len(parent))
         if name in ("html", "body"):
             roles[0] |= roles_of(m[3]) if m[3] else 0
             continue
@@ -133,7 +178,7 @@ def parse(page: str) -> Tree:
             if name == "hr":
                 items.append((stack[-1], None))
             continue
-        if name not in INLINE:
+        if name not in INLINE and name not in DROPPED and not dropped[stack[-1]]:
             if open_tags.get("p"):
                 depth = len(stack) - 1
                 while tags[stack[depth]] != "p":
@@ -150,16 +195,20 @@ def parse(page: str) -> Tree:
         node = len(parent)
         attributes = m[3]
         parent.append(stack[-1])
+        dropped.append(dropped[stack[-1]] or name in DROPPED)
         tags.append(name)
         roles.append((roles_of(attributes) if attributes else 0) | TAG_ROLE.get(name, 0))
-        hidden.append(bool(attributes) and HIDDEN.search(attributes) is not None)
-        if attributes and attributes.endswith("/") and name not in INLINE and name not in ("p", "div", "article", "section"):
+        hidden.append(bool(attributes) and hides(attributes))
+        if empty and name not in INLINE and name not in ("p", "div", "article", "section"):
             continue
         stack.append(node)
         open_tags[name] = open_tags.get(name, 0) + 1
     if at < len(page):
         items.append((stack[-1], page[at:]))
-    tree.items = [(n, entities.unescape(t) if t and "&" in t else t) for n, t in items]
+    left = [v for v, gone in enumerate(dropped) if not gone]
+    place = {v: k for k, v in enumerate(left)}
+    tree.parent, tree.tag, tree.roles, tree.hidden = [place.get(parent[v], -1) for v in left], *([of[v] for v in left] for of in (tags, roles, hidden))
+    tree.items = [(place[n], entities.unescape(t) if t and "&" in t else t) for n, t in items if not dropped[n]]
     return tree
 
 

@@ -89,6 +89,23 @@ def test_no_kept_text_below_a_dropped_element(model):
     assert html_text.decode(parent, np.array([0.0, -1.0, 1.0, 0.5, -0.1])) == [True, True, True, True, False]
 
 
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        ("<div>a<svg viewBox='0 0 1 1'/>b<p>c</p><svg><title>no</title><path d=x /></svg>d</div>", "ab c d"),
+        ("<div><button>no</div><p>a</p><select><option>no<p>b</p><canvas>no<p>c</p>", "a b c"),
+        ("<div><template><p>no</p></template>a<object><p>no</p></object><button><div>no</div></button>b</div>", "ab"),
+        ("<button>no<p>a</p><button>no</button><p>b</p>", "a b"),
+        ("<head><title>no</title><script>'</head>'</script></head><body><p>a</p>", "a"),
+        ("<p class='overflow-hidden'>a</p><p class=hidden-print>b</p><p data-hidden=false>c</p><p aria-hidden='false'>d</p>", "a b c d"),
+        ("<p hidden>no</p><p aria-hidden=true>no</p><p style='color:red; display: none'>no</p><p>a</p>", "a"),
+    ],
+)
+def test_only_what_is_hidden_or_a_control_is_dropped(page, want):
+    tree = html_text.parse(page)
+    assert html_text.written(tree, [True] * len(tree.parent)).split() == want.split()
+
+
 def test_page_text(spark, model):
     story = "".join(f"<p>Una frase &amp; otra\n   <b>más</b> larga, con datos&nbsp;de todo tipo, número {k}.</p>" for k in range(6))
     page = f"<html><head><title>t</title><script>x='<p>no</p>'</script></head><body><nav><ul><li><a href=/a>Inicio</a></li><li><a href=/b>Mundo</a></li></ul></nav><article><h1>El titular</h1>{story}<p><b>Sin cerrar<p>Última.</article><div class='comments'><div class=comment><p>¡Qué bien, gracias!</p></div></div><footer>&copy; Nadie</footer>"
