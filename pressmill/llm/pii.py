@@ -7,7 +7,9 @@ by SHA-256, so that all its mentions, in whatever format, get the same one: digi
 their script, a valid card number stays valid, the domain of an address is replaced alike everywhere, a given name keeps
 its gender, and separators, case and form of address are kept. Surrogates are checked over the whole corpus: of two
 entities with one surrogate, and for a surrogate that is itself an entity of the corpus, a new one is derived until none
-is left (``ROUNDS`` at most). Only texts that hold entities are shuffled.
+is left. From the third new one on addresses and keys take a wider shape (any octets, longer names and keys), as few
+forms can fill their own. Where more than ``ROUNDS`` rounds are needed they go on while clashes get fewer, and end in an
+error otherwise (digits of a fixed number, more of them in the corpus than there are free ones). Only texts that hold entities are shuffled.
 
 Defined results: null text stays null; a text without entities stays as it is; rows with the same id and text get the
 same text; other columns are kept; an empty table gives an empty table.
@@ -92,17 +94,24 @@ def numbered(keep: str) -> str:
     return f"array_join(transform(sequence(1, length(form)), i -> if(i <= {keep}, substring(form, i, 1), {DIGIT})), '')"
 
 
+def longer(first: int, after: int = 2) -> str:
+    """Letters from ``first`` on, one more with each attempt after a few."""
+    return f"if(attempt > {after}, array_join(transform(sequence(1, attempt - {after}), i -> char({first} + pmod(xxhash64(seed, 'longer', i), {6 if after > 2 else 26}))), ''), '')"
+
+
 #: The domain of an address without its last label.
 DOMAIN = r"regexp_replace(split_part(form, '@', 2), r'[^.]*\z', '')"
 
 #: Surrogate of (kind, form) at an attempt; ``seed`` is the keyed hash of all three, ``domain_seed`` of the domain alone.
 SURROGATE = rf"""
 case
-  when kind = 'email' then concat({letters("split_part(form, '@', 1)", "seed")}, if(attempt > 2, char(97 + pmod(xxhash64(seed), 26)), ''), '@',
+  when kind = 'email' then concat({letters("split_part(form, '@', 1)", "seed")}, {longer(97)}, '@',
     {letters(DOMAIN, "domain_seed")}, regexp_extract(form, r'[^.]*\z', 0))
+  when kind = 'ip' and attempt > 2 then array_join(transform(sequence(1, 4), i -> cast(1 + pmod(xxhash64(seed, i), 254) as string)), '.')
   when kind = 'ip' then array_join(transform(split(form, '[.]'), (o, i) -> cast(case length(o) when 1 then 1 + pmod(xxhash64(seed, i), 9) when 2 then 10 + pmod(xxhash64(seed, i), 90) else 100 + pmod(xxhash64(seed, i), 155) end as string)), '.')
-  when kind = 'secret' and form rlike r'^[0-9a-f]+\z' then array_join(transform(sequence(1, length(form)), i -> lower(hex(pmod(xxhash64(seed, i), 16)))), '')
-  when kind = 'secret' then concat(regexp_extract(form, '^(?:AKIA|ASIA|gh[pousr]_|sk-)', 0), {letters("regexp_replace(form, '^(?:AKIA|ASIA|gh[pousr]_|sk-)', '')", "seed")})
+  when kind = 'secret' and form rlike r'^[0-9a-f]+\z' then array_join(transform(sequence(1, length(form)), i -> lower(hex(pmod(xxhash64(seed, i), 16)))), '') || {longer(97, 6)}
+  when kind = 'secret' and not form rlike '[A-Za-z0-9]' then array_join(transform(sequence(1, length(form)), i -> char(65 + pmod(xxhash64(seed, i), 26))), '') || {longer(65)}
+  when kind = 'secret' then concat(regexp_extract(form, '^(?:AKIA|ASIA|gh[pousr]_|sk-)', 0), {letters("regexp_replace(form, '^(?:AKIA|ASIA|gh[pousr]_|sk-)', '')", "seed")}, {longer(65)})
   when kind = 'iban' then concat(substring(form, 1, 2), {letters("substring(form, 3)", "seed")})
   when kind = 'card' and luhn = 0 then concat(substring(plain, 1, length(plain) - 1), cast(pmod(10 - {luhn("concat(substring(plain, 1, length(plain) - 1), '0')")}, 10) as string))
   when kind in ('card', 'ssn', 'phone') then plain
@@ -129,7 +138,8 @@ end"""
 def surrogates(forms: DataFrame, key: str) -> DataFrame:
     """(kind, form, surrogate) for distinct (kind, form): no two alike within a kind, none that is a form of the corpus."""
     forms = forms.withColumn("attempt", F.lit(0))
-    for _ in range(ROUNDS):
+    clashes, done = None, 0
+    while True:
         seeded = forms.withColumn("seed", F.sha2(F.concat_ws("|", F.lit(key), "kind", "form", "attempt"), 256)).withColumn("domain_seed", F.sha2(F.concat_ws("|", F.lit(key), F.lit("domain"), F.expr("split_part(form, '@', 2)")), 256))
         seeded = seeded.withColumn("plain", F.expr(f"case when kind = 'card' then {numbered('1')} when kind = 'phone' then {numbered('length(form) - 10')} when kind = 'ssn' then {numbered('0')} end")).withColumn("luhn", F.expr(f"case when kind = 'card' then {luhn('form')} end"))
         made = seeded.select("kind", "form", "attempt", F.expr(SURROGATE).alias("surrogate"))
@@ -137,8 +147,11 @@ def surrogates(forms: DataFrame, key: str) -> DataFrame:
         first = F.row_number().over(Window.partitionBy("kind", "surrogate").orderBy("attempt", "form"))
         checked = made.withColumn("place", first).join(taken, (F.col("kind") == F.col("k")) & (F.col("surrogate") == F.col("f")), "left")
         checked = staged(checked.select("kind", "form", "attempt", "surrogate", ((F.col("place") > 1) | F.col("f").isNotNull()).alias("clash")), "surrogates")
-        if checked.where("clash").isEmpty():
+        before, clashes, done = clashes, checked.where("clash").count(), done + 1
+        if not clashes:
             break
+        if done >= ROUNDS and before is not None and clashes >= before:
+            raise ValueError(f"{clashes} entities are left without a surrogate of their own after {done} rounds")
         forms = checked.select("kind", "form", F.when(F.col("clash"), F.col("attempt") + 1).otherwise(F.col("attempt")).alias("attempt"))
     return checked.select("kind", "form", "surrogate")
 

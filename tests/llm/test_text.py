@@ -93,6 +93,18 @@ def test_no_two_entities_share_a_surrogate(spark):
     assert not {a for a, _ in pairs} & {b for _, b in pairs}
 
 
+def test_full_shapes_get_wider_and_clashes_left_are_an_error(spark, monkeypatch):
+    ips = [("ip", ".".join(f"{k:04d}")) for k in range(10_000) if "0" not in f"{k:04d}"]
+    forms = [*ips, ("secret", "------"), ("secret", "________"), *[("secret", f"-----{c}") for c in "ghijklmnopqrstuvwxyz"]]
+    out = pii.surrogates(spark.createDataFrame(forms, "kind string, form string"), "k").collect()
+    assert {(r["kind"], r["form"]) for r in out} == set(forms)
+    made = {(r["kind"], r["surrogate"]) for r in out}
+    assert len(made) == len(out) == len(forms) and not made & set(forms)
+    monkeypatch.setattr(pii, "ROUNDS", 2)
+    with pytest.raises(ValueError, match="without a surrogate"):
+        pii.surrogates(spark.createDataFrame([("phone", str(k)) for k in range(10)], "kind string, form string"), "k")
+
+
 def test_packing(spark):
     from tokenizers import Tokenizer
 
