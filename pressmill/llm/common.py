@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share (``spark.checkpoint.dir``); a temporary one only where unset."""
+    """The folder that the driver and all executors share (``spark.checkpoint.dir``). Where it is unset, one process can
+    do with a temporary folder; on a cluster that would break every table written, so it is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="spark-shared-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -23,7 +28,21 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _written[out] = path
+    return out
+
+
+#: Where each staged table lies.
+_written: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a staged table that nothing reads any more."""
+    if path := _written.pop(df, None):
+        jvm = df.sparkSession.sparkContext._jvm
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
@@ -50,11 +69,16 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def kept_rows(docs: DataFrame, decided: DataFrame, digest: Column, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that ``decided`` (doc_id, text_sha256, kept) keeps, one of each id and text."""
-    sha, place, kept_id, kept_sha = (free_name(docs, n) for n in ("_sha", "_place", "_kept_id", "_kept_sha"))
-    keep = decided.where("kept").select(F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(kept_sha))
-    rows = docs.withColumn(sha, digest)
-    rows = rows.join(keep, F.col(id_col).cast("long").eqNullSafe(F.col(kept_id)) & (F.col(sha) == F.col(kept_sha)), "left_semi")
-    first = F.row_number().over(Window.partitionBy(id_col, sha).orderBy(sha))
-    return rows.withColumn(place, first).where(F.col(place) == 1).select(*docs.columns)
+def kept_rows(docs: DataFrame, decided: DataFrame, digest: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``decided`` (doc_id, text_sha256, kept) keeps; of each id and text the row that is least by
+    its other columns. Id and digest are one column, so that the join and the choice need one shuffle."""
+    place, number = free_name(docs, "_place"), free_name(docs, "_number")
+
+    def joint(doc_id: Column, sha: Column) -> Column:
+        return F.concat_ws(" ", sha, doc_id.cast("long").cast("string"))
+
+    keep = decided.where("kept").select(joint(F.col("doc_id"), F.col("text_sha256")).alias(place))
+    rows = docs.withColumn(place, joint(docs[id_col], digest)).join(keep, place, "left_semi")
+    rest = [docs[c] for c in docs.columns if c not in (id_col, text_col)]
+    first = F.row_number().over(Window.partitionBy(place).orderBy(F.to_json(F.struct(*rest)) if rest else F.lit(0)))
+    return rows.withColumn(number, first).where(F.col(number) == 1).select(*docs.columns)

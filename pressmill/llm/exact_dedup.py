@@ -15,6 +15,7 @@ gives an empty table.
 from __future__ import annotations
 
 import hashlib
+import pickle
 import struct
 import tempfile
 from collections.abc import Iterator
@@ -24,8 +25,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-from pressmill.llm.common import kept_rows, small_batches, staged, table, texts
+from pressmill.llm.common import small_batches, staged, table, texts
 
 WHITE = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 #: Bytes of different contents that a table holds before it spills.
@@ -198,10 +201,73 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows and columns of the documents that stay."""
-    digest = F.sha2(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"[\x20\x09-\x0D]+", " "), 256)
-    return kept_rows(docs, exact_dedup(docs, id_col, text_col), digest, id_col)
+def best_rows(budget: int, row_type: pa.DataType, last: bool):
+    """(doc_id, text, row) to (sha, doc_id, text, row) of the row that stays of each content. The first round empties a full
+    table and goes on; the last one, which has all copies of a content in its partition, spills what a full table lacks."""
+    schema = pa.schema([("sha", pa.binary()), ("doc_id", pa.int64()), ("text", pa.string()), ("row", row_type)])
+
+    def order(record: tuple) -> tuple:
+        doc_id, text, row = record
+        return NO_ID if doc_id is None else doc_id, text is not None, text or "", repr(row)
+
+    def given_out(seen: ContentTable, best: list[tuple]) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(best), 64):
+            part = best[i : i + 64]
+            yield pa.RecordBatch.from_arrays([pa.array(seen.digests[i : i + 64], pa.binary()), *(pa.array([r[c] for r in part], schema.field(c + 1).type) for c in range(3))], schema=schema)
+
+    def one_table(records: Iterator[tuple], level: int) -> Iterator[pa.RecordBatch]:
+        seen, best, spills = ContentTable(), [], {}
+        for record in records:
+            content = normalised((record[1] or "").encode())
+            digest = hashlib.sha256(content).digest()
+            at, slot = seen.find(digest, content)
+            if at < 0 and seen.bytes > budget:
+                if last:
+                    bits = int.from_bytes(digest[16:24], "little") >> (FANOUT_BITS * (level % 16)) & ((1 << FANOUT_BITS) - 1)
+                    if bits not in spills:
+                        spills[bits] = tempfile.TemporaryFile()
+                    pickle.dump(record, spills[bits])
+                    continue
+                yield from given_out(seen, best)
+                seen, best = ContentTable(), []
+                at, slot = seen.find(digest, content)
+            if at < 0:
+                seen.add(digest, content, slot)
+                best.append(record)
+            elif order(record) < order(best[at]):
+                best[at] = record
+        yield from given_out(seen, best)
+        del seen, best
+        for spill in spills.values():
+            yield from one_table(reread(spill), level + 1)
+            spill.close()
+
+    def reread(spill) -> Iterator[tuple]:
+        spill.seek(0)
+        while True:
+            try:
+                yield pickle.load(spill)
+            except EOFError:
+                return
+
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            yield from zip(*(batch.column(i).to_pylist() for i in range(3)))
+
+    return lambda batches: one_table(records(batches), 0)
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", table_bytes: int = TABLE_BYTES) -> DataFrame:
+    """The rows and columns of the documents that stay. Whole rows pass through the tables, so one shuffle by digest is
+    all; of rows of the same id the least text, then the least other columns, stays."""
+    small_batches(docs.sparkSession)
+    others = [c for c in docs.columns if c != text_col]
+    plain = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"), F.struct(*(docs[c].alias(f"c{k}") for k, c in enumerate(others))).alias("row"))
+    row_type, schema = to_arrow_type(plain.schema["row"].dataType), StructType([StructField("sha", BinaryType()), *plain.schema.fields])
+    folded = plain.mapInArrow(best_rows(table_bytes, row_type, False), schema)
+    kept = folded.repartition("sha").select("doc_id", "text", "row").mapInArrow(best_rows(table_bytes, row_type, True), schema)
+    columns = {c: F.col(f"row.c{k}") for k, c in enumerate(others)} | {text_col: F.col("text").cast(docs.schema[text_col].dataType)}
+    return kept.select(*(columns[c].alias(c) for c in docs.columns))
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

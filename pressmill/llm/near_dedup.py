@@ -4,11 +4,13 @@ A text is a bag of five-word shingles (ASCII white space, ASCII case folded; a s
 how often each occurs. Every shingle is a Poisson process with its share of the weight as rate; its arrivals fall on
 random registers, a register keeps the shingle that arrives first, and a process ends once it is later than all
 registers, so that registers of two texts agree with the probability Jaccard similarity of their bags. Rows of the same
-words are folded into one first. Bands of five registers give candidates: each member of a bucket against the smallest,
-never all pairs. Candidates are verified by the exact probability Jaccard similarity. Links make classes (least label
-with pointer jumping, each round written to the shared folder). In buckets that still hold several classes, members
-outside the largest class are then compared with all members of other classes whose registers agree enough, so no link
-is lost that the bands hold.
+words have one key. Bands of eight of 256 registers put texts in buckets (a pair of similarity 0.8 meets with probability
+0.997, of 0.5 with 0.12). Only texts that meet another get 1,024 further registers, of which one bit each is kept; pairs
+that differ in more of these bits than three standard deviations allow a pair of similarity 0.8 (one in 700 of those is
+lost, fewer above) are passed over before any text is joined. The rest are verified by the exact probability Jaccard
+similarity. First each member of a bucket is compared with the smallest, then, where a bucket still holds several
+classes, members outside its largest class with members of other classes. Links make classes (least label with pointer
+jumping, each round written to the shared folder).
 
 Defined results: null counts as empty; texts without words are one class; a class is named after its smallest doc_id
 (null ids last); exactly one row of a class is kept; texts are taken whole; an empty table gives an empty table.
@@ -18,20 +20,25 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressmill.llm.common import kept_rows, small_batches, staged, table, texts
+from pressmill.llm.common import discard, kept_rows, small_batches, staged, table, texts
 
 SHINGLE = 5
-REGISTERS, BAND = 120, 5
+REGISTERS, BAND = 256, 8
 THRESHOLD = 0.8
-#: Agreeing registers below which a pair of the second comparison is passed over: five standard deviations under 0.8.
-AGREE = 74
+#: Registers behind the one-bit signature of texts that meet others, 64 to a column.
+BITS = 1024
+WORDS = [f"s{k}" for k in range(BITS // 64)]
+#: Ids of texts to fetch that are broadcast; more are joined by a shuffle.
+FETCHED = 400_000
 CHUNK = 2 << 20
 ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 FOLD = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -120,7 +127,7 @@ def bands(winner: np.ndarray) -> np.ndarray:
     parts = winner.reshape(n, m // BAND, BAND)
     h = np.zeros((n, m // BAND), np.uint64) + np.arange(m // BAND, dtype=np.uint64) * np.uint64(ODD[4])
     for k in range(BAND):
-        h = mixed(h ^ parts[:, :, k] * np.uint64(ODD[k]))
+        h = mixed((h ^ parts[:, :, k]) * np.uint64(ODD[k % len(ODD)]))
     return h.astype(np.int64)
 
 
@@ -143,8 +150,8 @@ def word_key(folded: bytes) -> bytes:
 
 
 def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) to (uid, doc_id, sha, key, bands, registers); of a key seen before in the partition only the id."""
-    schema = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("sha", pa.binary()), ("key", pa.binary()), ("bands", pa.list_(pa.int64())), ("registers", pa.list_(pa.int32()))])
+    """(doc_id, text) to (uid, doc_id, sha, key, bands); of a key seen before in the partition without bands."""
+    schema = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("sha", pa.binary()), ("key", pa.binary()), ("bands", pa.list_(pa.int64()))])
     uid, hashed, seen = (TaskContext.get().partitionId() << 36) if TaskContext.get() else 0, Words(), set()
     for batch in batches:
         for start, part in chunks(batch, 1):
@@ -152,23 +159,39 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             new = [i for i, k in enumerate(keys) if k not in seen and not seen.add(k)]
             if len(seen) > 1 << 18:
                 seen.clear()
-            band_lists, register_lists = [None] * len(part), [None] * len(part)
+            band_lists = [None] * len(part)
             if new:
                 words, sizes = hashed([part[i] for i in new])
-                winner = registers(*shingles(words, sizes), len(new))
-                for i, b, r, size in zip(new, bands(winner), (winner & np.uint64(0x7FFFFFFF)).astype(np.int32), sizes):
-                    band_lists[i], register_lists[i] = (b, r) if size else ([], [])
+                for i, b, size in zip(new, bands(registers(*shingles(words, sizes), len(new))), sizes):
+                    band_lists[i] = b if size else []
             ids = batch.column(0).slice(start, len(part))
             shas = [hashlib.sha256(batch.column(1)[i].as_buffer()).digest() for i in range(start, start + len(part))]
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(uid, uid + len(part))), ids, pa.array(shas, pa.binary()), pa.array(keys, pa.binary()), pa.array(band_lists, schema.field(4).type), pa.array(register_lists, schema.field(5).type)], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(uid, uid + len(part))), ids, pa.array(shas, pa.binary()), pa.array(keys, pa.binary()), pa.array(band_lists, schema.field(4).type)], schema=schema)
             uid += len(part)
 
 
-def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text) to (key, folded text)."""
+def signatures(winner: np.ndarray) -> np.ndarray:
+    """One bit of each register, 64 to a number."""
+    bits = (mixed(winner ^ np.uint64(ODD[4])) >> np.uint64(40)).astype(np.uint8) & 1
+    return np.packbits(bits, axis=1, bitorder="little").view(np.int64)
+
+
+def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text) to (key, folded text, signature)."""
+    hashed = Words()
     for batch in batches:
-        folded = [v.as_buffer().to_pybytes().translate(FOLD) for v in batch.column(0)]
-        yield pa.RecordBatch.from_arrays([pa.array([word_key(t) for t in folded], pa.binary()), pa.array(folded, pa.binary())], names=["key", "folded"])
+        for _, part in chunks(batch, 0):
+            words, sizes = hashed(part)
+            found = signatures(registers(*shingles(words, sizes), len(part), BITS))
+            yield pa.RecordBatch.from_arrays([pa.array([word_key(t) for t in part], pa.binary()), pa.array(part, pa.binary()), *(pa.array(found[:, k]) for k in range(len(WORDS)))], names=["key", "folded", *WORDS])
+
+
+def alike(a: str, b: str, threshold: float) -> Column:
+    """Whether the signatures of two sides differ in no more bits than a verified pair may: half of the registers that
+    disagree, and three standard deviations."""
+    p = (1 - threshold) / 2
+    most = int(BITS * p + 3 * (BITS * p * (1 - p)) ** 0.5)
+    return reduce(add, (F.bit_count(F.col(f"{a}.{w}").bitwiseXOR(F.col(f"{b}.{w}"))) for w in WORDS)) <= most
 
 
 def probability_jaccard(ha: np.ndarray, a: np.ndarray, hb: np.ndarray, b: np.ndarray) -> float:
@@ -211,15 +234,35 @@ def verify(threshold: float):
 def components(links: DataFrame) -> DataFrame:
     """(key, label): the least key of the component of each linked key."""
     edges = staged(links.select(F.col("key").alias("a"), F.col("pivot").alias("b")).union(links.select("pivot", "key")).distinct(), "edges")
-    labels = staged(edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).withColumnRenamed("a", "key"), "labels")
+    labels = staged(edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).select(F.col("a").alias("key"), "label", F.lit(None).cast("binary").alias("old")), "labels")
     while True:
-        reached = edges.join(labels, edges["b"] == labels["key"]).groupBy(F.col("a").alias("key")).agg(F.min("label").alias("near"))
-        better = labels.join(reached, "key").select("key", F.least("label", "near").alias("label"), F.col("label").alias("old"))
-        up = labels.select(F.col("key").alias("label"), F.col("label").alias("above"))
+        now = labels.select("key", "label")
+        reached = edges.join(now, edges["b"] == now["key"]).groupBy(F.col("a").alias("key")).agg(F.min("label").alias("near"))
+        better = now.join(reached, "key").select("key", F.least("label", "near").alias("label"), F.col("label").alias("old"))
+        up = now.select(F.col("key").alias("label"), F.col("label").alias("above"))
         better = staged(better.join(up, "label").select("key", F.least("label", "above").alias("label"), "old"), "labels")
-        labels = better.select("key", "label")
-        if better.where(F.col("label") != F.col("old")).isEmpty():
-            return labels
+        discard(labels)
+        labels = better
+        if labels.where(F.col("label") != F.col("old")).isEmpty():
+            discard(edges)
+            return labels.select("key", "label")
+
+
+def meeting(rows: DataFrame) -> DataFrame:
+    """(bucket, uid) of the buckets with rows of several uids. A bucket is folded to two numbers before it is shuffled."""
+    buckets = rows.where("bands is not null").select(F.explode("bands").alias("bucket"), "uid")
+    several = buckets.groupBy("bucket").agg(F.min("uid").alias("low"), F.max("uid").alias("high")).where("low <> high").select("bucket")
+    return buckets.join(several, "bucket")
+
+
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(key, folded, signature) of the texts whose doc_id is wanted; the ids are broadcast if they are few."""
+    ids = wanted.select("doc_id").distinct()
+    if ids.limit(FETCHED + 1).count() <= FETCHED:
+        ids = F.broadcast(ids)
+    asked = docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
+    fetched = asked.select("text").mapInArrow(signed, "key binary, folded binary, " + ", ".join(f"{w} long" for w in WORDS))
+    return fetched.groupBy("key").agg(F.first(F.struct("folded", *WORDS)).alias("x")).select("key", "x.*")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -227,49 +270,49 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text_sha256 (of the text as it is)."""
     small_batches(docs.sparkSession)
     plain = texts(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("text"))
-    rows = staged(plain.mapInArrow(sketch, "uid long, doc_id long, sha binary, key binary, bands array<long>, registers array<int>"), "sketches")
-    # sketches repeat for a key once a partition at most; explode before folding keeps arrays out of the shuffle
-    buckets = rows.where("bands is not null").select("key", F.explode("bands").alias("bucket")).distinct()
-    pivots = buckets.groupBy("bucket").agg(F.min("key").alias("pivot"), F.max("key").alias("other")).where("pivot <> other").select("bucket", "pivot")
-    edges = staged(buckets.join(pivots, "bucket").where("key <> pivot").select("key", "pivot").distinct(), "candidates")
+    rows = staged(plain.mapInArrow(sketch, "uid long, doc_id long, sha binary, key binary, bands array<long>"), "sketches")
+    met = staged(meeting(rows), "met")
+    who = staged(rows.select("uid", "doc_id", "key").join(met.select("uid").distinct(), "uid", "left_semi"), "met")
+    held = staged(texts_of(plain, who), "candidate-texts")
+    member = met.join(who.select("uid", "key"), "uid").select("bucket", "key").distinct()
+    member = staged(member.join(held.drop("folded"), "key"), "members")
+    discard(met), discard(who)
 
     def verified(pairs: DataFrame) -> DataFrame:
-        involved = pairs.select("key").union(pairs.select("pivot")).distinct()
-        held = plain.select("text").mapInArrow(keyed, "key binary, folded binary").join(involved, "key", "left_semi").groupBy("key").agg(F.first("folded").alias("folded"))
-        held = staged(held, "candidate-texts")
-        both = pairs.join(held, "key").join(held.select(F.col("key").alias("pivot"), F.col("folded").alias("pivot_text")), "pivot")
+        both = pairs.join(held.select("key", "folded"), "key").join(held.select(F.col("key").alias("pivot"), F.col("folded").alias("pivot_text")), "pivot")
         return both.select("key", "pivot", "folded", "pivot_text").mapInArrow(verify(threshold), "key binary, pivot binary, similarity double")
 
+    pivots = member.groupBy("bucket").agg(F.min(F.struct("key", *WORDS)).alias("p")).select("bucket", "p.*").alias("y")
+    first = member.alias("x").join(pivots, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.key") != F.col("y.key")) & alike("x", "y", threshold))
+    edges = staged(first.select("x.key", F.col("y.key").alias("pivot")).distinct(), "candidates")
     links = staged(verified(edges), "links")
     labels = components(links)
     # buckets that still hold several classes
-    member = buckets.join(labels, "key", "left").select("bucket", "key", F.coalesce("label", "key").alias("label"))
-    mixed_buckets = member.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket")
-    member = staged(member.join(mixed_buckets, "bucket"), "mixed")
-    if not member.isEmpty():
-        sizes = member.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-        largest = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
-        vectors = rows.where("bands is not null").select("key", "registers").join(member.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("registers").alias("registers"))
-        member = staged(member.join(largest, "bucket").join(vectors, "key"), "mixed")
-        x, y = member.where("label <> main").alias("x"), member.alias("y")
-        agree = F.size(F.filter(F.zip_with("x.registers", "y.registers", lambda p, q: p == q), lambda same: same)) >= AGREE
-        once = (F.col("y.label") == F.col("y.main")) | (F.col("x.key") < F.col("y.key"))
-        more = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label")) & once & agree)
-        more = more.select(F.greatest("x.key", "y.key").alias("key"), F.least("x.key", "y.key").alias("pivot")).distinct()
-        more = staged(more.join(edges, ["key", "pivot"], "left_anti"), "candidates")
-        if not more.isEmpty():
-            links = staged(links.unionByName(verified(more)), "links")
-            labels = components(links)
+    placed = member.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    sizes = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("classes")).where("classes > 1").select("bucket", "main")
+    open_ = staged(placed.join(largest, "bucket"), "mixed")
+    x, y = open_.where("label <> main").alias("x"), open_.alias("y")
+    once = (F.col("y.label") == F.col("y.main")) | (F.col("x.key") < F.col("y.key"))
+    more = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label")) & once & alike("x", "y", threshold))
+    more = more.select(F.greatest("x.key", "y.key").alias("key"), F.least("x.key", "y.key").alias("pivot")).distinct()
+    more = staged(more.join(edges, ["key", "pivot"], "left_anti"), "candidates")
+    discard(open_), discard(edges), discard(member)
+    if not more.isEmpty():
+        links = staged(links.unionByName(verified(more)), "links")
+        labels = components(links)
     degree = links.select("key").union(links.select("pivot")).groupBy("key").agg(F.count("*").alias("n_links"))
-    placed = rows.select("uid", "doc_id", "sha", "key").join(labels, "key", "left").join(degree, "key", "left")
+    named = staged(labels.join(degree, "key"), "classes")
+    discard(held), discard(more), discard(links), discard(labels)
+    placed = rows.select("uid", "doc_id", "sha", "key").join(named, "key", "left")
     placed = placed.select("uid", "doc_id", "sha", F.coalesce("label", "key").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     classes = placed.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("head"), F.count("*").alias("class_size"))
     return placed.join(classes, "label").select("doc_id", F.col("head.doc_id").alias("class_id"), "class_size", "n_links", (F.col("uid") == F.col("head.uid")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows and columns of one document of each class."""
-    return kept_rows(docs, near_duplicates(docs, id_col, text_col), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256), id_col)
+    """The rows and columns of one document of each class; of rows of the same id and text the least by the other columns."""
+    return kept_rows(docs, near_duplicates(docs, id_col, text_col), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256), id_col, text_col)
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

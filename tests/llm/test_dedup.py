@@ -115,6 +115,59 @@ def test_near_duplicates_match_brute_force(spark):
     assert sum(r["kept"] for r in got) == len({find(i) for i in range(len(rows))})
 
 
+def linked_by_hand(texts):
+    """All pairs of similarity 0.8 or more, by comparing those that share a shingle."""
+    b = bags(texts)
+    return [(i, j) for i in range(len(b)) for j in range(i) if near_dedup.probability_jaccard(*b[i], *b[j]) >= 0.8]
+
+
+def test_links_of_large_groups(spark):
+    """Some hundred copies that differ from one text in a few words, of which only some pairs are alike, and some hundred
+    texts that share half of their words: at least 0.9 of the links, here nearly all, end in one class, no other pair does."""
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(3000)]
+    base, half = [rng.choice(words) for _ in range(200)], [rng.choice(words) for _ in range(100)]
+    rows = []
+    for _ in range(300):
+        copy = list(base)
+        for k in rng.sample(range(200), rng.choice((1, 2, 4))):
+            copy[k] = rng.choice(words)
+        rows.append(" ".join(copy))
+    rows += [" ".join(half + [rng.choice(words) for _ in range(100)]) for _ in range(300)]
+    links = linked_by_hand(rows)
+    assert len(links) > 3000
+    got = near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(rows)), SCHEMA).repartition(4)).collect()
+    named = {r["doc_id"]: r["class_id"] for r in got}
+    assert sum(named[i] == named[j] for i, j in links) >= 0.99 * len(links)
+    assert all(r["class_size"] == 1 for r in got if r["doc_id"] >= 300)
+
+
+def test_signatures_estimate_similarity():
+    rng = random.Random(6)
+    words = [f"w{k}" for k in range(500)]
+    base = [rng.choice(words) for _ in range(300)]
+    for changed in (0, 6, 15, 40):
+        copy = list(base)
+        for k in rng.sample(range(300), changed):
+            copy[k] = "new"
+        two = bags([" ".join(base), " ".join(copy)])
+        s = near_dedup.probability_jaccard(*two[0], *two[1])
+        a, b = (near_dedup.signatures(near_dedup.registers(np.zeros(len(h), int), h, c, 1, near_dedup.BITS))[0] for h, c in two)
+        differing = sum(int(x ^ y).bit_count() if x ^ y >= 0 else int((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(a.tolist(), b.tolist()))
+        assert abs(differing / near_dedup.BITS - (1 - s) / 2) < 0.06
+
+
+def test_row_kept_of_equal_ones(spark):
+    """Of rows that differ in other columns only the same one stays, however they are dealt out."""
+    rows = [(5, "a  b", {"k": [1]}, "z"), (5, "a b", {"k": [2]}, "y"), (5, "a b", {"k": [1]}, "x"), (6, "a b", None, "a"), (None, None, None, None), (None, "", None, "b")]
+    schema = "doc_id long, text string, more map<string,array<int>>, Row string"
+    for keep in (exact_dedup.keep_first, near_dedup.keep_one):
+        found = {tuple(map(str, sorted(map(str, keep(spark.createDataFrame(rows, schema).repartition(n)).collect())))) for n in (1, 3, 7)}
+        assert len(found) == 1
+    kept = exact_dedup.keep_first(spark.createDataFrame(rows, schema), table_bytes=1).collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "", r["Row"]) for r in kept) == [(0, "", None), (5, "a  b", "z")]
+
+
 def removed_by_hand(rows, length):
     data = [(t or "").encode() for _, t in rows]
     seen = {}
