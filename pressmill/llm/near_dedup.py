@@ -306,7 +306,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     discard(held), discard(more), discard(links), discard(labels)
     placed = rows.select("uid", "doc_id", "sha", "key").join(named, "key", "left")
     placed = placed.select("uid", "doc_id", "sha", F.coalesce("label", "key").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    classes = placed.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("head"), F.count("*").alias("class_size"))
+    classes = placed.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "sha", "uid")).alias("head"), F.count("*").alias("class_size"))
     return placed.join(classes, "label").select("doc_id", F.col("head.doc_id").alias("class_id"), "class_size", "n_links", (F.col("uid") == F.col("head.uid")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
 
 
