@@ -8,9 +8,9 @@ words have one key. Bands of eight of 256 registers put texts in buckets (a pair
 0.997, of 0.5 with 0.12). Only texts that meet another get 1,024 further registers, of which one bit each is kept; pairs
 that differ in more of these bits than three standard deviations allow a pair of similarity 0.8 (one in 700 of those is
 lost, fewer above) are passed over before any text is joined. The rest are verified by the exact probability Jaccard
-similarity. First each member of a bucket is compared with the smallest, then, where a bucket still holds several
-classes, members outside its largest class with members of other classes. Links make classes (least label with pointer
-jumping, each round written to the shared folder).
+similarity. First each bucket is compared with one of its members, three times over, which
+unites nearly all; what is still outside its bucket's largest class is then compared with members of other classes. Links
+make classes (least label with pointer jumping, each round written to the shared folder).
 
 Defined results: null counts as empty; texts without words are one class; a class is named after its smallest doc_id
 (null ids last); exactly one row of a class is kept; texts are taken whole; an empty table gives an empty table.
@@ -39,6 +39,8 @@ BITS = 1024
 WORDS = [f"s{k}" for k in range(BITS // 64)]
 #: Ids of texts to fetch that are broadcast; more are joined by a shuffle.
 FETCHED = 400_000
+#: Comparisons of each bucket with one member before those of its smaller classes with the rest.
+STARS = 3
 CHUNK = 2 << 20
 ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 FOLD = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -265,6 +267,26 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return fetched.groupBy("key").agg(F.first(F.struct("folded", *WORDS)).alias("x")).select("key", "x.*")
 
 
+def with_pivots(member: DataFrame, step: int, threshold: float) -> DataFrame:
+    """Pairs of each member of a bucket with one member of another class, drawn anew in each step."""
+    pivots = member.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("key", F.lit(step)).alias("draw"), "key", "label", *WORDS)).alias("p")).select("bucket", "p.*")
+    x, y = member.alias("x"), pivots.alias("y")
+    pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label")) & alike("x", "y", threshold))
+    return pairs.select(F.greatest("x.key", "y.key").alias("key"), F.least("x.key", "y.key").alias("pivot")).distinct()
+
+
+def with_others(member: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of each member outside a bucket's largest class with members of other classes, in the first bucket that both
+    are in and nowhere else."""
+    all_of = member.groupBy("key").agg(F.collect_set("bucket").alias("buckets"))  # a key is in as many buckets as there are bands
+    member = member.join(all_of, "key")
+    x, y = member.where("label <> main").alias("x"), member.alias("y")
+    once = (F.col("y.label") == F.col("y.main")) | (F.col("x.key") < F.col("y.key"))
+    first = F.array_min(F.array_intersect("x.buckets", "y.buckets")) == F.col("x.bucket")
+    pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label")) & once & alike("x", "y", threshold) & first)
+    return pairs.select(F.greatest("x.key", "y.key").alias("key"), F.least("x.key", "y.key").alias("pivot"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per input row: doc_id, class_id, class_size, n_links (verified links of its text), kept and
     text_sha256 (of the text as it is)."""
@@ -282,28 +304,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         both = pairs.join(held.select("key", "folded"), "key").join(held.select(F.col("key").alias("pivot"), F.col("folded").alias("pivot_text")), "pivot")
         return both.select("key", "pivot", "folded", "pivot_text").mapInArrow(verify(threshold), "key binary, pivot binary, similarity double")
 
-    pivots = member.groupBy("bucket").agg(F.min(F.struct("key", *WORDS)).alias("p")).select("bucket", "p.*").alias("y")
-    first = member.alias("x").join(pivots, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.key") != F.col("y.key")) & alike("x", "y", threshold))
-    edges = staged(first.select("x.key", F.col("y.key").alias("pivot")).distinct(), "candidates")
-    links = staged(verified(edges), "links")
-    labels = components(links)
-    # buckets that still hold several classes
-    placed = member.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-    sizes = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("classes")).where("classes > 1").select("bucket", "main")
-    open_ = staged(placed.join(largest, "bucket"), "mixed")
-    x, y = open_.where("label <> main").alias("x"), open_.alias("y")
-    once = (F.col("y.label") == F.col("y.main")) | (F.col("x.key") < F.col("y.key"))
-    more = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label")) & once & alike("x", "y", threshold))
-    more = more.select(F.greatest("x.key", "y.key").alias("key"), F.least("x.key", "y.key").alias("pivot")).distinct()
-    more = staged(more.join(edges, ["key", "pivot"], "left_anti"), "candidates")
-    discard(open_), discard(edges), discard(member)
-    if not more.isEmpty():
-        links = staged(links.unionByName(verified(more)), "links")
-        labels = components(links)
+    labels = links = tried = None
+    for step in range(STARS + 1):
+        placed = member.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key")) if labels else member.withColumn("label", F.col("key"))
+        sizes = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+        largest = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("classes")).where("classes > 1").select("bucket", "main")
+        mixed_ones = staged(placed.join(largest, "bucket"), "mixed")
+        pairs = with_pivots(mixed_ones, step, threshold) if step < STARS else with_others(mixed_ones, threshold)
+        pairs = staged(pairs.join(tried, ["key", "pivot"], "left_anti") if tried else pairs, "candidates")
+        found = staged(verified(pairs), "links")
+        discard(mixed_ones)
+        if not links or not found.isEmpty():
+            links = staged(links.unionByName(found), "links") if links else found
+            labels = components(links)
+        tried = staged(tried.unionByName(pairs), "candidates") if tried else pairs
     degree = links.select("key").union(links.select("pivot")).groupBy("key").agg(F.count("*").alias("n_links"))
     named = staged(labels.join(degree, "key"), "classes")
-    discard(held), discard(more), discard(links), discard(labels)
+    for done in (held, member, tried, links, labels):
+        discard(done)
     placed = rows.select("uid", "doc_id", "sha", "key").join(named, "key", "left")
     placed = placed.select("uid", "doc_id", "sha", F.coalesce("label", "key").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     classes = placed.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "sha", "uid")).alias("head"), F.count("*").alias("class_size"))
