@@ -247,7 +247,16 @@ def components(links: DataFrame) -> DataFrame:
         labels = better
         if labels.where(F.col("label") != F.col("old")).isEmpty():
             discard(edges)
-            return labels.select("key", "label")
+            return staged(labels.select("key", "label"), "labels")
+
+
+def united(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after new links, which are followed between classes, not between their members."""
+    ends = links.join(labels.select("key", F.col("label").alias("a")), "key").join(labels.select(F.col("key").alias("pivot"), F.col("label").alias("b")), "pivot")
+    roots = components(ends.select(F.col("a").alias("key"), F.col("b").alias("pivot")).distinct())
+    new = staged(labels.join(roots.select(F.col("key").alias("label"), F.col("label").alias("root")), "label", "left").select("key", F.coalesce("root", "label").alias("label")), "labels")
+    discard(labels), discard(roots)
+    return new
 
 
 def meeting(rows: DataFrame) -> DataFrame:
@@ -304,9 +313,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         both = pairs.join(held.select("key", "folded"), "key").join(held.select(F.col("key").alias("pivot"), F.col("folded").alias("pivot_text")), "pivot")
         return both.select("key", "pivot", "folded", "pivot_text").mapInArrow(verify(threshold), "key binary, pivot binary, similarity double")
 
-    labels = links = tried = None
+    labels, links, tried = staged(member.select("key", F.col("key").alias("label")).distinct(), "labels"), None, None
     for step in range(STARS + 1):
-        placed = member.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key")) if labels else member.withColumn("label", F.col("key"))
+        placed = member.join(labels, "key")
         sizes = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
         largest = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("classes")).where("classes > 1").select("bucket", "main")
         mixed_ones = staged(placed.join(largest, "bucket"), "mixed")
@@ -314,12 +323,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         pairs = staged(pairs.join(tried, ["key", "pivot"], "left_anti") if tried else pairs, "candidates")
         found = staged(verified(pairs), "links")
         discard(mixed_ones)
-        if not links or not found.isEmpty():
-            links = staged(links.unionByName(found), "links") if links else found
-            labels = components(links)
+        if not found.isEmpty():
+            labels = united(labels, found)
+        links = staged(links.unionByName(found), "links") if links else found
         tried = staged(tried.unionByName(pairs), "candidates") if tried else pairs
     degree = links.select("key").union(links.select("pivot")).groupBy("key").agg(F.count("*").alias("n_links"))
-    named = staged(labels.join(degree, "key"), "classes")
+    named = staged(labels.join(degree, "key"), "classes")  # keys with links
     for done in (held, member, tried, links, labels):
         discard(done)
     placed = rows.select("uid", "doc_id", "sha", "key").join(named, "key", "left")
