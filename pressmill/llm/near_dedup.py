@@ -246,8 +246,9 @@ def components(links: DataFrame) -> DataFrame:
         discard(labels)
         labels = better
         if labels.where(F.col("label") != F.col("old")).isEmpty():
-            discard(edges)
-            return staged(labels.select("key", "label"), "labels")
+            out = staged(labels.select("key", "label"), "labels")
+            discard(edges), discard(labels)
+            return out
 
 
 def united(labels: DataFrame, links: DataFrame) -> DataFrame:

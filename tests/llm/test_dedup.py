@@ -204,6 +204,30 @@ def test_repeats_match_brute_force(spark, sub, shard):
     assert repeats.remove_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def same_as_by_hand(df, rows, **parameters):
+    got = repeats.remove_repeats(df, length=64, **parameters).collect()
+    assert sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == removed_by_hand(rows, 64)
+
+
+def test_repeats_of_a_common_anchor(spark):
+    """Thousands of different texts around one short passage, of which some share a little more and so repeat."""
+    rng = random.Random(12)
+    make = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage, longer = make(60), make(30)
+    rows = [(i, make(50) + passage + (longer[: rng.randint(0, 9)] if i % 9 == 0 else "") + make(50)) for i in range(5000)]
+    same_as_by_hand(spark.createDataFrame(rows, SCHEMA).repartition(4), rows, sub=40)
+
+
+def test_repeats_of_very_long_texts(spark, monkeypatch):
+    """Texts longer than the positions of one segment, and a table with other columns of clashing names."""
+    monkeypatch.setattr(repeats, "POSITION_BITS", 11)
+    rng = random.Random(13)
+    make = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = make(3000)
+    rows = [(1, make(9000) + passage + make(5000)), (2, passage[700:] + make(4000) + passage[:900]), (3, make(2048)), (4, make(2047)), (None, None), (5, "")]
+    same_as_by_hand(spark.createDataFrame([(*r, 1, "x", b"y") for r in rows], SCHEMA + ", n_removed int, key string, anchor binary"), rows)
+
+
 def test_suffix_array_and_prefixes():
     rng = random.Random(2)
     for data in (b"banana", b"aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", bytes(rng.choices(b"ab", k=700)) * 3, b"\0\0a\0\0a"):
