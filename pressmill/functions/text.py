@@ -10,14 +10,15 @@ ACCENTED, PLAIN = "áéíóúüñÁÉÍÓÚÜÑ", "aeiouunAEIOUUN"
 LABEL_ACCENTED = "áàäâéèëêíìïîóòöôúùüûñç"
 LABEL_PLAIN = "aaaaeeeeiiiioooouuuunc"
 
-# Words of four letters or more that say nothing about the subject of a text, without accents.
+# Words that say nothing about the subject of a text, without accents; those under four letters are no terms
+# anyway and left out.
 STOPWORDS = """
 algo algun alguna algunas alguno algunos ambos ante antes aquel aquella
 aquellas aquello aquellos aqui aunque bajo bien cada casi caso cierta
 ciertas cierto ciertos como contra cual cuales cualquier cuando cuanto cuyo
 demas desde despues donde durante ella ellas ello ellos
 entonces entre eran esas esos esta estaba estan estar estas
-este esto estos fueron gran grande grandes habia habian hasta hecho
+este esto estos fueron gran grande grandes habia hasta hecho
 incluso junto luego mayor mayores media medio
 mejor menos mientras mismo misma mismas mismos mucha muchas mucho muchos
 nada ningun ninguna nuestra nuestro nueva nuevas nuevo nuevos nunca
@@ -34,6 +35,10 @@ situacion tema temas tiempo tipo vista haber
 """.split()
 
 
+# What ends a phrase, and what a word is.
+PHRASE_END, WORD = r'[.;:!?¡¿()\[\]«»"\n]+', "(?iu)[a-záéíóúüñ]{4,}"
+
+
 def fold_word(c: Column) -> Column:
     """Without the accents that a word of the term pattern can have."""
     return F.translate(F.lower(c), "áéíóúüñ", "aeiouun")
@@ -73,16 +78,17 @@ def words_in(column: str) -> Column:
 def terms(text: Column, stopwords: list[str] = STOPWORDS) -> Column:
     """Distinct words of four letters or more and pairs of them next to each other within a phrase; neither may be a
     stopword. Everything stays in one row: no shuffle."""
-    stop = F.array(*map(F.lit, stopwords))
-
     def of_phrase(phrase: Column) -> Column:
-        ws = F.transform(F.regexp_extract_all(phrase, F.lit("(?iu)[a-záéíóúüñ]{4,}"), F.lit(0)), fold_word)
-        kept = F.transform(ws, lambda w: F.when(~F.array_contains(stop, w), w))
-        pairs = F.zip_with(kept, F.slice(kept, 2, F.greatest(F.size(kept), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
-        return F.filter(F.concat(kept, pairs), lambda t: t.isNotNull())
+        ws = F.transform(F.regexp_extract_all(phrase, F.lit(WORD), F.lit(0)), fold_word)
+        kept = F.transform(ws, lambda w: F.when(~w.isin(stopwords), w))
+        # an array of one, so that the words of a phrase are found once and not at each of their uses
+        return F.flatten(F.transform(F.array(kept), lambda ks: F.concat(ks, pairs_of(ks))))
+
+    def pairs_of(ks: Column) -> Column:
+        return F.zip_with(ks, F.slice(ks, 2, F.greatest(F.size(ks), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
 
-    phrases = F.split(F.coalesce(text, F.lit("")), r'[.;:!?¡¿()\[\]«»"\n]+')
-    return F.array_distinct(F.flatten(F.transform(phrases, of_phrase)))
+    phrases = F.split(F.coalesce(text, F.lit("")), PHRASE_END)
+    return F.array_compact(F.array_distinct(F.flatten(F.transform(phrases, of_phrase))))
 
 
 def spanish_date(text: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,3 +77,19 @@ def progress(arts: DataFrame) -> DataFrame:
 def enrichment_tags(parsed_replies: DataFrame, most: int = 10) -> DataFrame:
     """Tags in the order of the reply: subjects, then places."""
     return parsed_replies.where("usable").select("id", F.slice(F.concat("temas", "lugares"), 1, most).alias("tags"))
+
+
+def samples(enriched: DataFrame, found: DataFrame, quotes: DataFrame, n: int = 5) -> DataFrame:
+    """The ``n`` pieces (id, enriched_at, title) enriched last, with their names by kind and up to two quotes."""
+    last = enriched.orderBy(F.desc("enriched_at"), "id").limit(n)
+    few = F.broadcast(last.select("id"))
+    of = lambda kind: F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.col("name"))))
+    names = found.join(few, "id").groupBy("id").agg(of("actor").alias("actors"), of("lugar").alias("places"), of("tema").alias("subjects"))
+    said = quotes.join(few, "id").groupBy("id").agg(F.slice(F.array_sort(F.collect_list("quote")), 1, 2).alias("quotes"))
+    return last.join(names, "id", "left").join(said, "id", "left")
+
+
+def reply_schema() -> str:
+    """The JSON schema that replies have to follow: four lists of strings, all required."""
+    lists = {name: {"type": "array", "items": {"type": "string"}} for name in [*KINDS, QUOTES]}
+    return json.dumps({"type": "object", "properties": lists, "required": list(lists), "additionalProperties": False})

@@ -8,9 +8,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import LongType, StructField, StructType
+
 from pressmill.functions.text import STOPWORDS, terms
 from pressmill.operators.reports import long
 
@@ -18,9 +21,15 @@ LEAST_TOTAL, SUPPORT, LIFT, ALPHA = 4, 6, 1.6, 0.01
 BASE_LEAST, BASE_MOST, TOP = 3, 5, 80
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` dealt anew by id where a scan of few files would leave processors idle; a large table keeps its splits."""
+    wanted = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition("id") if rows.rdd.getNumPartitions() < wanted else rows
+
+
 def corpus(arts: DataFrame, stopwords: list[str] = STOPWORDS, half_years: bool = False) -> DataFrame:
     """(id, date, period, terms, title_terms) of full dated pieces."""
-    rows = arts.where((F.col("kind") != "portada") & F.col("published_date").isNotNull() & F.col("is_full"))
+    rows = spread(arts.where((F.col("kind") != "portada") & F.col("published_date").isNotNull() & F.col("is_full")))
     year = F.year("published_date").cast("string")
     period = F.concat(year, F.when(F.month("published_date") <= 6, "-S1").otherwise("-S2")) if half_years else year
     text = F.concat(F.coalesce("title", F.lit("")), F.lit(". "), F.coalesce("body", F.lit("")))
@@ -33,8 +42,10 @@ def vocabulary(docs: DataFrame) -> DataFrame:
 
 
 def term_period(docs: DataFrame) -> DataFrame:
+    """(term, period, n) of the vocabulary; totals are summed from the counts, not from the texts again."""
     counted = docs.select(F.explode("terms").alias("term"), "period").groupBy("term", "period").agg(F.count("*").alias("n"))
-    return counted.join(vocabulary(docs).select("term"), "term", "left_semi")
+    total = F.sum("n").over(Window.partitionBy("term"))
+    return counted.withColumn("total", total).where(F.col("total") >= LEAST_TOTAL).select("term", "period", "n")
 
 
 def period_density(docs: DataFrame) -> DataFrame:
@@ -58,7 +69,7 @@ def counted(docs: DataFrame, least_df: int = 40, least_terms: int = 200) -> Coun
     periods, sizes = [p for p, _ in found], [n for _, n in found]
     by = docs.select(F.explode("terms").alias("term"), "period").groupBy("term")
     ns = F.array(*[F.count_if(F.col("period") == p) for p in periods]) if periods else F.array().cast("array<bigint>")
-    table = by.agg(ns.alias("ns"), F.count("*").alias("total")).where(F.col("total") >= LEAST_TOTAL).persist()
+    table = by.agg(ns.alias("ns"), F.count("*").alias("total")).where(F.col("total") >= LEAST_TOTAL).persist(StorageLevel.MEMORY_AND_DISK)
     return Counts(periods, sizes, scale_factors(table, sizes, least_df, least_terms), table)
 
 
@@ -144,21 +155,25 @@ def specificity(found: DataFrame, table: DataFrame) -> DataFrame:
 
 def leading(found: DataFrame, docs: DataFrame, order: list[Column], top: int, overlap: float = 0.8) -> DataFrame:
     """The first ``top`` of at most 80 candidates in order, without those whose documents are mostly those of one before.
-    Only the candidates' documents are gathered, and the fold over at most 80 of them is one expression."""
-    ranked = found.orderBy(*order).limit(TOP)
-    where = docs.select("id", F.explode("terms").alias("term")).join(F.broadcast(ranked.select("term")), "term").groupBy("term").agg(F.sort_array(F.collect_set("id")).alias("docs"))
-    fields = [c for c in found.columns]
-    rows = ranked.join(where, "term").agg(F.collect_list(F.struct(*fields, "docs")).alias("all"))
-    key = F.expr("array_sort(all, (a, b) -> case when a.delta > b.delta then -1 when a.delta < b.delta then 1 when contains(a.term, ' ') and not contains(b.term, ' ') then -1 when contains(b.term, ' ') and not contains(a.term, ' ') then 1 when a.common < b.common then -1 when a.common > b.common then 1 when a.term < b.term then -1 else 1 end)")
-    rows = rows.select(key.alias("all"))
-    alike = lambda x, o: F.size(F.array_intersect(x["docs"], o["docs"])) / F.least(F.size(x["docs"]), F.size(o["docs"])) >= overlap
-    empty = F.slice(F.col("all"), 1, 0)
-    kept = F.aggregate("all", empty, lambda acc, x: F.when(F.exists(acc, lambda o: alike(x, o)), acc).otherwise(F.concat(acc, F.array(x))))
-    return rows.select(F.posexplode(F.slice(kept, 1, top)).alias("place", "r")).select((F.col("place") + 1).cast("bigint").alias("place"), *[F.col(f"r.{c}").alias(c) for c in fields])
+    Each document says which candidates it holds, and pairs of candidates are counted with partial sums: what comes back
+    are at most 80 rows and their 3,240 counts, however many documents there are."""
+    ranked = found.orderBy(*order).limit(TOP).collect()
+    names = [r["term"] for r in ranked]
+    held = docs.select(F.filter("terms", lambda t: t.isin(names)).alias("held")).where(F.size("held") > 0)
+    both = held.select("held", F.explode("held").alias("a")).select("a", F.explode("held").alias("b")).where("a <= b").groupBy("a", "b").agg(F.count("*").alias("n"))
+    shared = {(r["a"], r["b"]): r["n"] for r in both.collect()}
+    kept: list = []
+    for r in ranked:
+        t = r["term"]
+        alike = (shared.get((min(t, o["term"]), max(t, o["term"])), 0) / min(shared[t, t], shared[o["term"], o["term"]]) for o in kept)
+        if len(kept) < top and not any(x >= overlap for x in alike):
+            kept.append(r)
+    schema = StructType([StructField("place", LongType()), *found.schema.fields])
+    return docs.sparkSession.createDataFrame([(k + 1, *r) for k, r in enumerate(kept)], schema)
 
 
 def lens_order() -> list[Column]:
-    return [F.desc("delta"), F.desc(F.col("term").contains(" ")), F.asc("common"), F.asc("term")]
+    return [F.desc(F.round("delta", 9)), F.desc(F.col("term").contains(" ")), F.asc("common"), F.asc("term")]
 
 
 def rising_top(docs: DataFrame, top: int = 12, rising: bool = True) -> DataFrame:

@@ -104,10 +104,9 @@ def length_percentiles(arts: DataFrame, year: int) -> DataFrame:
     return rows.groupBy("epoch", "form").agg(count().alias("n"), *exact, full)
 
 
-def upper_median(values: Column) -> Column:
+def upper_median(values: str) -> Column:
     """Of two middle values the larger."""
-    ordered = F.sort_array(F.collect_list(values))
-    return F.element_at(ordered, (F.floor(F.size(ordered) / 2) + 1).cast("int"))
+    return F.expr(f"percentile_disc(0.5) within group (order by {values} desc)")
 
 
 def size_by_epoch_form(arts: DataFrame, year: int, limit: int = 3000) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressmill.functions.text import collapse, de_hyphenated, fold_alnum
+from pressmill.functions.text import LABEL_ACCENTED, LABEL_PLAIN, collapse, de_hyphenated, fold_alnum
 from pressmill.operators.reports import long
 
 LEAST_BODY = 600
@@ -67,10 +67,15 @@ def twins(found: DataFrame, arts: DataFrame) -> DataFrame:
     return s.join(a, ["issue_id", "mark"]).withColumn("n", n).where("n = 1").select("doc", "issue_id", "place", "id")
 
 
-def issue_title(title: Column, prefix: str = r"(?:#[A-Z]+ \d+|Informe Semanal .*? \d+)") -> Column:
+# How titles name an issue, and what may follow where they say nothing else.
+ISSUE_PREFIX = r"(?iu)^\s*#?\s*(?:ispe|informe semanal(?: de pol[íi]tica exterior)?)\s*n?[.º°]?\s*\d*"
+ONLY_DATE = r"(?iu)^[\s.:·,\-–]*(?:\d{1,2}\s*)?(?:de\s+)?(?:ene|feb|mar|abr|may|jun|jul|ago|sep|set|oct|nov|dic)[a-z]*\.?\s*(?:de\s+)?\d{0,4}[\s.]*\z"
+
+
+def issue_title(title: Column, prefix: str = ISSUE_PREFIX, date: str = ONLY_DATE) -> Column:
     """Whether a title is only that of its issue: the prefix, alone or with a date."""
-    rest = F.trim(F.regexp_replace(title, rf"^\s*{prefix}[\s:.-]*", ""))
-    return F.when(rest == F.trim(title), False).otherwise((rest == "") | rest.rlike(r"(?iu)^\d{1,2} de \p{L}+(?: de \d{4})?\z"))
+    rest = F.regexp_replace(title, prefix, "")
+    return title.rlike(prefix) & (rest.rlike(r"^[ .:·,\-–]*\z") | rest.rlike(date))
 
 
 def located(text: Column, title: Column) -> Column:
@@ -82,12 +87,15 @@ def located(text: Column, title: Column) -> Column:
 
 def split_issue(texts: DataFrame, arts: DataFrame) -> DataFrame:
     """(issue_id, id, chars, part) of the text of an issue dealt out to its articles: each from its title to the next one
-    found. Letters are folded with their places in the text kept, so a cut falls where the title begins."""
-    chars = F.filter(F.transform(F.split(F.translate(F.lower("text"), "áéíóúüñ", "aeiouun"), ""), lambda c, i: F.struct(c.alias("c"), i.alias("i"))), lambda x: x["c"].rlike("^[a-z0-9]$"))
+    found, or all of it to an only article. Letters are folded as titles are, with their places in the text kept, so a cut
+    falls where the title begins."""
+    letters = F.split(F.translate(F.lower("text"), LABEL_ACCENTED, LABEL_PLAIN), "")
+    chars = F.filter(F.transform(letters, lambda c, i: F.struct(c.alias("c"), i.alias("i"))), lambda x: x["c"].rlike("^[a-z0-9]$"))
     folded = texts.select("issue_id", "text", chars.alias("chars")).select("issue_id", "text", F.array_join(F.transform("chars", lambda x: x["c"]), "").alias("plain"), F.transform("chars", lambda x: x["i"]).alias("places"))
-    rows = arts.select("issue_id", "id", fold_alnum(F.col("title")).alias("mark")).join(folded, "issue_id")
+    alone = arts.groupBy("issue_id").agg((F.count("*") == 1).alias("alone"))
+    rows = arts.select("issue_id", "id", fold_alnum(F.coalesce("title", F.lit(""))).alias("mark")).join(alone, "issue_id").join(folded, "issue_id")
     at = located(F.col("plain"), F.col("mark"))
-    rows = rows.withColumn("start", F.when(at.isNotNull(), F.element_at("places", at.cast("int")))).where("start is not null")
+    rows = rows.withColumn("start", F.when(F.col("alone"), 0).when(at.isNotNull(), F.element_at("places", at.cast("int")))).where("start is not null")
     end = F.lead("start").over(Window.partitionBy("issue_id").orderBy("start", "id"))
     rows = rows.withColumn("end", F.coalesce(end, F.length("text")))
     part = F.trim(F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")))

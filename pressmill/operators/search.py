@@ -54,12 +54,19 @@ def words_of(c: Column) -> Column:
     return F.transform(F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"(?U)\w+"), F.lit(0)), fold_word)
 
 
-def postings(arts: DataFrame) -> DataFrame:
-    """(stem, id, field, pos): every word of title, subtitle and body."""
+def postings(arts: DataFrame, wanted: list[str] | None = None) -> DataFrame:
+    """(stem, id, field, pos): every word of title, subtitle and body, or those of the wanted stems alone. Then the few
+    words of the vocabulary that have them are picked first, and a text's other words never leave its row."""
     fields = F.array(*[F.struct(F.lit(f).alias("field"), words_of(F.col(f)).alias("words")) for f in WEIGHTS])
-    rows = arts.select("id", F.explode(fields).alias("f")).select("id", "f.field", F.posexplode("f.words").alias("pos", "word"))
-    vocabulary = rows.select("word").distinct().withColumn("stem", stems("word"))
-    return rows.join(vocabulary, "word").select("stem", "id", "field", "pos")
+    each = arts.select("id", F.explode(fields).alias("f")).select("id", "f.field", "f.words")
+    vocabulary = each.select(F.explode("words").alias("word")).distinct().withColumn("stem", stems("word"))
+    if wanted is None:
+        return each.select("id", "field", F.posexplode("words").alias("pos", "word")).join(vocabulary, "word").select("stem", "id", "field", "pos")
+    forms = {r["word"]: r["stem"] for r in vocabulary.where(F.col("stem").isin(wanted)).collect()}  # the written forms of a query's words
+    found = F.filter(F.transform("words", lambda w, i: F.struct(i.alias("pos"), w.alias("word"))), lambda x: x["word"].isin(list(forms)))
+    rows = each.select("id", "field", F.explode(found).alias("x")).select("id", "field", "x.pos", "x.word")
+    stem_of = F.create_map(*[F.lit(x) for pair in forms.items() for x in pair]) if forms else F.lit(None).cast("map<string,string>")
+    return rows.select(stem_of[F.col("word")].alias("stem"), "id", "field", "pos")
 
 
 def parse_query(text: str) -> list[list[tuple[bool, list[str]]]]:
@@ -119,12 +126,31 @@ def snippet(body: Column, words: list[str], size: int = 30, fragments: int = 2)
     return F.when(body.isNotNull(), F.array_join(marked, " … "))
 
 
-def filtered(arts: DataFrame, pub: str | None = None, year: int | None = None, ids: DataFrame | None = None) -> DataFrame:
+def query_stems(query: str) -> list[str]:
+    """The stems that a query names, wanted or not."""
+    return sorted({x for a in parse_query(query) for _, parts in a for x in parts})
+
+
+def results(arts: DataFrame, query: str, number: int = 1, size: int = 25, by_rank: bool = True, **limits) -> DataFrame:
+    """One page of a search: filters, matches, rank first or newest first, a snippet of each piece, and the place in order."""
+    rows = filtered(arts, **limits)
+    index = postings(rows, query_stems(query))
+    rows = rows.join(ranked(index, query), "id")
+    newest = [F.desc_nulls_last("published_date"), F.desc("id")]
+    shown = page(rows, number, size, [F.desc("rank"), *newest] if by_rank else newest)
+    words = sorted({w["word"] for w in shown.select(F.explode(words_of(F.col("body"))).alias("word")).distinct().withColumn("stem", stems("word")).where(F.col("stem").isin(query_stems(query))).collect()})
+    order = Window.orderBy(*([F.desc("rank")] if by_rank else []), *newest)  # of one page
+    return shown.select(F.row_number().over(order).alias("pos"), "id", "pub_slug", "issue_id", "published_date", "title", "rank", snippet(F.col("body"), words).alias("snippet"))
+
+
+def filtered(arts: DataFrame, pub: str | None = None, year: int | None = None, ids: DataFrame | None = None, since: int | None = None) -> DataFrame:
     rows = pieces(arts)
     if pub:
         rows = rows.where(F.col("pub_slug") == pub)
     if year:
         rows = rows.where(F.year("published_date") == year)
+    if since:
+        rows = rows.where(F.year("published_date") >= since)
     return rows if ids is None else rows.join(ids, "id", "left_semi")
 
 
@@ -152,11 +178,36 @@ def grouped(results: DataFrame) -> DataFrame:
     return rows.groupBy(long("island").alias("island")).agg(F.min_by("pub_slug", "pos").alias("pub_slug"), F.min_by("issue_id", "pos").alias("issue_id"), F.min_by("published_date", "pos").alias("published_date"), F.transform(inside, lambda x: x["id"]).alias("ids"))
 
 
+def grouped_all(arts: DataFrame) -> DataFrame:
+    """Groups as of ``grouped`` over all pieces, newest first. The order is cut by date: a window runs within a day, and
+    what one day hands to the next, its last piece and its number of groups, is one row a day."""
+    rows = pieces(arts)
+    day = Window.partitionBy("published_date").orderBy(F.desc("id"))
+    days = Window.orderBy(F.desc_nulls_last("day"))  # as many rows as there are dates
+    key = F.struct("issue_id", "pub_slug")
+    ends = rows.groupBy(F.col("published_date").alias("day")).agg(F.min_by(key, "id").alias("end")).select("day", F.lag("end").over(days).alias("end"))
+    rows = rows.join(F.broadcast(ends), F.col("published_date").eqNullSafe(F.col("day")))
+    before = F.coalesce(F.lag(key).over(day), F.col("end"))
+    same = F.coalesce(F.col("issue_id").isNotNull() & (before["issue_id"] == F.col("issue_id")) & (before["pub_slug"] == F.col("pub_slug")), F.lit(False))
+    rows = rows.withColumn("opens", F.when(same, 0).otherwise(1)).drop("day", "end")
+    upto = rows.groupBy(F.col("published_date").alias("day")).agg(F.sum("opens").alias("n")).select("day", (F.sum("n").over(days) - F.col("n")).alias("earlier"))
+    rows = rows.join(F.broadcast(upto), F.col("published_date").eqNullSafe(F.col("day")))
+    rows = rows.withColumn("island", F.col("earlier") + F.sum("opens").over(day))
+    place = F.struct(F.col("published_date").isNull(), -F.datediff("published_date", F.lit("1970-01-01")), -F.col("id"))
+    inside = F.array_sort(F.collect_list(F.struct(place.alias("p"), "id")))
+    return rows.groupBy(long("island").alias("island")).agg(F.min_by("pub_slug", place).alias("pub_slug"), F.min_by("issue_id", place).alias("issue_id"), F.min_by("published_date", place).alias("published_date"), F.transform(inside, lambda x: x["id"]).alias("ids"))
+
+
 def neighbours(arts: DataFrame) -> DataFrame:
-    """(id, previous_id, next_id) within a publication by date and id; undated pieces have none and are none."""
-    order = Window.partitionBy("pub_slug").orderBy("published_date", "id")
+    """(id, previous_id, next_id) within a publication by date and id; undated pieces have none and are none. A window runs
+    within a day of a publication; the first and last piece of each day meet in a table of one row a day."""
     rows = pieces(arts).where("published_date is not null")
-    return rows.select("id", F.lag("id").over(order).alias("previous_id"), F.lead("id").over(order).alias("next_id"))
+    day = Window.partitionBy("pub_slug", "published_date").orderBy("id")
+    days = Window.partitionBy("pub_slug").orderBy("published_date")
+    ends = rows.groupBy("pub_slug", "published_date").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    ends = ends.select("pub_slug", "published_date", F.lag("last").over(days).alias("before"), F.lead("first").over(days).alias("after"))
+    rows = rows.select("id", "pub_slug", "published_date", F.lag("id").over(day).alias("previous"), F.lead("id").over(day).alias("next"))
+    return rows.join(F.broadcast(ends), ["pub_slug", "published_date"]).select("id", F.coalesce("previous", "before").alias("previous_id"), F.coalesce("next", "after").alias("next_id"))
 
 
 def siblings(arts: DataFrame) -> DataFrame:
@@ -179,7 +230,7 @@ def front_page(arts: DataFrame, chars: int = 420) -> DataFrame:
     rows = pieces(arts).join(F.broadcast(newest), "issue_id", "left_semi")
     longest = F.row_number().over(Window.orderBy(F.length("body").desc_nulls_last(), "id"))
     rows = rows.withColumn("place", longest)
-    return rows.select("id", (F.col("place") == 1).alias("feature"), F.substring(lead(arts, chars), 1, 40).alias("lead"), long(F.length("body")).alias("chars"))
+    return rows.select("id", (F.col("place") == 1).alias("feature"), lead(arts, chars).alias("lead"), long(F.length("body")).alias("chars"))
 
 
 def context(arts: DataFrame) -> DataFrame:

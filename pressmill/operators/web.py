@@ -11,15 +11,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressmill.functions.text import collapse, spanish_date
+from pressmill.operators.reports import is_generic_title
+from pressmill.sources.archive import html_key
 
 BLOCKS = ("p", "h2", "h3", "blockquote", "li")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: (tag, class) of the places a body may be in, in this order; the longest text wins.
 BODIES = (("div", "entry-content"), ("div", "post-content"), ("div", "article-content"), ("section", "article-body"), ("article", None), ("main", None))
-JUNK_TAGS = frozenset("script style nav aside form footer noscript".split())
-JUNK_WORDS = ("related", "share", "social", "newsletter", "comment")
+# Elements and classes whose text is no part of a body, phrases of a page that is cut off.
+JUNK_TAGS = frozenset("script style nav form aside footer header".split())
+JUNK_CLASSES = frozenset("related share social newsletter paywall".split())
+PAYWALL = ("suscríbete para seguir leyendo", "contenido exclusivo para suscriptores", "para seguir leyendo", "inicia sesión para continuar", "hazte suscriptor")
 LEAST_FULL = 1200
-PAYWALL = ("suscríbete para leer", "contenido exclusivo para suscriptores", "inicia sesión para leer")
 ARTICLE_TYPES = ("Article", "NewsArticle", "BlogPosting")
 
 RECORD = (
@@ -85,8 +88,7 @@ def read_page(html: str) -> dict:
     nodes, parts = r.nodes, r.parts
     junk = [False] * len(nodes)
     for i, (tag, attrs, parent, _, _) in enumerate(nodes):
-        words = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()
-        junk[i] = (parent >= 0 and junk[parent]) or tag in JUNK_TAGS or any(w in words for w in JUNK_WORDS)
+        junk[i] = (parent >= 0 and junk[parent]) or tag in JUNK_TAGS or not JUNK_CLASSES.isdisjoint(attrs.get("class", "").split())
     squeeze = lambda s: " ".join(s.split())
     text = lambda n: squeeze(" ".join(parts[n[3] : n[4]]))
     clean = lambda a, b: squeeze(" ".join(parts[k] for k in range(a, b) if not junk[r.owner[k]]))
@@ -172,14 +174,15 @@ def issue_links(links: DataFrame, hint: str, slug: str) -> DataFrame:
     return rows.where((F.col("link").contains(hint) | F.col("link").rlike(rf"{slug}-\d+/?\z")) & ~F.col("link").rlike("/archivo/|/ultimo/"))
 
 
-def article_records(pages: DataFrame, generic: tuple[str, ...] = (), suffix: str = r"\s+\|\s+[^|]*\z") -> DataFrame:
+def article_records(pages: DataFrame, generic: tuple[str, ...] = (), prefixes: tuple[str, ...] = (), breadcrumb: str = r"(?!)", suffix: str = r"\s+\|\s+[^|]*\z") -> DataFrame:
     """One record per page: title, subtitle, authors, date, tags, body and whether it is all there. The first title that
-    isn't generic counts: linked data, open graph, headings, title, address."""
+    isn't generic counts: linked data, open graph, headings, title, address; a generic description is no subtitle."""
     rows = pages.select("page_id", "url", page_parts("html").alias("p")).withColumn("d", F.try_parse_json("p.ld"))
     ld = lambda path: F.try_variant_get("d", path, "string")
     meta = lambda name: F.col("p.metas")[name]
     titles = F.concat(F.array(ld("$.headline"), meta("og:title")), F.col("p.headings"), F.array(F.col("p.title"), F.col("url")))
-    usable = F.filter(titles, lambda t: t.isNotNull() & (F.trim(t) != "") & ~F.lower(collapse(t)).isin(*generic, ""))
+    usable = F.filter(titles, lambda t: ~is_generic_title(t, generic, prefixes, breadcrumb))
+    described = ~is_generic_title(meta("og:description"), generic, prefixes, breadcrumb)
     people = F.coalesce(F.try_variant_get("d", "$.author", "array<struct<name:string>>"), F.array(F.struct(ld("$.author.name").alias("name"))))
     named = F.filter(F.transform(people, lambda x: x["name"]), lambda x: x.isNotNull())
     linked = F.array_sort(F.array_distinct(F.transform(F.filter("p.anchors", lambda a: a["href"].contains("/autores/") & (a["text"] != "")), lambda a: a["text"])))
@@ -192,8 +195,8 @@ def article_records(pages: DataFrame, generic: tuple[str, ...] = (), suffix: str
         "page_id",
         normalised_url(F.col("url")).alias("url"),
         F.when(F.col("url").rlike(r"/articulo/(?:[a-z0-9-]*-)?(?:" + "|".join(MONTHS) + ")-?(?:" + "|".join(MONTHS) + r")-(?:19|20)\d{2}/?\z"), "portada").otherwise("articulo").alias("kind"),
-        F.regexp_replace(collapse(usable[0]), suffix, "").alias("title"),
-        meta("og:description").alias("subtitle"),
+        F.regexp_replace(collapse(F.get(usable, F.lit(0))), suffix, "").alias("title"),
+        F.when(described, meta("og:description")).alias("subtitle"),
         F.when(F.size(named) > 0, named).otherwise(linked).alias("authors"),
         F.substring(date, 1, 10).alias("published_date"),
         F.when(F.size("p.repeated_metas") > 0, F.col("p.repeated_metas")).otherwise(tags).alias("tags"),
@@ -214,6 +217,23 @@ def issue_records(pages: DataFrame) -> DataFrame:
     return rows.select("page_id", normalised_url(F.col("url")).alias("url"), F.when(number != "", number.cast("int")).alias("number"), F.get("p.headings", F.lit(0)).alias("title"), F.substring(date, 1, 10).alias("published_date"), F.when(F.size(pdf) > 0, resolved(pdf[0]["href"], F.col("url"))).alias("pdf_url"))
 
 
+def assembled(records: DataFrame, publication: str, now: Column) -> DataFrame:
+    """Parsed records (with issue_url, issue_date, and ``missing`` where the server had no page) as they are stored: the
+    publication, a date from the issue where the page has none, the file's name, the time read, and a status. Nothing but
+    the status is stored of a missing page."""
+    there = ~F.col("missing")
+    full = F.when(~there, "404").when(F.col("is_full"), "ok").otherwise("paywalled")
+    kept = [F.when(there, F.col(c)).alias(c) for c in records.columns if c not in ("page_id", "url", "missing", "issue_date", "published_date")]
+    date = F.when(there, F.coalesce("published_date", "issue_date"))
+    return records.select("page_id", "url", *kept, date.alias("published_date"), F.when(there, F.lit(publication)).alias("publication"), F.when(there, html_key("url")).alias("raw_html_path"), F.when(there, now).alias("scraped_at"), full.alias("status"))
+
+
+def diagnostics(pages: DataFrame) -> DataFrame:
+    """What a page says of itself: title, open-graph title, canonical address, first headings."""
+    rows = pages.select("page_id", "url", page_parts("html").alias("p"))
+    return rows.select("page_id", "url", F.col("p.title").alias("title"), F.col("p.metas")["og:title"].alias("og_title"), F.col("p.canonical").alias("canonical"), F.slice("p.headings", 1, 3).alias("h1"))
+
+
 def reparsed(old: DataFrame, fresh: DataFrame, only: Column | None = None) -> DataFrame:
     """Old records with title, subtitle, authors, tags, body and is_full read anew where ``only`` holds; a date that is no
     longer found stays."""

@@ -6,12 +6,19 @@ from pyspark.sql import functions as F
 
 from pressmill.functions.text import STOPWORDS
 from pressmill.operators import lens
-from pressmill.sources.archive import ARTICLES_SQL, SKEWED_SQL, articles, skewed, table
+from pressmill.sources.archive import ARTICLES_SQL, DECLINING_SQL, SKEWED_SQL, articles, declining, skewed, table
 
 
-def docs_of(spark, d, skew: bool = True):
+def docs_of(spark, d, change=skewed):
+    """The corpus of terms. Lenses read it several times, so it is kept (on disk where memory is short) until the session's
+    cache is cleared."""
     arts = articles(table(spark, d, "documents"))
-    return lens.corpus(skewed(arts) if skew else arts)
+    return lens.corpus(change(arts) if change else arts).persist()
+
+
+def once(spark, d):
+    """The corpus for queries that read it a single time."""
+    return lens.corpus(articles(table(spark, d, "documents")))
 
 
 def rounded(df, places: int = 9):
@@ -20,7 +27,7 @@ def rounded(df, places: int = 9):
 
 def changed(rising: bool):
     def run(spark, d):
-        docs = docs_of(spark, d)
+        docs = docs_of(spark, d, skewed if rising else declining)
         return lens.changes(lens.counted(docs), rising).select("term", "n", F.round("share", 9).alias("share"), F.round("base", 9).alias("base"), F.round("lift", 6).alias("lift"), F.round(F.log10(F.greatest("p", F.lit(1e-300))), 4).alias("log_p"), F.round("delta", 9).alias("delta"), F.col("total").cast("bigint").alias("total"))
 
     return run
@@ -37,16 +44,16 @@ def signals(spark, d):
 
 
 QUERIES = {
-    "term_df": lambda spark, d: lens.vocabulary(docs_of(spark, d, False)).select("term", F.col("total").cast("bigint").alias("total")),
-    "term_period": lambda spark, d: lens.term_period(docs_of(spark, d, False)),
-    "period_density": lambda spark, d: lens.period_density(docs_of(spark, d, False)),
-    "vocab_size": lambda spark, d: lens.vocabulary(docs_of(spark, d, False)).agg(F.count("*").alias("terms"), F.sum("total").cast("bigint").alias("pairs")),
+    "term_df": lambda spark, d: lens.vocabulary(once(spark, d)).select("term", F.col("total").cast("bigint").alias("total")),
+    "term_period": lambda spark, d: lens.term_period(once(spark, d)),
+    "period_density": lambda spark, d: lens.period_density(once(spark, d)),
+    "vocab_size": lambda spark, d: lens.vocabulary(once(spark, d)).agg(F.count("*").alias("terms"), F.sum("total").cast("bigint").alias("pairs")),
     "scale_factors": lambda spark, d: lens.corpus_health(docs_of(spark, d)).select("period", "factor"),
     "corpus_health": lambda spark, d: lens.corpus_health(docs_of(spark, d)),
     "lens_rising": changed(True),
     "lens_falling": changed(False),
     "lens_rising_top": lambda spark, d: rounded(lens.rising_top(docs_of(spark, d)).select("place", "term", "n", "delta")),
-    "lens_falling_top": lambda spark, d: rounded(lens.rising_top(docs_of(spark, d), rising=False).select("place", "term", "n", "delta")),
+    "lens_falling_top": lambda spark, d: rounded(lens.rising_top(docs_of(spark, d, declining), rising=False).select("place", "term", "n", "delta")),
     "weak_signals_raw": signals_raw,
     "weak_signals": signals,
     "backtest": lambda spark, d: rounded(lens.backtest(docs_of(spark, d))),
@@ -102,6 +109,17 @@ from tails where p <= 0.01 / (select greatest(count(*), 1) from vocab where tota
     )
 
 
+def _top(rows: str, columns: str) -> str:
+    """The first 12 of 80 candidates, none of whose documents are mostly those of one before: a fold in order."""
+    return f""", best as ({rows}), spec as (select b.term, max(coalesce(v.total, 0)) as common from (select term, unnest(string_split(term, ' ')) as word from best) b left join vocab v on v.term = b.word group by b.term),
+cand as (select b.*, row_number() over (order by round(delta, 9) desc, contains(term, ' ') desc, common, term) as k from best b join spec using (term) qualify k <= 80),
+held as (select k, id from cand join found using (term)), sizes as (select k, count(*) as n from held group by k),
+near as (select a.k, list(b.k) as others from (select a.k as k, b.k as o, count(*) as n from held a join held b on a.id = b.id and b.k < a.k group by all) p, sizes a, sizes b where a.k = p.k and b.k = p.o and p.n / least(a.n, b.n) >= 0.8 group by a.k),
+fold(k, kept) as (select cast(0 as bigint), cast([] as bigint[]) union all select c.k, case when len(kept) < 12 and not list_has_any(kept, coalesce(n.others, cast([] as bigint[]))) then list_append(kept, c.k) else kept end from fold f join cand c on c.k = f.k + 1 left join near n on n.k = c.k),
+final as (select kept from fold order by k desc limit 1)
+select list_position(kept, k) as place, {columns} from cand, final where list_contains(kept, k)"""
+
+
 SQL = {
     "term_df": sql(ARTICLES_SQL, "articles", "select term, count(*) as total from found group by term having count(*) >= 4"),
     "term_period": sql(ARTICLES_SQL, "articles", "select term, period, count(*) as n from found where term in (select term from found group by term having count(*) >= 4) group by all"),
@@ -110,7 +128,9 @@ SQL = {
     "scale_factors": sql(SKEWED_SQL, "skewed", _SCALE + "select period, round(factor, 6) as factor from factors"),
     "corpus_health": sql(SKEWED_SQL, "skewed", _SCALE + "select p.period, p.docs, round((select count(*) from found f where f.period = p.period) / p.docs, 6) as density, round(factor, 6) as factor, factor < 0.7 or factor > 1.4 as warning from periods p join factors using (period)"),
     "lens_rising": sql(SKEWED_SQL, "skewed", _changes(True)),
-    "lens_falling": sql(SKEWED_SQL, "skewed", _changes(False)),
+    "lens_falling": sql(DECLINING_SQL, "skewed", _changes(False)),
+    "lens_rising_top": sql(SKEWED_SQL, "skewed", _changes(True).replace("select term, n, round(share", ", raw as (select *, now - base as delta from tails where p <= 0.01 / (select greatest(count(*), 1) from vocab where total >= 6)), unused as (select term, n, round(share") + ")" + _top("select term, n, delta from raw", "term, n, round(delta, 9) as delta")).replace("with ", "with recursive ", 1),
+    "lens_falling_top": sql(DECLINING_SQL, "skewed", _changes(False).replace("select term, n, round(share", ", raw as (select *, base - now as delta from tails where p <= 0.01 / (select greatest(count(*), 1) from vocab where total >= 6)), unused as (select term, n, round(share") + ")" + _top("select term, n, delta from raw", "term, n, round(delta, 9) as delta")).replace("with ", "with recursive ", 1),
     "weak_signals_raw": sql(
         SKEWED_SQL,
         "skewed",
@@ -128,3 +148,4 @@ select term, total, n, case when q1 > 0 then round(q4 / greatest(q1, 1e-9), 9) e
 where np >= 5 and total between 5 and 70 and q4 > 0 and cast(q2 >= q1 as int) + cast(q3 >= q2 as int) + cast(q4 >= q3 as int) >= 2 and (q1 = 0 or q4 / greatest(q1, 1e-9) >= 2) and term not in (select term from titled)""".format(stop=_STOP),
     ),
 }
+SQL["weak_signals"] = SQL["weak_signals_raw"].replace("with ", "with recursive ", 1).replace("select term, total, n, case when q1 > 0", ", raw as (select term, total, n, q4 - q1 as delta, case when q1 > 0", 1).replace(", round(q4 - q1, 9) as delta from s", " from s") + ")" + _top("select term, total, n, delta from raw", "term, total, n, round(delta, 9) as delta")

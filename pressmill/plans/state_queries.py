@@ -8,16 +8,16 @@ from pressmill.functions.text import split_tail, tail_at
 from pressmill.operators import enrich, entities, merge
 from pressmill.operators.reports import long, upper_median
 from pressmill.plans.lens_queries import rounded
-from pressmill.sources.archive import ARTICLES_SQL, SKEWED_SQL, articles, skewed, table
+from pressmill.sources.archive import ARTICLES_SQL, DECLINING_SQL, SKEWED_SQL, articles, declining, skewed, table
 
 
 def arts(spark, d):
     return articles(table(spark, d, "documents"))
 
 
-def rich(spark, d):
+def rich(spark, d, change=skewed):
     """Skewed articles, six of seven enriched."""
-    return skewed(arts(spark, d)).withColumn("enriched", F.col("id") % 7 != 0)
+    return change(arts(spark, d)).withColumn("enriched", F.col("id") % 7 != 0)
 
 
 def named(spark, d):
@@ -78,8 +78,8 @@ def tail_restore(spark, d):
 
 def tail_report(spark, d):
     rows = tailed(spark, d).withColumn("at", tail_at(F.col("body"))).withColumn("epoch", F.when(F.year("published_date") >= 2017, "new").otherwise("old"))
-    tail = F.when(F.col("at").isNotNull(), F.length("body") - F.col("at"))
-    return rows.groupBy("pub_slug", "epoch").agg(long(F.count("*")).alias("n"), long(F.count("at")).alias("cut"), long(F.sum(tail)).alias("cut_chars"), long(upper_median(tail)).alias("median_cut"))
+    rows = rows.withColumn("tail", F.length("body") - F.col("at"))
+    return rows.groupBy("pub_slug", "epoch").agg(long(F.count("*")).alias("n"), long(F.count("at")).alias("cut"), long(F.sum("tail")).alias("cut_chars"), long(upper_median("tail")).alias("median_cut"))
 
 
 def replies(spark, d):
@@ -93,12 +93,14 @@ def replies(spark, d):
 
 def enrich_parse(spark, d):
     p = enrich.parsed(replies(spark, d))
-    n = enrich.entities(p).groupBy("id").agg(long(F.count_if(F.col("kind") == "actor")).alias("actors"), long(F.count_if(F.col("kind") == "tema")).alias("subjects"))
-    return p.select("id", "usable").join(n, "id", "left").select("id", "usable", F.coalesce("actors", F.lit(0)).cast("bigint").alias("actors"), F.coalesce("subjects", F.lit(0)).cast("bigint").alias("subjects"))
+    names = lambda kind: F.array_join(F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.col("name")))), "|")
+    n = enrich.entities(p).groupBy("id").agg(names("actor").alias("actors"), names("tema").alias("subjects"))
+    return p.select("id", "usable", F.array_join("expectativas", "|").alias("quotes")).join(n, "id", "left").select("id", "usable", "quotes", F.coalesce("actors", F.lit("")).alias("actors"), F.coalesce("subjects", F.lit("")).alias("subjects"))
 
 
 def changes(kind):
-    return lambda spark, d: rounded(entities.entity_changes(rich(spark, d), named(spark, d), kind))
+    change = declining if kind == "falling" else skewed
+    return lambda spark, d: rounded(entities.entity_changes(rich(spark, d, change), named(spark, d), kind))
 
 
 QUERIES = {
@@ -146,7 +148,8 @@ _REPLIED = "replied as (select *, id % 13 <> 0 and id % 17 <> 0 as usable, subst
 
 def _entity(change: str) -> str:
     tail = {"rising": ("n >= 4 and share / base >= 1.6", "range(n, docs + 1)", "share - base"), "falling": ("base_n >= 4 and share / base <= 1 / 1.6", "range(0, n + 1)", "base - share")}
-    head = f"""with {_NAMED}, source as (select id, year(published_date) as period from rich where kind <> 'portada' and published_date is not null and is_full and enriched),
+    named_sql = _NAMED.replace(SKEWED_SQL, DECLINING_SQL) if change == "falling" else _NAMED
+    head = f"""with {named_sql}, source as (select id, year(published_date) as period from rich where kind <> 'portada' and published_date is not null and is_full and enriched),
  periods as (select period, count(*) as docs, row_number() over (order by period) as i, count(*) over () as np from source group by period),
  counts as (select kind, name, period, count(*) as n from named join source on article_id = id group by all),
  ents as (select kind, name, sum(n) as total from counts group by all having sum(n) >= 4),
@@ -183,7 +186,7 @@ SQL = {
     "tail_cut": f"with {ARTICLES_SQL}, {_TAILED} select id, cut_at as head_chars, length(body) - cut_at as tail_chars from cut where cut_at is not null",
     "tail_restore": f"with {ARTICLES_SQL}, {_TAILED} select count(*) as n, count(cut_at) as cut, count(*) as restored from cut",
     "tail_report": f"with {ARTICLES_SQL}, {_TAILED}, t as (select pub_slug, case when year(published_date) >= 2017 then 'new' else 'old' end as epoch, cut_at, length(body) - cut_at as tail from cut) select pub_slug, epoch, count(*) as n, count(cut_at) as cut, cast(sum(tail) as bigint) as cut_chars, list_sort(list(tail) filter (tail is not null))[count(tail) // 2 + 1] as median_cut from t group by all",
-    "enrich_parse": f"with {ARTICLES_SQL}, {_REPLIED} select id, usable, case when usable then case when word = '' then 1 when lower(word) = lang then 1 else 2 end else 0 end as actors, case when usable then 1 else 0 end as subjects from replied",
+    "enrich_parse": f"with {ARTICLES_SQL}, {_REPLIED} select id, usable, case when usable then quote || case when id % 4 = 0 then ' zzz' else '' end else '' end as quotes, case when usable then array_to_string(list_sort(list_filter(list_distinct([word, lang]), lambda w: w <> '')), '|') else '' end as actors, case when usable then lang else '' end as subjects from replied",
     "quote_verify": f"with {ARTICLES_SQL}, {_REPLIED} select id, case when id % 4 = 0 then 0 else 1 end as kept, case when id % 4 = 0 then 1 else 0 end as discarded from replied where usable",
     "cost_estimate": f"with {ARTICLES_SQL}, t as (select count(*) as requests, cast(sum(length(body)) as bigint) as chars from pieces where is_full) select requests, chars, round(chars / 3.6 + 400 * requests, 3) as tokens_in, round(300.0 * requests, 3) as tokens_out, round(((chars / 3.6 + 400 * requests) * 1.0 + 300.0 * requests * 5.0) / 1e6 / 2, 6) as cost from t",
     "enrich_progress": f"with {ARTICLES_SQL} select count(*) as total, count(*) filter (id % 7 <> 0) as enriched from pieces where is_full",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pressmill.functions.text import spanish_date
@@ -21,9 +20,7 @@ def found(spark, d):
 
 
 def group_consecutive(spark, d):
-    first = search.page(search.pieces(arts(spark, d)), 1, 200, [F.asc("id")])
-    rows = first.withColumn("pos", F.row_number().over(Window.orderBy("id")))
-    return search.grouped(rows).withColumn("ids", F.array_join(F.col("ids").cast("array<string>"), ","))
+    return search.grouped_all(arts(spark, d)).withColumn("ids", F.array_join(F.col("ids").cast("array<string>"), ","))
 
 
 def fragments(spark, d):
@@ -58,8 +55,13 @@ def pdf_ratio(spark, d):
 
 
 def ranked(spark, d):
-    index = search.postings(search.pieces(arts(spark, d)).select("id", "title", "subtitle", "body")).persist()
-    return search.ranked(index, '"of the" from -clown or que')
+    query = '"of the" from -clown or que'
+    index = search.postings(search.pieces(arts(spark, d)).select("id", "title", "subtitle", "body"), search.query_stems(query))
+    return search.ranked(index, query)
+
+
+def search_view(spark, d):
+    return search.results(arts(spark, d), "from que", pub="weekly", since=2015)
 
 
 def spanish_dates(spark, d):
@@ -74,14 +76,15 @@ def html_links(spark, d):
 
 
 def html_articles(spark, d):
-    return web.article_records(table(spark, d, "pages")).select("page_id", "url", "kind", "title", "subtitle", F.array_join("authors", "|").alias("authors"), "published_date", long(F.length("body")).alias("chars"), "is_full")
+    return web.article_records(table(spark, d, "pages")).select("page_id", "url", "kind", "title", "subtitle", F.array_join("authors", "|").alias("authors"), "published_date", "body", "is_full")
 
 
 QUERIES = {
-    "search_filtered": lambda spark, d: found(spark, d).select("id", "title", F.substring(search.lead(found(spark, d), 420), 1, 30).alias("lead")),
+    "search_filtered": lambda spark, d: found(spark, d).select("id", "title", search.lead(found(spark, d), 420).alias("lead")),
     "search_page": lambda spark, d: search.page(found(spark, d), 2, 10).select("id", "published_date"),
     "search_page_count": lambda spark, d: search.page_count(found(spark, d)),
     "search_ranked": ranked,
+    "search_view": search_view,
     "group_consecutive": group_consecutive,
     "prev_next": lambda spark, d: search.neighbours(arts(spark, d)),
     "siblings": lambda spark, d: search.siblings(arts(spark, d)),
@@ -106,24 +109,33 @@ _SECTIONS = r"""sections as (
     regexp_replace(regexp_replace(substr(text, 1, 40), '[ \t\x{A0}]+', ' ', 'g'), '^\s+|\s+$', '', 'g') as title,
     regexp_replace(regexp_replace(replace(text, chr(10), ''), '[ \t\x{A0}]+', ' ', 'g'), '^\s+|\s+$', '', 'g') as body
   from documents)"""
+_FOLD = "'áàäâéèëêíìïîóòöôúùüûñç', 'aaaaeeeeiiiioooouuuunc'"
 _MARK = "substr(regexp_replace(translate(lower({}), 'áàäâéèëêíìïîóòöôúùüûñç', 'aaaaeeeeiiiioooouuuunc'), '[^a-z0-9]+', '', 'g'), 1, 90)"
 
 SQL = {
-    "search_filtered": f"with {ARTICLES_SQL}, {_FOUND} select id, title, substr(coalesce(subtitle, substr(body, 1, 420)), 1, 30) as lead from found",
+    "search_filtered": f"with {ARTICLES_SQL}, {_FOUND} select id, title, coalesce(subtitle, substr(body, 1, 420)) as lead from found",
     "search_page": f"with {ARTICLES_SQL}, {_FOUND} select id, published_date from found order by published_date desc nulls last, id desc limit 10 offset 10",
     "search_page_count": f"with {ARTICLES_SQL}, {_FOUND} select count(*) as total, cast(greatest(1, ceil(count(*) / 25)) as bigint) as pages from found",
-    "group_consecutive": f"""with {ARTICLES_SQL}, p as (select *, row_number() over (order by id) as pos from pieces order by id limit 200),
+    "group_consecutive": f"""with {ARTICLES_SQL}, p as (select *, row_number() over (order by published_date desc nulls last, id desc) as pos from pieces),
  f as (select *, coalesce(issue_id is not null and lag(issue_id) over (order by pos) = issue_id and lag(pub_slug) over (order by pos) = pub_slug, false) as same from p),
  g as (select *, sum(case when same then 0 else 1 end) over (order by pos) as island from f)
  select cast(island as bigint) as island, arg_min(pub_slug, pos) as pub_slug, min(issue_id) as issue_id, first(published_date order by pos) as published_date, string_agg(cast(id as varchar), ',' order by pos) as ids from g group by island""",
     "prev_next": f"with {ARTICLES_SQL} select id, lag(id) over w as previous_id, lead(id) over w as next_id from pieces where published_date is not null window w as (partition by pub_slug order by published_date, id)",
     "siblings": f"with {ARTICLES_SQL} select a.id, b.id as sibling_id from pieces a join pieces b on a.issue_id = b.issue_id and a.pub_slug = b.pub_slug and a.id <> b.id",
     "latest_issues": f"with {ARTICLES_SQL}, t as (select issue_id, max(published_date) as published_date, count(*) as pieces from pieces where issue_id is not null and published_date is not null group by issue_id order by 2 desc, 1 desc limit 3) select row_number() over (order by published_date desc, issue_id desc) as place, issue_id, published_date, pieces from t",
-    "front_page": f"with {ARTICLES_SQL}, t as (select issue_id from pieces where issue_id is not null and published_date is not null group by issue_id order by max(published_date) desc, issue_id desc limit 1) select id, row_number() over (order by length(body) desc nulls last, id) = 1 as feature, substr(coalesce(subtitle, substr(body, 1, 420)), 1, 40) as lead, length(body) as chars from pieces where issue_id = (select issue_id from t)",
+    "front_page": f"with {ARTICLES_SQL}, t as (select issue_id from pieces where issue_id is not null and published_date is not null group by issue_id order by max(published_date) desc, issue_id desc limit 1) select id, row_number() over (order by length(body) desc nulls last, id) = 1 as feature, coalesce(subtitle, substr(body, 1, 420)) as lead, length(body) as chars from pieces where issue_id = (select issue_id from t)",
     "common_context": f"with {ARTICLES_SQL} select count(*) as pieces, count(distinct issue_id) as issues, min(published_date) as first_date, max(published_date) as last_date from pieces",
     "publication_years": f"with {ARTICLES_SQL} select distinct year(published_date) as year from pieces where published_date is not null",
     "sections": f"with {_SECTIONS} select * from sections where length(body) >= 600",
     "twin_match": f"with {ARTICLES_SQL}, {_SECTIONS}, s as (select doc, doc // 5 as issue_id, place, {_MARK.format('body')} as mark from sections where doc % 11 <> 0 and length(body) >= 600), a as (select issue_id, id, {_MARK.format('body')} as mark from articles where issue_id is not null) select doc, s.issue_id, place, a.id from s join a using (issue_id, mark) where length(mark) = 90 qualify count(*) over (partition by doc, place) = 1",
+    "pdf_split": f"""with {ARTICLES_SQL}, t as (select issue_id, string_agg(title || chr(10) || body, chr(10) order by id) as text from articles where issue_id is not null group by issue_id),
+ f as (select issue_id, text, translate(lower(text), {_FOLD}) as low from t),
+ g as (select issue_id, text, list_filter(list_transform(string_split(low, ''), lambda x, i: case when regexp_matches(x, '^[a-z0-9]$') then i end), lambda i: i is not null) as places, regexp_replace(low, '[^a-z0-9]+', '', 'g') as plain from f),
+ a as (select issue_id, id, regexp_replace(translate(lower(title), {_FOLD}), '[^a-z0-9]+', '', 'g') as mark, count(*) over (partition by issue_id) = 1 as alone from articles where issue_id is not null),
+ l as (select a.*, g.text, g.places, case when length(mark) >= 10 then coalesce(nullif(instr(plain, mark), 0), case when length(mark) > 40 then nullif(instr(plain, substr(mark, 1, 40)), 0) end, case when length(mark) > 30 then nullif(instr(plain, substr(mark, 1, 30)), 0) end, case when length(mark) > 22 then nullif(instr(plain, substr(mark, 1, 22)), 0) end) end as spot from a join g using (issue_id)),
+ s as (select issue_id, id, text, case when alone then 0 else places[spot] - 1 end as start from l where alone or spot is not null),
+ e as (select *, coalesce(lead(start) over (partition by issue_id order by start, id), length(text)) as stop from s)
+ select issue_id, id, length(trim(substr(text, start + 1, stop - start), ' ')) as chars from e""",
     "pdf_ratio": f"with {ARTICLES_SQL}, w as (select issue_id, cast(sum(length(body)) filter (is_full) as bigint) as web_chars, cast(sum(length(title) + length(body) + 2) - 1 as bigint) as pdf_chars from articles where issue_id is not null group by issue_id), r as (select *, pdf_chars / greatest(web_chars, 1) as ratio from w where web_chars is not null) select issue_id, web_chars, pdf_chars, round(ratio, 6) as ratio, case when ratio < 1.6 then 'same' when ratio < 2.5 then 'some missing' else 'much missing' end as verdict from r",
     "url_normalise": f"select page_id, {_NORMAL.format(u='url')} as url from pages",
     "spanish_dates": f"with {ARTICLES_SQL} select id, strftime(published_date, '%Y-%m-%d') as date from articles where published_date is not null",

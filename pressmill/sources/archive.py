@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,9 +37,18 @@ def append_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
+def publications(spark: SparkSession, names: dict[str, str]) -> DataFrame:
+    """The publications dimension (id, slug, name) from a configuration of names by slug."""
+    return spark.createDataFrame([(k + 1, slug, name) for k, (slug, name) in enumerate(names.items())], "id int, slug string, name string")
+
+
 def read_html(spark: SparkSession, path: str) -> DataFrame:
     """(path, html) of stored pages; bytes that aren't UTF-8 are replaced."""
-    return spark.read.format("binaryFile").load(path).select("path", F.decode("content", "UTF-8").alias("html"))
+
+    def decoded(content: pd.Series) -> pd.Series:
+        return content.map(lambda b: bytes(b).decode("utf-8", "replace"))
+
+    return spark.read.format("binaryFile").load(path).select("path", F.pandas_udf(decoded, "string")("content").alias("html"))
 
 
 def html_key(url: str = "url"):
@@ -84,6 +94,12 @@ def skewed(arts: DataFrame) -> DataFrame:
     return arts.withColumn("published_date", F.when(F.col("published_date").isNotNull(), F.make_date(year, F.month("published_date"), F.dayofmonth("published_date"))))
 
 
+def declining(arts: DataFrame) -> DataFrame:
+    """The same articles with those of one language dated to all years but the last, so that its words fall."""
+    year = F.when(F.col("lang") == "en", 2014 + F.col("id") % 5).otherwise(F.year("published_date")).cast("int")
+    return arts.withColumn("published_date", F.when(F.col("published_date").isNotNull(), F.make_date(year, F.month("published_date"), F.dayofmonth("published_date"))))
+
+
 ARTICLES_SQL = """
 articles as (
   select doc_id as id, case when doc_id % 5 = 0 then 'bimonthly' else 'weekly' end as pub_slug,
@@ -107,3 +123,13 @@ SKEWED_SQL = (
 )
 """
 )
+
+DECLINING_SQL = (
+    ARTICLES_SQL
+    + """, skewed as (
+  select * replace (case when published_date is not null then make_date(
+    case when lang = 'en' then 2014 + id % 5 else year(published_date) end, month(published_date), day(published_date)) end as published_date)
+  from articles
+)
+"""
+)

@@ -48,7 +48,7 @@ def test_replies(spark):
 
 PAGE = """<html><head><title>Site | Name</title><meta property="og:description" content="Un resumen"><meta property="article:tag" content="Asia">
 <script type="application/ld+json">{"@graph": [{"@type": "WebSite"}, {"@type": "NewsArticle", "headline": "El titular", "author": [{"name": "Ana"}, {"name": "Luis"}], "datePublished": "2020-05-06T10:00:00"}]}</script>
-</head><body><h1>Site</h1><article><div class="entry-content"><p>Uno <b>dos</b>.</p><div class="related-posts"><p>No</p></div><p>Tres.</p></div></article>
+</head><body><h1>Site</h1><article><div class="entry-content"><p>Uno <b>dos</b>.</p><div class="related"><p>No</p></div><p>Tres.</p></div></article>
 <a href="/articulo/a//b/?x=1#y">a</a><a href="https://other.example/z">z</a><a href="/articulo/a/b/">again</a><a href="#top">top</a></body></html>"""
 
 
@@ -91,9 +91,9 @@ def test_sections(spark):
 
 
 def test_issue_titles_and_twins(spark):
-    titles = ["#ISPE 12", "#ISPE 12 - 3 de mayo de 2019", "#ISPE 12: La paz", "La paz"]
+    titles = ["#ISPE 12", "#ISPE 12 - 3 de mayo de 2019", "#ispe 870", "ISPE nº 870, 14 ene 2014", "Informe semanal de Política Exterior n.º 870", "#ISPE 870 – enero 2014", "#ISPE 12: La paz", "La paz", "", "ISPE enero rojo"]
     got = [r[0] for r in spark.createDataFrame([(t,) for t in titles], "t string").select(rescue.issue_title(F.col("t"))).collect()]
-    assert got == [True, True, False, False]
+    assert got == [True] * 6 + [False] * 4
     text = "Érase una vez " * 20
     found = spark.createDataFrame([(1, 7, 1, text), (1, 7, 2, "otra cosa " * 20)], "doc int, issue_id int, place int, body string")
     arts = spark.createDataFrame([(7, 1, text.upper()), (7, 2, "distinto " * 30)], "issue_id int, id int, body string")
@@ -123,3 +123,37 @@ def test_streamed_records_become_snapshots(spark, tmp_path):
     ingest(spark, incoming, state, checkpoint).awaitTermination(120)
     assert snapshots.versions(spark, state) == [1, 2]
     assert snapshots.write_version(snapshots.current(spark, state), state) == 3
+
+
+def test_issue_text_with_an_only_article_and_other_accents(spark):
+    texts = spark.createDataFrame([(1, "todo el texto"), (2, "Antes. François Bayrou llega al poder: así. Después viene Größe und Maß: fin")], "issue_id int, text string")
+    arts = spark.createDataFrame([(1, 1, "sin relación ninguna"), (2, 2, "François Bayrou llega al poder"), (2, 3, "Después viene")], "issue_id int, id int, title string")
+    got = {r["id"]: r["part"] for r in rescue.split_issue(texts, arts).collect()}
+    assert got == {1: "todo el texto", 2: "François Bayrou llega al poder: así.", 3: "Después viene Größe und Maß: fin"}
+
+
+def test_pages_that_are_odd(spark, tmp_path):
+    from pressmill.sources.archive import read_html
+
+    (tmp_path / "a.html").write_bytes(b"<p>a\xffb</p>")
+    assert read_html(spark, str(tmp_path)).first()["html"] == "<p>a\ufffdb</p>"
+    html = "<div class=entry-content><header>cab</header><p>texto</p><p class='related x'>no</p><p class=overflow-related>sí</p><div class=paywall><p>pago</p></div></div>"
+    rows = spark.createDataFrame([(1, None, None), (2, "http://x/y", html), (3, "http://x/z", "<meta property='og:description' content='Grupo editorial X'><article><p>" + "a " * 700 + "Hazte suscriptor</p></article>")], "page_id int, url string, html string")
+    got = {r["page_id"]: r for r in web.article_records(rows, prefixes=("grupo editorial",)).collect()}
+    assert got[1]["title"] is None and got[2]["body"] == "texto\n\nsí" and got[3]["subtitle"] is None and not got[3]["is_full"]
+
+
+def test_assembled_records(spark):
+    rows = spark.createDataFrame([(1, "http://x/a", "t", True, None, "i", "2014-01-14", False), (2, "http://x/b", "t", False, "2015-01-01", None, None, False), (3, "http://x/c", "t", True, None, None, None, True)], "page_id int, url string, title string, is_full boolean, published_date string, issue_url string, issue_date string, missing boolean")
+    got = {r["page_id"]: r for r in web.assembled(rows, "weekly", F.current_timestamp()).collect()}
+    assert [(got[k]["status"], got[k]["published_date"], got[k]["publication"]) for k in (1, 2, 3)] == [("ok", "2014-01-14", "weekly"), ("paywalled", "2015-01-01", "weekly"), ("404", None, None)]
+    assert got[3]["title"] is None and got[1]["raw_html_path"].endswith(".html")
+
+
+def test_search_results_rank_first(spark):
+    rows = [(1, "weekly", 1, "2020-01-01", "La paz", None, "nada aquí"), (2, "weekly", 1, "2021-01-01", "Otro", None, "paz y paz y paz"), (3, "bimonthly", 2, "2022-01-01", "Guerra", None, "sin tema"), (4, "weekly", None, "2010-01-01", "Paz", "paz", "paz")]
+    arts = spark.createDataFrame(rows, "id int, pub_slug string, issue_id int, published_date string, title string, subtitle string, body string").withColumn("kind", F.lit("articulo")).withColumn("published_date", F.col("published_date").cast("date"))
+    by_rank = [r["id"] for r in search.results(arts, "paz").collect()]
+    assert by_rank == [4, 1, 2] and [r["id"] for r in search.results(arts, "paz", by_rank=False).collect()] == [2, 1, 4]
+    assert [r["id"] for r in search.results(arts, "paz", since=2020, pub="weekly").collect()] == [1, 2]
+    assert {r["id"]: r["snippet"] for r in search.results(arts, "paz").collect()}[2] == "<mark>paz</mark> y <mark>paz</mark> y <mark>paz</mark>"
