@@ -91,7 +91,7 @@ def test_sections(spark):
 
 
 def test_issue_titles_and_twins(spark):
-    titles = ["#ISPE 12", "#ISPE 12 - 3 de mayo de 2019", "#ispe 870", "ISPE nº 870, 14 ene 2014", "Informe semanal de Política Exterior n.º 870", "#ISPE 870 – enero 2014", "#ISPE 12: La paz", "La paz", "", "ISPE enero rojo"]
+    titles = ["#ISPE 12", "#ISPE 12 - 3 de mayo de 2019", "#ispe 870", "ISPE nº 870, 14 ene 2014", "Informe semanal de Política Exterior nº 870", "#ISPE 870 – enero 2014", "#ISPE 12: La paz", "La paz", "", "ISPE enero rojo"]
     got = [r[0] for r in spark.createDataFrame([(t,) for t in titles], "t string").select(rescue.issue_title(F.col("t"))).collect()]
     assert got == [True] * 6 + [False] * 4
     text = "Érase una vez " * 20
