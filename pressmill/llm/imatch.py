@@ -4,7 +4,7 @@ Document frequencies of all terms are counted over the whole corpus. The lexicon
 inverse document frequency; since the frequencies of all terms add up to (documents x mean distinct terms), it has at
 most (mean distinct terms / least share) terms however large the corpus is. It is broadcast when it is within a checked
 size, joined by shuffle when not. Of a text the distinct terms in the lexicon are sorted; all of them are hashed, and those in each of 66
-randomised subsets of the lexicon (4 draws at the rate 1/2, 2 at 1/4, 12 at each of 1/8, 1/32, 1/128, 1/256 and 1/1024). The fingerprint is these
+randomised subsets of the lexicon (4 draws at the rate 1/2, 2 at 1/4, 12 at each of 1/32, 1/128, 1/256, 1/512 and 1/1024). The fingerprint is these
 67 hashes in hexadecimal, 000000 where a subset holds no term of the text. Two fingerprints are as like as the share of
 subsets, with a term in either, that have equal hashes.
 
@@ -29,10 +29,12 @@ LEAST_SHARE, MOST_SHARE = 0.001, 0.2
 FEW_TERMS = 16
 #: Rows of a lexicon that may be broadcast (16 bytes each).
 BROADCAST_ROWS = 500_000
-#: Documents of a range, and ranges at most; beyond that ranges get longer.
+#: Documents of a range, and quantiles of the ids at most; beyond that each stretch between two is cut into equal parts.
 RANGE_ROWS, RANGES = 200, 4096
+#: First rows of ranges that may be broadcast.
+FIRSTS = 200_000
 #: A subset keeps one term in 2 to the power of this; each rate is drawn 12 times.
-RATES = (3, 5, 7, 8, 10)
+RATES = (5, 7, 8, 9, 10)
 WORDS = r"[\s\p{Punct}]+"
 
 
@@ -85,7 +87,6 @@ def likeness(a: Column, b: Column, equal: Column) -> Column:
 def in_ranges(docs: DataFrame) -> DataFrame:
     """doc_id, ord (null ids first), text, range_id and helper: each row in its range of ids, and the first row of each range
     once more, as a helper, at the end of the range before it (the very first at the end of the last)."""
-    spark = docs.sparkSession
     docs = docs.withColumn("ord", F.coalesce("doc_id", F.lit(-(1 << 63))))
     n = docs.count()
     ranges = max(1, min(RANGES, n // RANGE_ROWS))
@@ -99,11 +100,22 @@ def in_ranges(docs: DataFrame) -> DataFrame:
         bucket = whole + F.size(F.filter(F.slice(array, whole + 1, F.lit(step)), lambda b: b < ids))
     else:
         bucket = F.lit(0)
-    docs = docs.withColumn("range_id", bucket.cast("int"))
-    firsts = [(r["range_id"], r["first"]) for r in docs.groupBy("range_id").agg(F.min("ord").alias("first")).orderBy("range_id").collect()]
-    before = [(first, firsts[i - 1][0]) for i, (_, first) in enumerate(firsts)]
-    ahead = spark.createDataFrame(before, "ord long, to_range int")
-    both = docs.join(F.broadcast(ahead), "ord", "left")
+    docs = docs.withColumn("coarse", bucket.cast("int"))
+    parts = max(1, n // (RANGE_ROWS * RANGES))
+    ends = [-(1 << 63), *bounds, (1 << 63) - 1]
+    low, high = (F.lit(ends).cast("array<bigint>")[F.col("coarse") + k].cast("double") for k in (0, 1))
+    part = F.least(F.floor((ids.cast("double") - low) / F.greatest(high - low, F.lit(1.0)) * parts), F.lit(parts - 1)) if parts > 1 else F.lit(0)
+    docs = docs.withColumn("range_id", F.col("coarse").cast("long") * parts + part.cast("long"))
+    # the first row of each range goes to the range before it, which may lie in the stretch before; the first of all to the last
+    firsts = docs.groupBy("coarse", "range_id").agg(F.min("ord").alias("ord"))
+    last = dict(firsts.groupBy("coarse").agg(F.max("range_id")).collect())  # a row for each quantile
+    order = sorted(last)
+    before = {c: last[order[i - 1]] for i, c in enumerate(order)}
+    entry = F.element_at(F.create_map(*[F.lit(x).cast("long") for pair in before.items() for x in pair]), F.col("coarse").cast("long")) if before else F.lit(None).cast("long")
+    ahead = firsts.select("ord", F.coalesce(F.lag("range_id").over(Window.partitionBy("coarse").orderBy("range_id")), entry).alias("to_range"))
+    if len(ends) * parts <= FIRSTS:
+        ahead = F.broadcast(ahead)
+    both = docs.join(ahead, "ord", "left")
     places = F.when(F.col("to_range").isNull(), F.array(F.struct(F.col("range_id").alias("r"), F.lit(False).alias("h")))).otherwise(
         F.array(F.struct(F.col("range_id").alias("r"), F.lit(False).alias("h")), F.struct(F.col("to_range").alias("r"), F.lit(True).alias("h")))
     )

@@ -38,8 +38,7 @@ class Settings:
     step: float = 0.5
     batch: int = 32
     seed: int = 7
-    least_docs: int = 6  # sample texts that a feature must occur in to be learned; others weigh nothing
-    damping: float = 1e-5  # of the per-coordinate steps: features seen seldom move little
+    damping: float = 1e-4  # of the per-coordinate steps: features seen seldom move little
 
 
 def byte_table(lowercase: bool) -> np.ndarray:
@@ -112,19 +111,20 @@ class Hasher:
 
 
 def featurize(settings: Settings):
-    """(label, text) rows to (label, distinct buckets, share of each), as bytes of int32 and float32."""
-    schema = pa.schema([("label", pa.int32()), ("ids", pa.binary()), ("shares", pa.binary())])
+    """(label, text) rows to (label, distinct buckets, count of each), as bytes of int32 and uint16 (counts are scaled down
+    where one is larger): what training shares out."""
+    schema = pa.schema([("label", pa.int32()), ("ids", pa.binary()), ("counts", pa.binary())])
 
     def run(batches):
         hasher = Hasher(settings)
         for batch in batches:
-            ids, shares = [], []
+            ids, counts = [], []
             for value in batch.column(1):
                 found = [bucket for _, _, data in pieces([value.as_buffer().to_pybytes()]) for _, bucket in hasher(data)]
                 unique, count = np.unique(np.concatenate(found), return_counts=True)
                 ids.append(unique.astype(np.int32).tobytes())
-                shares.append((count / max(1, count.sum())).astype(np.float32).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array(shares, pa.binary())], schema=schema)
+                counts.append(np.ceil(count * min(1, 65535 / count.max(initial=1))).astype(np.uint16).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array(counts, pa.binary())], schema=schema)
 
     return run
 
@@ -136,7 +136,7 @@ class Model:
     bias: float
 
 
-def fit(labels: np.ndarray, ids: list[np.ndarray], shares: list[np.ndarray], positives: int, negatives: int, s: Settings) -> Model:
+def fit(labels: np.ndarray, ids: list[np.ndarray], counts: list[np.ndarray], positives: int, negatives: int, s: Settings) -> Model:
     """Train on the sample; a fifth of it chooses the epoch and calibrates. ``positives`` and ``negatives`` are the counts
     of all labelled rows, to which the bias is set back."""
     prior = np.log((positives + 1) / (negatives + 1))
@@ -146,25 +146,28 @@ def fit(labels: np.ndarray, ids: list[np.ndarray], shares: list[np.ndarray], pos
     order = rng.permutation(len(labels))
     held, train = order[: len(order) // 5], order[len(order) // 5 :]
 
+    def share(i):
+        return (counts[i] / max(1, counts[i].sum(dtype=np.int64))).astype(np.float32)
+
     def pack(rows):
         flat = np.concatenate([ids[i] for i in rows])
         unique, inverse = np.unique(flat, return_inverse=True)
         sizes = np.array([len(ids[i]) for i in rows])
         row = np.repeat(np.arange(len(rows)), sizes)
-        return unique, inverse.astype(np.int32), row.astype(np.int16), np.concatenate([shares[i] for i in rows]), labels[rows]
+        return unique, inverse.astype(np.int32), row.astype(np.int16), np.concatenate([share(i) for i in rows]), labels[rows]
 
     batches = [pack(train[i : i + s.batch]) for i in range(0, len(train), s.batch)]
-    seen = np.zeros(1 << s.bits, np.int32)
-    for i in train:
-        seen[ids[i]] += 1
-    known = seen >= s.least_docs
+    known = np.zeros(1 << s.bits, bool)  # features of the sample; others weigh nothing
+    for unique, *_ in batches:
+        known[unique] = True
     e = rng.standard_normal((1 << s.bits, s.dim), np.float32)
     e *= np.float32(0.1) * known[:, None]
     e2 = np.full((1 << s.bits, s.dim), s.damping, np.float32)
     w, w2 = rng.normal(0, 0.5, (s.dim, 2)), np.full((s.dim, 2), 1e-6)
     c, c2 = np.zeros(2), np.full(2, 1e-6)
-    best, kept, flat_held = np.inf, None, [(ids[i], shares[i]) for i in held]
+    best, kept, flat_held = np.inf, None, [(ids[i].copy(), share(i)) for i in held]
     y_held = labels[held]
+    ids.clear(), counts.clear()  # packed above; the driver needs no second copy
     bias_mix = np.log(max(1, (labels == 1).sum()) / max(1, (labels == 0).sum()))
 
     def calibrated(z):
@@ -192,7 +195,7 @@ def fit(labels: np.ndarray, ids: list[np.ndarray], shares: list[np.ndarray], pos
             g_w, g_c, g_mean = mean.T @ p, p.sum(0), (p @ w.T)[row] * share[:, None]
             g_e = np.stack([np.bincount(inverse, g_mean[:, d], len(unique)) for d in range(s.dim)], 1)
             e2[unique] += g_e * g_e
-            e[unique] = own - step * known[unique, None] * g_e / np.sqrt(e2[unique])
+            e[unique] = own - step * g_e / np.sqrt(e2[unique])
             w2 += g_w * g_w
             w -= 0.2 * step * g_w / np.sqrt(w2)
             c2 += g_c * g_c
@@ -214,15 +217,16 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, s: Settings, id_co
     share = [known.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(s.per_class) for y in (0, 1)]
     sample = share[0].unionByName(share[1])
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    rows = plain.join(F.broadcast(sample), "doc_id").select("label", "text").mapInArrow(featurize(s), "label int, ids binary, shares binary").toArrow()
+    rows = plain.join(F.broadcast(sample), "doc_id").select("label", "text").mapInArrow(featurize(s), "label int, ids binary, counts binary").toArrow()
     known.unpersist()
     # a fixed order, whatever the order of the tasks; the arrays stay where Arrow has them
     known_labels = rows.column(0).to_numpy()
     ids = [np.frombuffer(v.as_buffer(), np.int32) for v in rows.column(1)]
-    shares = [np.frombuffer(v.as_buffer(), np.float32) for v in rows.column(2)]
+    counted = [np.frombuffer(v.as_buffer(), np.uint16) for v in rows.column(2)]
     order = sorted(range(len(ids)), key=lambda i: (known_labels[i], hashlib.sha256(ids[i].tobytes()).digest()))
-    model = fit(known_labels[order].astype(np.int64), [ids[i] for i in order], [shares[i] for i in order], counts.get(1, 0), counts.get(0, 0), s)
-    del rows, ids, shares
+    known_labels, in_order, counted = known_labels[order].astype(np.int64), [ids[i] for i in order], [counted[i] for i in order]
+    del rows, ids
+    model = fit(known_labels, in_order, counted, counts.get(1, 0), counts.get(0, 0), s)
     pa.default_memory_pool().release_unused()
     return model
 
