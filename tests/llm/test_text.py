@@ -85,6 +85,45 @@ def test_surrogates(spark):
     assert pii.replace_private(df.limit(0)).count() == 0
 
 
+def test_mentions_of_a_person_and_more_forms(spark):
+    rows = [
+        (1, "Mr. John Smith came. Later Smith left, and John Smith spoke; SMITH wrote to john.smith@x.org. Blacksmith."),
+        (2, "Smith and John are no names where nobody says so."),
+        (3, "Dr. Alan Turing; my name is Ada Lovelace, Lovelace said."),
+        (4, "555 123 4567, (020) 7946 0958, 0171 234567, 030 1234567"),
+        (5, "2001:db8::1 und 2001:DB8:0:0:0:0:0:1, 10:30:15"),
+        (6, "1700000000000 und 9780306406157 bleiben, 4539578763621486 nicht"),
+        (7, "γιώργος@ελλάδα.gr, 山田@例え.jp"),
+    ]
+    out = {r["doc_id"]: r for r in pii.replace_private(frame(spark, rows)).collect()}
+    text = {k: r["text"] for k, r in out.items()}
+    given, surname = re.match(r"Mr\. (\w+) (\w+) came", text[1]).groups()
+    assert text[1].startswith(f"Mr. {given} {surname} came. Later {surname} left, and {given} {surname} spoke; {surname.upper()} wrote to ") and text[1].endswith(" Blacksmith.")
+    assert not re.search("(?i)smith|john", text[1].replace("Blacksmith", "")) and text[2] == rows[1][1]
+    assert not re.search("Alan|Turing|Ada|Lovelace", text[3]) and re.search(r"name is (\w+) (\w+), \2 said", text[3])
+    assert re.sub(r"\d", "0", text[4]) == re.sub(r"\d", "0", rows[3][1]) and not any(n in text[4] for n in ("123 4567", "7946", "234567"))
+    assert re.fullmatch(r"[0-9a-f]{4}:[0-9a-f]{3}::[0-9a-f] und [0-9A-F]{4}:[0-9A-F]{3}(:[0-9A-F]){6}, 10:30:15", text[5]) and "db8" not in text[5].lower()
+    assert "1700000000000" in text[6] and "9780306406157" in text[6] and "4539578763621486" not in text[6] and out[6]["n_entities"] == 1
+    assert re.fullmatch(r"[α-ω]{7}@[α-ω]{6}\.gr, [\u4e00-\u9fff]{2}@\S{2,3}\.jp", text[7]) and "γιώργος" not in text[7]
+
+
+def test_no_original_is_left_and_surrogates_are_distinct(spark):
+    """Every planted entity of a small table against the text that comes out."""
+    rng = random.Random(21)
+    planted, rows = [], []
+    for i in range(120):
+        digits = "".join(rng.choice("123456789") for _ in range(16))
+        kinds = [f"u{rng.randrange(10**6)}@host{i % 5}.example.com", f"{rng.randint(11, 250)}.{rng.randint(11, 250)}.{rng.randint(11, 250)}.{rng.randint(11, 250)}", f"+1 {digits[:3]} {digits[3:6]} {digits[6:10]}", f"{digits[:3]}-{digits[3:5]}-{digits[5:9]}", f"{digits[:4]} {digits[4:8]} {digits[8:12]} {digits[12:]}", "".join(rng.choice("0123456789abcdef") for _ in range(40))]
+        kinds = [k for k in kinds if rng.random() < 0.7]
+        planted += kinds
+        rows.append((i, " algo ".join(["inicio", *kinds, "fin"])))
+    text = {r["doc_id"]: r["text"] for r in pii.replace_private(frame(spark, rows)).collect()}
+    whole = "\n".join(text.values())
+    assert not [p for p in planted if p in whole]
+    new = [part for i, _ in rows for part in text[i].split(" algo ")[1:-1]]
+    assert len(new) == len(planted) and len(set(new)) == len(set(planted)) and not set(new) & set(planted)
+
+
 def test_no_two_entities_share_a_surrogate(spark):
     rows = [(i, f"{chr(97 + i % 26)}{i % 10}@m{i % 3}.org") for i in range(260)]
     text = {r["doc_id"]: r["text"] for r in pii.replace_private(frame(spark, rows)).collect()}
