@@ -14,6 +14,7 @@ space; a page of plain text is its text; pages are read whole, whatever their le
 
 from __future__ import annotations
 
+import functools
 import html as entities
 import random
 import re
@@ -514,7 +515,9 @@ def inherited(tree: Tree, y: np.ndarray) -> np.ndarray:
     return y
 
 
+@functools.lru_cache
 def trained(pages: int = 1000, seed: int = 11, **settings) -> Boosted:
+    """The model of so many made-up pages; a process trains it once."""
     rng = random.Random(seed)
     xs, ys = [], []
     for _ in range(pages):

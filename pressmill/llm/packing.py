@@ -198,11 +198,13 @@ def plan(counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> list[tuple[
                 columns += 1
                 key = tuple((int(lengths[i]), int(a[i])) for i in np.flatnonzero(a))
                 mass[key] = mass.get(key, 0) + 1
-        scale = sequences / columns
+        scale, due = sequences / columns, 0.0  # what rounding down leaves goes to the next configuration
         for key, m in sorted(mass.items(), key=lambda x: (sum(v * a for v, a in x[0]), x[1]), reverse=True):
             if sum(v * a for v, a in key) < FULL * capacity:
                 continue
-            times = min(int(m * scale), min(int(left[v]) // a for v, a in key))
+            due += m * scale
+            times = min(int(due), min(int(left[v]) // a for v, a in key))
+            due -= int(due)
             if times > 0:
                 chosen.append((dict(key), times))
                 for v, a in key:

@@ -483,4 +483,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(table(spark, sf_dir, "documents"))
+    return remove_repeats(table(spark, sf_dir, "documents")).withColumn("has_repeats", F.col("n_removed") > 0)
