@@ -4,7 +4,7 @@ A text is a bag of hashed features: its white-space words, the character n-grams
 each word whether it repeats the one before it (two reserved buckets).
 Every feature owns an embedding; their average goes through a linear softmax. Embeddings and softmax are trained
 jointly by stochastic gradient descent with per-coordinate steps, in numpy, on a bounded sample of labelled rows (the
-bound is a parameter; features of the sample are made in tasks). Since softmax(mean(E) W + b) only needs E W, the
+bound is a parameter; features of the sample are made in tasks, and one task trains on them). Since softmax(mean(E) W + b) only needs E W, the
 trained model is shipped as one number a feature, a table of fixed size, and whole texts are scored in Arrow batches.
 """
 
@@ -217,18 +217,29 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, s: Settings, id_co
     share = [known.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(s.per_class) for y in (0, 1)]
     sample = share[0].unionByName(share[1])
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    rows = plain.join(F.broadcast(sample), "doc_id").select("label", "text").mapInArrow(featurize(s), "label int, ids binary, counts binary").toArrow()
+    features = plain.join(F.broadcast(sample), "doc_id").select("label", "text").mapInArrow(featurize(s), "label int, ids binary, counts binary")
+    # the sample is bounded, so one task trains on it, and the driver gets the table of weights alone
+    made = features.repartition(1).mapInArrow(fitted(counts.get(1, 0), counts.get(0, 0), s), "weights binary, bias double").collect()
     known.unpersist()
-    # a fixed order, whatever the order of the tasks; the arrays stay where Arrow has them
-    known_labels = rows.column(0).to_numpy()
-    ids = [np.frombuffer(v.as_buffer(), np.int32) for v in rows.column(1)]
-    counted = [np.frombuffer(v.as_buffer(), np.uint16) for v in rows.column(2)]
-    order = sorted(range(len(ids)), key=lambda i: (known_labels[i], hashlib.sha256(ids[i].tobytes()).digest()))
-    known_labels, in_order, counted = known_labels[order].astype(np.int64), [ids[i] for i in order], [counted[i] for i in order]
-    del rows, ids
-    model = fit(known_labels, in_order, counted, counts.get(1, 0), counts.get(0, 0), s)
-    pa.default_memory_pool().release_unused()
-    return model
+    if not made:
+        return fit(np.zeros(0, np.int64), [], [], counts.get(1, 0), counts.get(0, 0), s)
+    return Model(s, np.frombuffer(bytes(made[0]["weights"]), np.float32), made[0]["bias"])
+
+
+def fitted(positives: int, negatives: int, s: Settings):
+    """Rows of ``featurize`` to one row, the trained model."""
+
+    def run(batches):
+        held = list(batches)
+        labels = np.concatenate([b.column(0).to_numpy() for b in held]) if held else np.zeros(0, np.int64)
+        ids = [np.frombuffer(v.as_buffer(), np.int32) for b in held for v in b.column(1)]
+        counts = [np.frombuffer(v.as_buffer(), np.uint16) for b in held for v in b.column(2)]
+        # a fixed order, whatever the order of the tasks
+        order = sorted(range(len(ids)), key=lambda i: (labels[i], hashlib.sha256(ids[i].tobytes()).digest()))
+        model = fit(labels[order].astype(np.int64), [ids[i] for i in order], [counts[i] for i in order], positives, negatives, s)
+        yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.bias], pa.float64())], names=["weights", "bias"])
+
+    return run
 
 
 def scored(docs: DataFrame, model: Model, name: str, text_col: str = "text") -> DataFrame:
