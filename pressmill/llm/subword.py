@@ -235,7 +235,7 @@ def fitted(positives: int, negatives: int, s: Settings):
         ids = [np.frombuffer(v.as_buffer(), np.int32) for b in held for v in b.column(1)]
         counts = [np.frombuffer(v.as_buffer(), np.uint16) for b in held for v in b.column(2)]
         # a fixed order, whatever the order of the tasks
-        order = sorted(range(len(ids)), key=lambda i: (labels[i], hashlib.sha256(ids[i].tobytes()).digest()))
+        order = np.array(sorted(range(len(ids)), key=lambda i: (labels[i], hashlib.sha256(ids[i].tobytes()).digest())), np.int64)
         model = fit(labels[order].astype(np.int64), [ids[i] for i in order], [counts[i] for i in order], positives, negatives, s)
         yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.bias], pa.float64())], names=["weights", "bias"])
 
