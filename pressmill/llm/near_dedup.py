@@ -8,7 +8,7 @@ words have one key. Bands of eight of 256 registers put texts in buckets (a pair
 0.997, of 0.5 with 0.12). Only texts that meet another get 1,024 further registers, of which one bit each is kept; pairs
 that differ in more of these bits than three standard deviations allow a pair of similarity 0.8 (one in 700 of those is
 lost, fewer above) are passed over before any text is joined. The rest are verified by the exact probability Jaccard
-similarity. First each bucket is compared with one of its members, three times over, which
+similarity. First each bucket is compared with one of its members, twice over, which
 unites nearly all; what is still outside its bucket's largest class is then compared with members of other classes. Links
 make classes (least label with pointer jumping, each round written to the shared folder).
 
@@ -40,7 +40,7 @@ WORDS = [f"s{k}" for k in range(BITS // 64)]
 #: Ids of texts to fetch that are broadcast; more are joined by a shuffle.
 FETCHED = 400_000
 #: Comparisons of each bucket with one member before those of its smaller classes with the rest.
-STARS = 3
+STARS = 2
 CHUNK = 2 << 20
 ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 FOLD = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -234,27 +234,31 @@ def verify(threshold: float):
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(key, label): the least key of the component of each linked key."""
-    edges = staged(links.select(F.col("key").alias("a"), F.col("pivot").alias("b")).union(links.select("pivot", "key")).distinct(), "edges")
-    labels = staged(edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).select(F.col("a").alias("key"), "label", F.lit(None).cast("binary").alias("old")), "labels")
+    """A staged table with (key, label): the least key of the component of each linked key. Every key is its own neighbour
+    too, so that one aggregation takes the least of its own and its neighbours' labels."""
+    both = links.select(F.col("key").alias("a"), F.col("pivot").alias("b"))
+    edges = staged(both.withColumn("e", F.explode(F.array(*(F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x in "ab" for y in "ab")))).select("e.*").distinct(), "edges")
+    labels = staged(edges.groupBy(F.col("a").alias("key")).agg(F.min("b").alias("label")), "labels")
     while True:
         now = labels.select("key", "label")
-        reached = edges.join(now, edges["b"] == now["key"]).groupBy(F.col("a").alias("key")).agg(F.min("label").alias("near"))
-        better = now.join(reached, "key").select("key", F.least("label", "near").alias("label"), F.col("label").alias("old"))
-        up = now.select(F.col("key").alias("label"), F.col("label").alias("above"))
-        better = staged(better.join(up, "label").select("key", F.least("label", "above").alias("label"), "old"), "labels")
+        near = edges.join(now, edges["b"] == now["key"]).groupBy("a").agg(F.min("label").alias("least"), F.min(F.when(F.col("a") == F.col("b"), F.col("label"))).alias("old"))
+        up = now.select(F.col("key").alias("least"), F.col("label").alias("above"))
+        better = staged(near.join(up, "least").select(F.col("a").alias("key"), F.least("least", "above").alias("label"), "old"), "labels")
         discard(labels)
         labels = better
         if labels.where(F.col("label") != F.col("old")).isEmpty():
-            out = staged(labels.select("key", "label"), "labels")
-            discard(edges), discard(labels)
-            return out
-
-
-def united(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """The labels after new links, which are followed between classes, not between their members."""
-    ends = links.join(labels.select("key", F.col("label").alias("a")), "key").join(labels.select(F.col("key").alias("pivot"), F.col("label").alias("b")), "pivot")
-    roots = components(ends.select(F.col("a").alias("key"), F.col("b").alias("pivot")).distinct())
+            discard(edges)
+            return labels
+
+
+def united(labels: DataFrame, links: DataFrame, own: bool) -> DataFrame:
+    """The labels after new links, which are followed between classes, not between their members. ``own`` says that every
+    key is still its own label."""
+    ends = links.select("key", "pivot")
+    if not own:
+        at_key, at_pivot = labels.select("key", F.col("label").alias("a")), labels.select(F.col("key").alias("pivot"), F.col("label").alias("b"))
+        ends = ends.join(at_key, "key").join(at_pivot, "pivot").select(F.col("a").alias("key"), F.col("b").alias("pivot"))
+    roots = components(ends)
     new = staged(labels.join(roots.select(F.col("key").alias("label"), F.col("label").alias("root")), "label", "left").select("key", F.coalesce("root", "label").alias("label")), "labels")
     discard(labels), discard(roots)
     return new
@@ -279,7 +283,8 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def with_pivots(member: DataFrame, step: int, threshold: float) -> DataFrame:
     """Pairs of each member of a bucket with one member of another class, drawn anew in each step."""
-    pivots = member.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("key", F.lit(step)).alias("draw"), "key", "label", *WORDS)).alias("p")).select("bucket", "p.*")
+    drawn = F.min(F.struct(F.xxhash64("key", F.lit(step)).alias("draw"), "key", "label", *WORDS)).alias("p")
+    pivots = member.groupBy("bucket").agg(drawn, F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket", "p.*")
     x, y = member.alias("x"), pivots.alias("y")
     pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label")) & alike("x", "y", threshold))
     return pairs.select(F.greatest("x.key", "y.key").alias("key"), F.least("x.key", "y.key").alias("pivot")).distinct()
@@ -288,6 +293,9 @@ def with_pivots(member: DataFrame, step: int, threshold: float) -> DataFrame:
 def with_others(member: DataFrame, threshold: float) -> DataFrame:
     """Pairs of each member outside a bucket's largest class with members of other classes, in the first bucket that both
     are in and nowhere else."""
+    sizes = member.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("classes")).where("classes > 1").select("bucket", "main")
+    member = staged(member.join(largest, "bucket"), "mixed")
     all_of = member.groupBy("key").agg(F.collect_set("bucket").alias("buckets"))  # a key is in as many buckets as there are bands
     member = member.join(all_of, "key")
     x, y = member.where("label <> main").alias("x"), member.alias("y")
@@ -314,23 +322,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         both = pairs.join(held.select("key", "folded"), "key").join(held.select(F.col("key").alias("pivot"), F.col("folded").alias("pivot_text")), "pivot")
         return both.select("key", "pivot", "folded", "pivot_text").mapInArrow(verify(threshold), "key binary, pivot binary, similarity double")
 
-    labels, links, tried = staged(member.select("key", F.col("key").alias("label")).distinct(), "labels"), None, None
+    labels, own, links, tried = held.select("key", F.col("key").alias("label")), True, [], []
     for step in range(STARS + 1):
-        placed = member.join(labels, "key")
-        sizes = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-        largest = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("classes")).where("classes > 1").select("bucket", "main")
-        mixed_ones = staged(placed.join(largest, "bucket"), "mixed")
-        pairs = with_pivots(mixed_ones, step, threshold) if step < STARS else with_others(mixed_ones, threshold)
-        pairs = staged(pairs.join(tried, ["key", "pivot"], "left_anti") if tried else pairs, "candidates")
-        found = staged(verified(pairs), "links")
-        discard(mixed_ones)
-        if not found.isEmpty():
-            labels = united(labels, found)
-        links = staged(links.unionByName(found), "links") if links else found
-        tried = staged(tried.unionByName(pairs), "candidates") if tried else pairs
-    degree = links.select("key").union(links.select("pivot")).groupBy("key").agg(F.count("*").alias("n_links"))
+        placed = member.withColumn("label", F.col("key")) if own else member.join(labels, "key")
+        pairs = with_pivots(placed, step, threshold) if step < STARS else with_others(placed, threshold)
+        for before in tried:
+            pairs = pairs.join(before, ["key", "pivot"], "left_anti")
+        tried.append(staged(pairs, "candidates"))
+        links.append(staged(verified(tried[-1]), "links"))
+        if not links[-1].isEmpty():
+            labels, own = united(labels, links[-1], own), False
+    degree = reduce(DataFrame.union, (found.select(end) for found in links for end in ("key", "pivot"))).groupBy("key").agg(F.count("*").alias("n_links"))
     named = staged(labels.join(degree, "key"), "classes")  # keys with links
-    for done in (held, member, tried, links, labels):
+    for done in (held, member, labels, *tried, *links):
         discard(done)
     placed = rows.select("uid", "doc_id", "sha", "key").join(named, "key", "left")
     placed = placed.select("uid", "doc_id", "sha", F.coalesce("label", "key").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
