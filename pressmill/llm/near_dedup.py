@@ -8,7 +8,7 @@ words have one key. Bands of eight of 256 registers put texts in buckets (a pair
 0.997, of 0.5 with 0.12). Only texts that meet another get 1,024 further registers, of which one bit each is kept; pairs
 that differ in more of these bits than three standard deviations allow a pair of similarity 0.8 (one in 700 of those is
 lost, fewer above) are passed over before any text is joined. The rest are verified by the exact probability Jaccard
-similarity. First each bucket is compared with one of its members, twice over, which
+similarity. First each bucket is compared with one of its members, then with four more, which
 unites nearly all; what is still outside its bucket's largest class is then compared with members of other classes. Links
 make classes (least label with pointer jumping, each round written to the shared folder).
 
@@ -39,8 +39,10 @@ BITS = 1024
 WORDS = [f"s{k}" for k in range(BITS // 64)]
 #: Ids of texts to fetch that are broadcast; more are joined by a shuffle.
 FETCHED = 400_000
-#: Comparisons of each bucket with one member before those of its smaller classes with the rest.
-STARS = 2
+#: Edges in a file of a table of links.
+EDGES = 200_000
+#: Members drawn from each bucket in each of the comparisons before those of its smaller classes with the rest.
+DRAWN = (1, 4)
 CHUNK = 2 << 20
 ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 FOLD = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -210,40 +212,62 @@ def probability_jaccard(ha: np.ndarray, a: np.ndarray, hb: np.ndarray, b: np.nda
     return float((1 / (a_mass / a + b_mass / b)).sum())
 
 
-def verify(threshold: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed, last = Words(), (b"", None)
+def runs(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
+    """(first, end) of runs of rows of bounded text size; column 2 holds the texts and 3 those of their pivots."""
+    first, size = 0, 0
+    for row in range(batch.num_rows):
+        size += batch.column(2)[row].as_buffer().size + batch.column(3)[row].as_buffer().size
+        if size >= CHUNK:
+            yield first, row + 1
+            first, size = row + 1, 0
+    if first < batch.num_rows:
+        yield first, batch.num_rows
 
-        def bag(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-            _, h, c = shingles(*hashed([text]))
-            return h, c
 
+def verify(threshold: float):
+    """Keeps the pairs (key, pivot, text, pivot_text) that are as similar as ``threshold``. The bags of a run of pairs are
+    made at once, each text's only once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed = Words()
         for batch in batches:
+            keys, pivots = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             keep, scores = [], []
-            for row, (pivot, text, pivot_text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3))):
-                if last[0] != pivot:
-                    last = (pivot, bag(pivot_text.as_buffer().to_pybytes()))
-                score = probability_jaccard(*bag(text.as_buffer().to_pybytes()), *last[1])
-                if score >= threshold - 1e-9:
-                    keep.append(row)
-                    scores.append(score)
+            for first, end in runs(batch):
+                place: dict[bytes, int] = {}
+                bodies = []
+                for names, column in ((keys, 2), (pivots, 3)):
+                    for row in range(first, end):
+                        if names[row] not in place:
+                            place[names[row]] = len(bodies)
+                            bodies.append(batch.column(column)[row].as_buffer().to_pybytes())
+                owner, element, count = shingles(*hashed(bodies))
+                edge = np.searchsorted(owner, np.arange(len(bodies) + 1))
+                for row in range(first, end):
+                    x, y = (slice(edge[i], edge[i + 1]) for i in (place[keys[row]], place[pivots[row]]))
+                    score = probability_jaccard(element[x], count[x], element[y], count[y])
+                    if score >= threshold - 1e-9:
+                        keep.append(row)
+                        scores.append(score)
             picked = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays([picked.column(0), picked.column(1), pa.array(scores, pa.float64())], names=["key", "pivot", "similarity"])
 
     return run
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, n: int) -> DataFrame:
     """A staged table with (key, label): the least key of the component of each linked key. Every key is its own neighbour
-    too, so that one aggregation takes the least of its own and its neighbours' labels."""
+    too, so that one aggregation takes the least of its own and its neighbours' labels. The tables of a round are written in
+    as many files as ``n`` links need."""
+    files = 4 * n // EDGES + 1
     both = links.select(F.col("key").alias("a"), F.col("pivot").alias("b"))
-    edges = staged(both.withColumn("e", F.explode(F.array(*(F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x in "ab" for y in "ab")))).select("e.*").distinct(), "edges")
-    labels = staged(edges.groupBy(F.col("a").alias("key")).agg(F.min("b").alias("label")), "labels")
+    edges = staged(both.withColumn("e", F.explode(F.array(*(F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x in "ab" for y in "ab")))).select("e.*").distinct().coalesce(files), "edges")
+    labels = staged(edges.groupBy(F.col("a").alias("key")).agg(F.min("b").alias("label")).coalesce(files), "labels")
     while True:
         now = labels.select("key", "label")
         near = edges.join(now, edges["b"] == now["key"]).groupBy("a").agg(F.min("label").alias("least"), F.min(F.when(F.col("a") == F.col("b"), F.col("label"))).alias("old"))
         up = now.select(F.col("key").alias("least"), F.col("label").alias("above"))
-        better = staged(near.join(up, "least").select(F.col("a").alias("key"), F.least("least", "above").alias("label"), "old"), "labels")
+        better = staged(near.join(up, "least").select(F.col("a").alias("key"), F.least("least", "above").alias("label"), "old").coalesce(files), "labels")
         discard(labels)
         labels = better
         if labels.where(F.col("label") != F.col("old")).isEmpty():
@@ -258,7 +282,7 @@ def united(labels: DataFrame, links: DataFrame, own: bool) -> DataFrame:
     if not own:
         at_key, at_pivot = labels.select("key", F.col("label").alias("a")), labels.select(F.col("key").alias("pivot"), F.col("label").alias("b"))
         ends = ends.join(at_key, "key").join(at_pivot, "pivot").select(F.col("a").alias("key"), F.col("b").alias("pivot"))
-    roots = components(ends)
+    roots = components(ends, links.count())
     new = staged(labels.join(roots.select(F.col("key").alias("label"), F.col("label").alias("root")), "label", "left").select("key", F.coalesce("root", "label").alias("label")), "labels")
     discard(labels), discard(roots)
     return new
@@ -282,9 +306,10 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def with_pivots(member: DataFrame, step: int, threshold: float) -> DataFrame:
-    """Pairs of each member of a bucket with one member of another class, drawn anew in each step."""
-    drawn = F.min(F.struct(F.xxhash64("key", F.lit(step)).alias("draw"), "key", "label", *WORDS)).alias("p")
-    pivots = member.groupBy("bucket").agg(drawn, F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket", "p.*")
+    """Pairs of each member of a bucket with a few drawn members that are of other classes, drawn anew in each step."""
+    drawn = [F.min(F.struct(F.xxhash64("key", F.lit(step), F.lit(k)).alias("draw"), "key", "label", *WORDS)) for k in range(DRAWN[step])]
+    pivots = member.groupBy("bucket").agg(F.array(*drawn).alias("p"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    pivots = pivots.select("bucket", F.explode("p").alias("p")).select("bucket", "p.*")
     x, y = member.alias("x"), pivots.alias("y")
     pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label")) & alike("x", "y", threshold))
     return pairs.select(F.greatest("x.key", "y.key").alias("key"), F.least("x.key", "y.key").alias("pivot")).distinct()
@@ -323,9 +348,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return both.select("key", "pivot", "folded", "pivot_text").mapInArrow(verify(threshold), "key binary, pivot binary, similarity double")
 
     labels, own, links, tried = held.select("key", F.col("key").alias("label")), True, [], []
-    for step in range(STARS + 1):
+    for step in range(len(DRAWN) + 1):
         placed = member.withColumn("label", F.col("key")) if own else member.join(labels, "key")
-        pairs = with_pivots(placed, step, threshold) if step < STARS else with_others(placed, threshold)
+        pairs = with_pivots(placed, step, threshold) if step < len(DRAWN) else with_others(placed, threshold)
         for before in tried:
             pairs = pairs.join(before, ["key", "pivot"], "left_anti")
         tried.append(staged(pairs, "candidates"))
