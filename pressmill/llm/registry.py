@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pressmill.llm import exact_dedup, html_text, imatch, near_dedup, packing, pieces, pii, quality, repeats, toxicity
+from pressmill.llm import exact_dedup, html_text, imatch, near_dedup, packing, passages, pieces, pii, quality, repeats, toxicity
 
 
 def queries() -> dict:
     return {
         "op1_html_extraction": html_text.op1_html_extraction,
         "op10_sentencepiece": pieces.op10_sentencepiece,
+        "op13_substring_dedup": passages.op13_substring_dedup,
         "op2_document_fingerprints": imatch.op2_document_fingerprints,
         "op3_minhash_near_dedup": near_dedup.op3_minhash_near_dedup,
         "op4_suffix_array_dedup": repeats.op4_suffix_array_dedup,
@@ -21,4 +22,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_dedup": exact_dedup.OP7_SQL}
+    return {"op13_substring_dedup": passages.OP13_SQL, "op7_exact_dedup": exact_dedup.OP7_SQL}
