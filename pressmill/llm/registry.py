@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pressmill.llm import exact_dedup, html_text, imatch, near_dedup, packing, passages, pieces, pii, quality, repeats, toxicity
+from pressmill.llm import alignment, exact_dedup, html_text, imatch, near_dedup, packing, passages, pieces, pii, quality, repeats, spelling, toxicity
 
 
 def queries() -> dict:
     return {
         "op1_html_extraction": html_text.op1_html_extraction,
         "op10_sentencepiece": pieces.op10_sentencepiece,
+        "op11_tokenizer_alignment": alignment.op11_tokenizer_alignment,
+        "op12_spelling_variants": spelling.op12_spelling_variants,
         "op13_substring_dedup": passages.op13_substring_dedup,
         "op2_document_fingerprints": imatch.op2_document_fingerprints,
         "op3_minhash_near_dedup": near_dedup.op3_minhash_near_dedup,
