@@ -1,79 +1,66 @@
-"""Search over articles: stems and postings, a small query language, rank, snippets, paging and grouping; and the views
-of an issue and of an article.
+"""Search over articles: postings, a query language evaluated as set algebra, rank, headlines, paging and grouping; and the
+views of an issue and of an article. ``operators.index`` keeps the postings as a stored index.
 
-Words are stemmed once for each different word of the corpus, never for each occurrence. A query is planned as joins of
-the postings of its stems, so its cost follows the postings it reads and not the texts.
+A posting is a stem in a field of a piece, with its positions there. A query reads the postings of its stems alone; they
+meet once by piece, where phrases, exclusions and alternatives are one expression over what the piece holds. Only a query
+that exclusions alone can satisfy looks at all pieces.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from functools import lru_cache, reduce
+from operator import and_, or_
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from pressmill.functions.text import fold_word
+from pressmill.functions.stemmer import stem
 from pressmill.operators.reports import long, pieces
 
 # Weights of title, subtitle and body.
 WEIGHTS = {"title": 1.0, "subtitle": 0.4, "body": 0.2}
-# Endings of Spanish words that inflection and derivation add, longest first within each step.
-PLURALS = ("es", "s")
-ENDINGS = (
-    "amientos imientos amiento imiento aciones uciones adores adoras ancias logias encias amente idades "
-    "acion ucion adora ador ancia logia encia mente idad anzas ismos ables ibles istas osos osas ivos ivas "
-    "anza icos icas ismo able ible ista oso osa iva ivo ico ica "
-    "ariamos eriamos iriamos ieramos iesemos aremos eremos iremos abamos aramos asemos "
-    "arian erian irian ieron iendo aria eria iria aban aron ando iera iese aran ado ada ido ida aba ara ase ar er ir ia"
-).split()
-
-
-def stem(word: str) -> str:
-    """A word without accents, cut of one ending where three letters stay, then of its last vowel."""
-    for end in ENDINGS:
-        if word.endswith(end) and len(word) - len(end) >= 3:
-            return word[: -len(end)]
-    for end in PLURALS:
-        if word.endswith(end) and len(word) - len(end) >= 3:
-            word = word[: -len(end)]
-            break
-    return word[:-1] if len(word) > 3 and word[-1] in "aeo" else word
-
-
-def stems(words: str) -> Column:
-    return F.pandas_udf(_stems, StringType())(words)
+# Words of a fragment of a headline at least and at most, and fragments.
+FEW_WORDS, MANY_WORDS, FRAGMENTS = 15, 30, 2
+POSTING = "stem string, id long, field string, positions array<int>"
 
 
-def _stems(words: pd.Series) -> pd.Series:
-    return words.map(stem)
+def _posted(wanted: frozenset[str] | None):
+    schema = pa.schema([("stem", pa.string()), ("id", pa.int64()), ("field", pa.string()), ("positions", pa.list_(pa.int32()))])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = lru_cache(1 << 18)(stem)
+        for batch in batches:
+            rows: list[tuple] = []
+            for k, piece in enumerate(batch.column(0).to_pylist()):
+                for column, field in enumerate(WEIGHTS, 1):
+                    places: dict[str, list[int]] = {}
+                    for at, word in enumerate(re.findall(r"\w+", (batch.column(column)[k].as_py() or "").lower())):
+                        s = known(word)
+                        if wanted is None or s in wanted:
+                            places.setdefault(s, []).append(at)
+                    rows += [(s, piece, field, p) for s, p in places.items()]
+                if len(rows) > 50_000 or k == batch.num_rows - 1 and rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                    rows = []
 
-def words_of(c: Column) -> Column:
-    return F.transform(F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"(?U)\w+"), F.lit(0)), fold_word)
+    return run
 
 
 def postings(arts: DataFrame, wanted: list[str] | None = None) -> DataFrame:
-    """(stem, id, field, pos): every word of title, subtitle and body, or those of the wanted stems alone. Then the few
-    words of the vocabulary that have them are picked first, and a text's other words never leave its row."""
-    fields = F.array(*[F.struct(F.lit(f).alias("field"), words_of(F.col(f)).alias("words")) for f in WEIGHTS])
-    each = arts.select("id", F.explode(fields).alias("f")).select("id", "f.field", "f.words")
-    vocabulary = each.select(F.explode("words").alias("word")).distinct().withColumn("stem", stems("word"))
-    if wanted is None:
-        return each.select("id", "field", F.posexplode("words").alias("pos", "word")).join(vocabulary, "word").select("stem", "id", "field", "pos")
-    forms = {r["word"]: r["stem"] for r in vocabulary.where(F.col("stem").isin(wanted)).collect()}  # the written forms of a query's words
-    found = F.filter(F.transform("words", lambda w, i: F.struct(i.alias("pos"), w.alias("word"))), lambda x: x["word"].isin(list(forms)))
-    rows = each.select("id", "field", F.explode(found).alias("x")).select("id", "field", "x.pos", "x.word")
-    stem_of = F.create_map(*[F.lit(x) for pair in forms.items() for x in pair]) if forms else F.lit(None).cast("map<string,string>")
-    return rows.select(stem_of[F.col("word")].alias("stem"), "id", "field", "pos")
+    """(stem, id, field, positions) of title, subtitle and body, of all stems or of those wanted. A text is read once and its
+    words are stemmed where it lies; nothing is shuffled."""
+    return arts.select(F.col("id").cast("long"), *WEIGHTS).mapInArrow(_posted(None if wanted is None else frozenset(wanted)), POSTING)
 
 
 def parse_query(text: str) -> list[list[tuple[bool, list[str]]]]:
     """Alternatives ('or') of conditions: (wanted, stems next to each other); '"…"' is a phrase, '-' excludes."""
-    plain = text.lower().translate(str.maketrans("áéíóúüñ", "aeiouun"))
     found: list[list[tuple[bool, list[str]]]] = [[]]
-    for minus, phrase, word in re.findall(r'(-?)(?:"([^"]*)"|([^\s"]+))', plain):
+    for minus, phrase, word in re.findall(r'(-?)(?:"([^"]*)"|([^\s"]+))', text.lower()):
         if word == "or" and not minus:
             if found[-1]:
                 found.append([])
@@ -84,67 +71,111 @@ def parse_query(text: str) -> list[list[tuple[bool, list[str]]]]:
     return [a for a in found if a]
 
 
-def matches(index: DataFrame, query: str) -> DataFrame:
-    """(id) of what a query matches; an empty query matches nothing."""
-
-    def holding(parts: list[str]) -> DataFrame:
-        rows = index.where(F.col("stem") == parts[0]).select("id", "field", "pos")
-        for k, part in enumerate(parts[1:], 1):
-            other = index.where(F.col("stem") == part).select("id", "field", (F.col("pos") - k).alias("pos"))
-            rows = rows.join(other, ["id", "field", "pos"], "left_semi")
-        return rows.select("id").distinct()
-
-    result = index.select("id").limit(0)
-    for conditions in parse_query(query):
-        wanted = [holding(p) for yes, p in conditions if yes]
-        rows = wanted[0] if wanted else index.select("id").distinct()
-        for w in wanted[1:]:
-            rows = rows.join(w, "id", "left_semi")
-        for w in (holding(p) for yes, p in conditions if not yes):
-            rows = rows.join(w, "id", "left_anti")
-        result = result.union(rows)
-    return result.distinct()
-
-
-def ranked(index: DataFrame, query: str) -> DataFrame:
-    """(id, rank): for each stem of the query, weights over the logarithm of how often fields have it."""
-    wanted = sorted({s for a in parse_query(query) for yes, parts in a if yes for s in parts})
-    weight = F.create_map(*[F.lit(x) for pair in WEIGHTS.items() for x in pair])
-    counts = index.where(F.col("stem").isin(wanted)).groupBy("id", "stem", "field").agg(F.count("*").alias("n"))
-    score = F.sum(weight[F.col("field")] * (1 - 1 / (1 + F.log2(1 + F.col("n")))))
-    return matches(index, query).join(counts.groupBy("id").agg(F.round(score, 9).alias("rank")), "id")
-
-
-def snippet(body: Column, words: list[str], size: int = 30, fragments: int = 2) -> Column:
-    """The runs of words around the first places where a word of the query stands, marked; null for a null body."""
-    all_words = F.split(F.trim(F.regexp_replace(body, r"\s+", " ")), " ")
-    plain = lambda w: F.regexp_replace(fold_word(w), r"(?U)\W", "")
-    hit = lambda w: plain(w).isin(words)
-    windows = F.transform(F.sequence(F.lit(0), F.floor((F.size(all_words) - 1) / size).cast("int")), lambda k: F.slice(all_words, k * size + 1, F.lit(size)))
-    good = F.slice(F.filter(windows, lambda ws: F.exists(ws, hit)), 1, fragments)
-    marked = F.transform(good, lambda ws: F.array_join(F.transform(ws, lambda w: F.when(hit(w), F.concat(F.lit("<mark>"), w, F.lit("</mark>"))).otherwise(w)), " "))
-    return F.when(body.isNotNull(), F.array_join(marked, " … "))
-
-
-def query_stems(query: str) -> list[str]:
+def query_stems(query: str, wanted_only: bool = False) -> list[str]:
     """The stems that a query names, wanted or not."""
-    return sorted({x for a in parse_query(query) for _, parts in a for x in parts})
+    return sorted({x for a in parse_query(query) for yes, parts in a for x in parts if yes or not wanted_only})
+
+
+def holds(parts: list[str]) -> Column:
+    """Whether a piece with ``found`` (stem and field to positions) has the stems next to each other in a field."""
+    def at(field: str, part: str) -> Column:
+        return F.coalesce(F.col("found")[f"{field} {part}"], F.array().cast("array<int>"))
+
+    def in_field(field: str) -> Column:
+        first, rest = at(field, parts[0]), list(enumerate(parts[1:], 1))
+        return F.exists(first, lambda p: reduce(and_, [F.array_contains(at(field, part), (p + k).cast("int")) for k, part in rest])) if rest else F.size(first) > 0
+
+    return reduce(or_, map(in_field, WEIGHTS))
+
+
+def score(stems: list[str]) -> Column:
+    """For each stem and field that has it: the field's weight, more of it the more often the stem is there."""
+    def part(field: str, weight: float, s: str) -> Column:
+        n = F.size(F.col("found")[f"{field} {s}"])
+        return F.when(n > 0, weight * (1 - 1 / (1 + F.log2(1 + n)))).otherwise(0.0)
+
+    return F.round(sum((part(field, weight, s) for s in stems for field, weight in WEIGHTS.items()), F.lit(0.0)), 9)
+
+
+def ranked(index: DataFrame, query: str, ids: DataFrame | None = None) -> DataFrame:
+    """(id, rank) of what a query matches; rank is 0 where a piece has none of the wanted stems. ``ids`` are all pieces; where
+    they aren't given, those that the index knows. An empty query matches nothing."""
+    alternatives, stems = parse_query(query), query_stems(query)
+    if not alternatives:
+        return index.select("id", F.lit(0.0).alias("rank")).limit(0)
+    rows = index.where(F.col("stem").isin(stems))
+    key = F.concat("field", F.lit(" "), "stem")
+    found = rows.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct(key, "positions"))).alias("found"))
+    if any(not yes for a in alternatives for yes, _ in a) and any(all(not yes for yes, _ in a) for a in alternatives):
+        everything = (index if ids is None else ids).select("id").distinct()
+        found = everything.join(found, "id", "left").withColumn("found", F.coalesce("found", F.create_map().cast("map<string,array<int>>")))
+    elif ids is not None:
+        found = found.join(ids.select("id"), "id", "left_semi")
+    matched = reduce(or_, [reduce(and_, [holds(parts) if yes else ~holds(parts) for yes, parts in a]) for a in alternatives])
+    return found.where(matched).select("id", score(query_stems(query, True)).alias("rank"))
+
+
+def matches(index: DataFrame, query: str, ids: DataFrame | None = None) -> DataFrame:
+    """(id) of what a query matches."""
+    return ranked(index, query, ids).select("id")
+
+
+def fragments(hits: list[int], n: int, few: int = FEW_WORDS, many: int = MANY_WORDS, most: int = FRAGMENTS) -> list[tuple[int, int]]:
+    """Stretches of a text of n words, from the first to after the last word, in order: each begins at a hit and covers as
+    many hits as ``many`` words can, the best first, none over another; it ends after its last hit, ``few`` words at least."""
+    chosen: list[tuple[int, int]] = []
+    for _ in range(most):
+        best = None
+        right = 0
+        for left, start in enumerate(hits):
+            right = max(right, left)
+            while right + 1 < len(hits) and hits[right + 1] < start + many:
+                right += 1
+            end = min(n, max(hits[right] + 1, start + few))
+            if all(end <= a or b <= start for a, b in chosen) and (best is None or right - left > best[0]):
+                best = right - left, start, end
+        if best is None:
+            break
+        chosen.append(best[1:])
+    return sorted(chosen) or [(0, min(n, few))]
+
+
+def headline(body: str | None, stems: frozenset[str]) -> str | None:
+    """The best fragments of a text, words that have one of the stems marked; its beginning where none has."""
+    if body is None:
+        return None
+    words = body.split()
+    marked = [any(stem(w) in stems for w in re.findall(r"\w+", word)) for word in words]
+    spans = fragments([k for k, m in enumerate(marked) if m], len(words))
+    return " … ".join(" ".join(f"<mark>{words[k]}</mark>" if marked[k] else words[k] for k in range(a, b)) for a, b in spans)
+
+
+def snippet(body: Column, stems: list[str]) -> Column:
+    """``headline`` of each row; for the few rows of a page."""
+    wanted = frozenset(stems)
+
+    def cut(bodies: pd.Series) -> pd.Series:
+        return bodies.map(lambda b: headline(b, wanted), na_action="ignore")
+
+    return F.pandas_udf(cut, StringType())(body)
+
+
+def listed(hits: DataFrame, number: int = 1, size: int = 25, by_rank: bool = True) -> DataFrame:
+    """One page of hits with the place of each and its group: rank first or newest first."""
+    order = ([F.desc("rank")] if by_rank else []) + [F.desc_nulls_last("published_date"), F.desc("id")]
+    shown = page(hits, number, size, order)
+    return with_groups(shown.withColumn("pos", F.row_number().over(Window.orderBy(*order))))  # of one page
 
 
 def results(arts: DataFrame, query: str, number: int = 1, size: int = 25, by_rank: bool = True, **limits) -> DataFrame:
-    """One page of a search: filters, matches, rank first or newest first, a snippet of each piece, and the place in order."""
+    """One page of a search over articles that have no stored index: filters, matches, order, groups, snippets."""
     rows = filtered(arts, **limits)
-    index = postings(rows, query_stems(query))
-    rows = rows.join(ranked(index, query), "id")
-    newest = [F.desc_nulls_last("published_date"), F.desc("id")]
-    shown = page(rows, number, size, [F.desc("rank"), *newest] if by_rank else newest)
-    words = sorted({w["word"] for w in shown.select(F.explode(words_of(F.col("body"))).alias("word")).distinct().withColumn("stem", stems("word")).where(F.col("stem").isin(query_stems(query))).collect()})
-    order = Window.orderBy(*([F.desc("rank")] if by_rank else []), *newest)  # of one page
-    return shown.select(F.row_number().over(order).alias("pos"), "id", "pub_slug", "issue_id", "published_date", "title", "rank", snippet(F.col("body"), words).alias("snippet"))
+    hits = ranked(postings(rows, query_stems(query)), query, rows)
+    shown = listed(rows.select("id", "pub_slug", "issue_id", "published_date", "title").join(hits, "id"), number, size, by_rank)
+    return shown.join(rows.select("id", snippet(F.col("body"), query_stems(query, True)).alias("snippet")), "id").select("pos", "island", "id", "pub_slug", "issue_id", "published_date", "title", "rank", "snippet")
 
 
-def filtered(arts: DataFrame, pub: str | None = None, year: int | None = None, ids: DataFrame | None = None, since: int | None = None) -> DataFrame:
-    rows = pieces(arts)
+def limited(rows: DataFrame, pub: str | None = None, year: int | None = None, ids: DataFrame | None = None, since: int | None = None) -> DataFrame:
     if pub:
         rows = rows.where(F.col("pub_slug") == pub)
     if year:
@@ -154,6 +185,10 @@ def filtered(arts: DataFrame, pub: str | None = None, year: int | None = None, i
     return rows if ids is None else rows.join(ids, "id", "left_semi")
 
 
+def filtered(arts: DataFrame, pub: str | None = None, year: int | None = None, ids: DataFrame | None = None, since: int | None = None) -> DataFrame:
+    return limited(pieces(arts), pub, year, ids, since)
+
+
 def page(rows: DataFrame, number: int, size: int = 25, order: list[Column] | None = None) -> DataFrame:
     """One page, newest first unless another order is given."""
     order = order or [F.desc_nulls_last("published_date"), F.desc("id")]
@@ -168,14 +203,19 @@ def lead(arts: DataFrame, n: int) -> Column:
     return F.coalesce("subtitle", F.substring("body", 1, n))
 
 
-def grouped(results: DataFrame) -> DataFrame:
-    """Consecutive results of one issue as a group, in the order ``pos``; a result without issue is its own. ``results`` is a
-    page: a few dozen rows."""
+def with_groups(shown: DataFrame) -> DataFrame:
+    """``shown``, a page with places ``pos``, with the number ``island`` of each one's group: results of one issue that follow
+    each other; a result without issue is its own."""
     order = Window.orderBy("pos")
     same = F.col("issue_id").isNotNull() & (F.lag("issue_id").over(order) == F.col("issue_id")) & (F.lag("pub_slug").over(order) == F.col("pub_slug"))
-    rows = results.withColumn("island", F.sum(F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1)).over(order))
+    return shown.withColumn("island", long(F.sum(F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1)).over(order)))
+
+
+def grouped(results: DataFrame) -> DataFrame:
+    """The groups of ``with_groups``, with their ids in order. ``results`` is a page: a few dozen rows."""
     inside = F.array_sort(F.collect_list(F.struct("pos", "id")))
-    return rows.groupBy(long("island").alias("island")).agg(F.min_by("pub_slug", "pos").alias("pub_slug"), F.min_by("issue_id", "pos").alias("issue_id"), F.min_by("published_date", "pos").alias("published_date"), F.transform(inside, lambda x: x["id"]).alias("ids"))
+    rows = with_groups(results).groupBy("island")
+    return rows.agg(F.min_by("pub_slug", "pos").alias("pub_slug"), F.min_by("issue_id", "pos").alias("issue_id"), F.min_by("published_date", "pos").alias("published_date"), F.transform(inside, lambda x: x["id"]).alias("ids"))
 
 
 def grouped_all(arts: DataFrame) -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pressmill.functions.text import spanish_date
-from pressmill.operators import rescue, search, web
+from pressmill.operators import index, rescue, search, web
 from pressmill.operators.reports import long
 from pressmill.sources.archive import ARTICLES_SQL, articles, table
+from pressmill.sources.store import shared_place
 
 
 def arts(spark, d):
@@ -54,14 +55,47 @@ def pdf_ratio(spark, d):
     return rescue.length_ratio(web_chars, issue_texts(spark, d).select("issue_id", long(F.length("text")).alias("pdf_chars")))
 
 
+RANKED = '"of and" from -clown or por'
+EXCLUDED = "-from -and or clown -eine"
+VIEWED = "eine clown or from with"
+
+
+def stored_index(spark, d, steps: bool = False) -> index.Index:
+    """An index of the articles in the shared folder. With ``steps``: first a third of them, in which every other has another
+    text; then all but a tenth, so that half of the first are replaced; then the rest, and some taken away."""
+    found = index.Index(spark, shared_place(spark, "index"))
+    rows = arts(spark, d)
+    if not steps:
+        found.add(rows)
+        return found
+    other = F.when(F.col("id") % 2 == 0, F.col("body")).otherwise(F.lit("from clown eine por"))
+    found.add(rows.where("id % 3 = 0").withColumn("body", other))
+    found.add(rows.where("id % 10 <> 0 and not (id % 3 = 0 and id % 2 = 0)"))
+    found.add(rows.where("id % 10 = 0 and id % 6 <> 0"))
+    found.remove(rows.where("id % 13 = 0").select("id"))
+    return found
+
+
 def ranked(spark, d):
-    query = '"of the" from -clown or que'
-    index = search.postings(search.pieces(arts(spark, d)).select("id", "title", "subtitle", "body"), search.query_stems(query))
-    return search.ranked(index, query)
+    return search.ranked(stored_index(spark, d).postings(search.query_stems(RANKED)), RANKED)
+
+
+def excluded(spark, d):
+    found = stored_index(spark, d)
+    return search.ranked(found.postings(search.query_stems(EXCLUDED)), EXCLUDED, found.pieces())
+
+
+def added(spark, d):
+    return stored_index(spark, d, True).hits(VIEWED, since=2015).select("id", "title", "rank")
 
 
 def search_view(spark, d):
-    return search.results(arts(spark, d), "from que", pub="weekly", since=2015)
+    return stored_index(spark, d).view(arts(spark, d), VIEWED, number=2, size=20, pub="weekly", since=2015)
+
+
+def headlines(spark, d):
+    stems = search.query_stems("eine from")
+    return search.pieces(arts(spark, d)).select("id", search.snippet(F.col("body"), stems).alias("snippet"))
 
 
 def spanish_dates(spark, d):
@@ -85,6 +119,9 @@ QUERIES = {
     "search_page_count": lambda spark, d: search.page_count(found(spark, d)),
     "search_ranked": ranked,
     "search_view": search_view,
+    "search_excluded": excluded,
+    "search_added": added,
+    "headlines": headlines,
     "group_consecutive": group_consecutive,
     "prev_next": lambda spark, d: search.neighbours(arts(spark, d)),
     "siblings": lambda spark, d: search.siblings(arts(spark, d)),
@@ -109,6 +146,40 @@ _SECTIONS = r"""sections as (
     regexp_replace(regexp_replace(substr(text, 1, 40), '[ \t\x{A0}]+', ' ', 'g'), '^\s+|\s+$', '', 'g') as title,
     regexp_replace(regexp_replace(replace(text, chr(10), ''), '[ \t\x{A0}]+', ' ', 'g'), '^\s+|\s+$', '', 'g') as body
   from documents)"""
+# the words of the queries, as patterns of all forms that have their stems in these tables
+_FORMS = {"of": "of", "and": "and", "from": "from", "clown": "clown", "por": "por", "with": "with", "eine": "ein(e|er|en)?"}
+_WORDS = r"""words as (select *, [list_transform(regexp_extract_all(lower(coalesce(f, '')), '[\p{L}\p{N}_]+'), lambda w: ' ' || w || ' ') for f in [title, subtitle, body]] as fields from pieces)"""
+
+
+def _has(word: str) -> str:
+    return f"list_bool_or([len(list_filter(f, lambda w: regexp_matches(w, '^ {_FORMS[word]} $'))) > 0 for f in fields])"
+
+
+def _rank(words: list[str]) -> str:
+    parts = [f"list_sum([case when n > 0 then {weight} * (1 - 1 / (1 + log2(1 + n))) else 0 end for n in [len(list_filter(fields[{k}], lambda w: regexp_matches(w, '^ {_FORMS[word]} $')))]])" for word in words for k, weight in enumerate((1.0, 0.4, 0.2), 1)]
+    return f"round({' + '.join(parts)}, 9)"
+
+
+_VIEWED = f"hits as (select id, pub_slug, issue_id, published_date, title, body, {_rank(['clown', 'eine', 'from', 'with'])} as rank from words where {_has('eine')} and {_has('clown')} or {_has('from')} and {_has('with')})"
+
+
+def _headlines(rows: str, words: list[str]) -> str:
+    """(id, snippet) of rows with id and body: of the stretches that begin at a hit the one with most hits, and the next best
+    that isn't over it."""
+    forms = "|".join(_FORMS[w] for w in words)
+    return rf"""split as (select id, list_filter(regexp_split_to_array(body, '\s+'), lambda w: w <> '') as ws from {rows}),
+ marked as (select id, ws, list_transform(ws, lambda w: list_bool_or([regexp_matches(x, '^({forms})$') for x in regexp_extract_all(lower(w), '[\p{{L}}\p{{N}}_]+')]) is true) as m from split),
+ places as (select id, ws, m, list_filter([case when y then i end for y, i in m], lambda i: i is not null) as hits from marked),
+ starts as (select id, len(ws) as n, hits, unnest(hits) as s from places),
+ ends as (select id, s, n, list_filter(hits, lambda h: h >= s and h < s + 30) as inside from starts),
+ spans as (select id, s, len(inside) as k, least(n, greatest(list_max(inside), s + 14)) as e from ends),
+ best as (select * from spans qualify row_number() over (partition by id order by k desc, s) = 1),
+ next as (select spans.* from spans join best using (id) where spans.e < best.s or best.e < spans.s qualify row_number() over (partition by spans.id order by spans.k desc, spans.s) = 1),
+ chosen as (select id, s, e from best union all select id, s, e from next union all select id, 1, least(15, len(ws)) from places where len(hits) = 0),
+ written as (select id, s, array_to_string([case when m[i] then '<mark>' || ws[i] || '</mark>' else ws[i] end for i in range(s, e + 1)], ' ') as t from chosen join places using (id)),
+ snippets as (select id, string_agg(t, ' … ' order by s) as snippet from written group by id)"""
+
+
 _FOLD = "'áàäâéèëêíìïîóòöôúùüûñç', 'aaaaeeeeiiiioooouuuunc'"
 _MARK = "substr(regexp_replace(translate(lower({}), 'áàäâéèëêíìïîóòöôúùüûñç', 'aaaaeeeeiiiioooouuuunc'), '[^a-z0-9]+', '', 'g'), 1, 90)"
 
@@ -121,6 +192,17 @@ SQL = {
  g as (select *, sum(case when same then 0 else 1 end) over (order by pos) as island from f)
  select cast(island as bigint) as island, arg_min(pub_slug, pos) as pub_slug, min(issue_id) as issue_id, first(published_date order by pos) as published_date, string_agg(cast(id as varchar), ',' order by pos) as ids from g group by island""",
     "prev_next": f"with {ARTICLES_SQL} select id, lag(id) over w as previous_id, lead(id) over w as next_id from pieces where published_date is not null window w as (partition by pub_slug order by published_date, id)",
+    "search_ranked": f"""with {ARTICLES_SQL}, {_WORDS} select id, {_rank(['and', 'from', 'of', 'por'])} as rank from words
+ where list_bool_or([contains(array_to_string(f, ''), ' of  and ') for f in fields]) and {_has('from')} and not {_has('clown')} or {_has('por')}""",
+    "search_excluded": f"with {ARTICLES_SQL}, {_WORDS} select id, {_rank(['clown'])} as rank from words where not {_has('from')} and not {_has('and')} or {_has('clown')} and not {_has('eine')}",
+    "search_added": f"""with {ARTICLES_SQL.replace("where kind <> 'portada'", "where kind <> 'portada' and id % 13 <> 0")}, {_WORDS}, {_VIEWED} select id, title, rank from hits where year(published_date) >= 2015""",
+    "search_view": f"""with {ARTICLES_SQL}, {_WORDS}, {_VIEWED},
+ page as (select row_number() over (order by rank desc, published_date desc nulls last, id desc) as pos, * from hits where pub_slug = 'weekly' and year(published_date) >= 2015 order by pos limit 20 offset 20),
+ again as (select cast(pos - 20 as int) as pos, * exclude (pos) from page),
+ same as (select *, coalesce(issue_id is not null and lag(issue_id) over (order by pos) = issue_id and lag(pub_slug) over (order by pos) = pub_slug, false) as follows from again),
+ {_headlines('again', ['clown', 'eine', 'from', 'with'])}
+ select pos, cast(sum(case when follows then 0 else 1 end) over (order by pos) as bigint) as island, id, pub_slug, issue_id, published_date, title, rank, snippet from same join snippets using (id)""",
+    "headlines": f"with {ARTICLES_SQL}, {_headlines('pieces', ['eine', 'from'])} select pieces.id, case when body is not null then coalesce(snippet, '') end as snippet from pieces left join snippets using (id)",
     "siblings": f"with {ARTICLES_SQL} select a.id, b.id as sibling_id from pieces a join pieces b on a.issue_id = b.issue_id and a.pub_slug = b.pub_slug and a.id <> b.id",
     "latest_issues": f"with {ARTICLES_SQL}, t as (select issue_id, max(published_date) as published_date, count(*) as pieces from pieces where issue_id is not null and published_date is not null group by issue_id order by 2 desc, 1 desc limit 3) select row_number() over (order by published_date desc, issue_id desc) as place, issue_id, published_date, pieces from t",
     "front_page": f"with {ARTICLES_SQL}, t as (select issue_id from pieces where issue_id is not null and published_date is not null group by issue_id order by max(published_date) desc, issue_id desc limit 1) select id, row_number() over (order by length(body) desc nulls last, id) = 1 as feature, coalesce(subtitle, substr(body, 1, 420)) as lead, length(body) as chars from pieces where issue_id = (select issue_id from t)",
