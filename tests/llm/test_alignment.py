@@ -4,6 +4,7 @@ import hashlib
 import json
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -105,18 +106,22 @@ def test_counts_that_are_joined_equal_those_broadcast(spark, models, pairs):
     assert found(spark, rows, pairs=pairs) == brute(rows, models)
 
 
-def test_gallop_and_overlaps():
+def test_gallop():
     rng = random.Random(3)
     for _ in range(300):
         a, b = (sorted(rng.sample(range(1, 200), rng.randint(0, k))) for k in (20, 150))
-        assert gallop_values(a, b) == sorted(set(a) & set(b))
-    assert alignment.overlaps([2, 5, 9], [3, 4, 9]) == [(0, 0), (0, 2), (2, 2)]
-
-
-def gallop_values(a, b):
-    pairs = alignment.gallop(a, b)
-    assert all(a[i] == b[j] for i, j in pairs)
-    return [a[i] for i, _ in pairs]
+        at = alignment.gallop(np.array(a, np.int64), np.array(b, np.int64), np.zeros(len(a), np.int64))
+        assert at.tolist() == [b.index(x) if x in b else -1 for x in a]
+        known = [rng.randint(0, max(0, sum(y < x for y in b))) for x in a]
+        assert alignment.gallop(np.array(a, np.int64), np.array(b, np.int64), np.array(known, np.int64)).tolist() == at.tolist()
+
+
+@pytest.mark.parametrize("unit, chunks, go, cells", [(1, 1, 1, 0), (300, 40, 50, 0), (5000, 3, 1 << 16, 1 << 25)])
+def test_results_dont_depend_on_sizes(spark, models, monkeypatch, unit, chunks, go, cells):
+    for name, value in (("UNIT", unit), ("CHUNKS", chunks), ("GO", go), ("CELLS", cells)):
+        monkeypatch.setattr(alignment, name, value)
+    rows = sample(7, 50)
+    assert found(spark, rows) == brute(rows, models)
 
 
 def test_chunks_join_to_the_text():
