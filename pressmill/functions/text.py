@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 ACCENTED, PLAIN = "áéíóúüñÁÉÍÓÚÜÑ", "aeiouunAEIOUUN"
 #: Accented letters of both cases that the tail label may be written with, one for one.
-LABEL_ACCENTED = "áàäâéèëêíìïîóòöôúùüûñç"
-LABEL_PLAIN = "aaaaeeeeiiiioooouuuunc"
+LABEL_ACCENTED = "áàäâãéèëêíìïîóòöôõúùüûñç"
+LABEL_PLAIN = "aaaaaeeeeiiiiooooouuuunc"
 
 # Words that say nothing about the subject of a text, without accents; those under four letters are no terms
 # anyway and left out.
@@ -57,16 +57,6 @@ def fold_label(c: Column) -> Column:
     return F.translate(F.lower(c), LABEL_ACCENTED, LABEL_PLAIN)
 
 
-def fold_quote(c: Column) -> Column:
-    """Accents, curly quotes, dashes, no-break spaces and white space."""
-    c = F.translate(F.lower(c), LABEL_ACCENTED + "“”«»‘’–— ", LABEL_PLAIN + "\"\"\"\"''-- ")
-    return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
-
-
-def fold_alnum(c: Column) -> Column:
-    return F.regexp_replace(F.translate(F.lower(c), LABEL_ACCENTED, LABEL_PLAIN), "[^a-z0-9]+", "")
-
-
 def collapse(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
 

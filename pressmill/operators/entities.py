@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pressmill.functions.stats import binomial_tail
 from pressmill.functions.text import fold_name
-from pressmill.operators.lens import ALPHA, BASE_LEAST, BASE_MOST, LIFT, binomial_tail
+from pressmill.operators.lens import ALPHA, BASE_LEAST, BASE_MOST, LIFT
 from pressmill.operators.reports import long
 
 SUPPORT = 4

@@ -7,6 +7,8 @@ of which version it is; a row counts if no later version replaced its piece. One
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,7 +71,20 @@ class Index:
         spark = self.store.spark
         texts = arts.where(F.col("id").isin([r["id"] for r in rows])).select(F.col("id").cast("long"), search.snippet(F.col("body"), search.query_stems(query, True)).alias("snippet"))
         page = spark.createDataFrame(rows, shown.schema)
-        return page.join(texts, "id", "left").select("pos", "island", "id", *LISTED, "rank", "snippet")
+        return page.join(texts, "id", "left").select("pos", "island", "id", *LISTED, "rank", "snippet").orderBy("pos")
+
+    def years(self, queries: list[str]) -> DataFrame:
+        """(query, year, n): pieces that each query matches by year, 0 where there are none, from the first year of all to
+        the last."""
+        spark, dated = self.store.spark, self.pieces().where("published_date is not null")
+        found = [self.hits(q).where("published_date is not null").select(F.lit(q).alias("query"), F.year("published_date").alias("year")) for q in queries]
+        counts = reduce(DataFrame.unionByName, found).groupBy("query", "year").agg(F.count("*").alias("n"))
+        span = dated.agg(F.min(F.year("published_date")).alias("a"), F.max(F.year("published_date")).alias("b")).where("a is not null")
+        grid = span.select(F.explode(F.sequence("a", "b")).alias("year")).join(F.broadcast(spark.createDataFrame([(q,) for q in queries], "query string")))
+        return grid.join(counts, ["query", "year"], "left").select("query", F.col("year").cast("bigint").alias("year"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+
+    def most_relevant(self, query: str, n: int = 6) -> DataFrame:
+        return self.hits(query).orderBy(F.desc("rank"), F.desc_nulls_last("published_date"), F.desc("id")).limit(n)
 
     def compact(self) -> None:
         """One part again for each table, without what has been replaced."""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.types import LongType, StructField, StructType
 
+from pressmill.functions.stats import binomial_tail
 from pressmill.functions.text import STOPWORDS, terms
 from pressmill.operators.reports import long
 
@@ -27,9 +28,21 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows.repartition("id") if rows.rdd.getNumPartitions() < wanted else rows
 
 
-def corpus(arts: DataFrame, stopwords: list[str] = STOPWORDS, half_years: bool = False) -> DataFrame:
-    """(id, date, period, terms, title_terms) of full dated pieces."""
-    rows = spread(arts.where((F.col("kind") != "portada") & F.col("published_date").isNotNull() & F.col("is_full")))
+def selected(arts: DataFrame, pub: str | None = None, since: int = 0) -> DataFrame:
+    rows = arts.where((F.col("kind") != "portada") & F.col("published_date").isNotNull())
+    rows = rows.where(F.col("pub_slug") == pub) if pub else rows
+    return rows.where(F.year("published_date") >= since) if since else rows
+
+
+def discarded(arts: DataFrame, pub: str | None = None, since: int = 0) -> DataFrame:
+    """(discarded): how many pieces are left out of the corpus only because they aren't full."""
+    return selected(arts, pub, since).agg(long(F.count_if(~F.col("is_full"))).alias("discarded"))
+
+
+def corpus(arts: DataFrame, stopwords: list[str] = STOPWORDS, half_years: bool = False, pub: str | None = None, since: int = 0, only_full: bool = True) -> DataFrame:
+    """(id, date, period, terms, title_terms) of dated pieces, full ones by default, of one publication or since a year if asked."""
+    rows = selected(arts, pub, since)
+    rows = spread(rows.where("is_full") if only_full else rows)
     year = F.year("published_date").cast("string")
     period = F.concat(year, F.when(F.month("published_date") <= 6, "-S1").otherwise("-S2")) if half_years else year
     text = F.concat(F.coalesce("title", F.lit("")), F.lit(". "), F.coalesce("body", F.lit("")))
@@ -42,10 +55,10 @@ def vocabulary(docs: DataFrame) -> DataFrame:
 
 
 def term_period(docs: DataFrame) -> DataFrame:
-    """(term, period, n) of the vocabulary; totals are summed from the counts, not from the texts again."""
+    """(term, period, n) of the vocabulary; a term's counts come together in its total's aggregation, so one shuffle does."""
     counted = docs.select(F.explode("terms").alias("term"), "period").groupBy("term", "period").agg(F.count("*").alias("n"))
-    total = F.sum("n").over(Window.partitionBy("term"))
-    return counted.withColumn("total", total).where(F.col("total") >= LEAST_TOTAL).select("term", "period", "n")
+    both = counted.groupBy("term").agg(F.sum("n").alias("total"), F.collect_list(F.struct("period", "n")).alias("by"))
+    return both.where(F.col("total") >= LEAST_TOTAL).select("term", F.inline("by"))
 
 
 def period_density(docs: DataFrame) -> DataFrame:
@@ -91,32 +104,6 @@ def scale_factors(table: DataFrame, sizes: list[int], least_df: int = 40, least_
     return [max(round(medians[f"m{i}"], 9), 1e-6) for i in range(len(sizes))]
 
 
-def upper_tail(n: Column, total: Column, p: Column) -> Column:
-    """Probability of n or more of total. From n upwards each term of the distribution follows from the one before."""
-    return binomial_tail(n, total, p, True)
-
-
-def lower_tail(n: Column, total: Column, p: Column) -> Column:
-    return binomial_tail(n, total, p, False)
-
-
-def binomial_tail(n: Column, total: Column, p: Column, upper: bool) -> Column:
-    n, total = n.cast("bigint"), total.cast("bigint")
-    p = F.least(F.greatest(p, F.lit(1e-12)), F.lit(1 - 1e-12))
-    choose = F.when(n > 0, F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), F.lit(0.0), lambda s, i: s + F.log((total - n + i) / i))).otherwise(F.lit(0.0))
-    log_first = choose + n * F.log(p) + (total - n) * F.log(1 - p)
-    if upper:
-        steps = F.when(n < total, F.sequence(n, total - 1)).otherwise(F.array().cast("array<bigint>"))
-        ratio = lambda k: (total - k) / (k + 1) * p / (1 - p)
-    else:
-        steps = F.when(n > 0, F.sequence(n, F.lit(1), F.lit(-1))).otherwise(F.array().cast("array<bigint>"))
-        ratio = lambda k: k / (total - k + 1) * (1 - p) / p
-    start = F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s"))
-    add = lambda a, k: F.struct((a["t"] * ratio(k)).alias("t"), (a["s"] + a["t"] * ratio(k)).alias("s"))
-    whole = F.aggregate(steps, start, add)["s"]
-    return F.when(total <= 0, 1.0).when(n > total, 0.0).otherwise(F.least(F.lit(1.0), F.exp(log_first + F.log(whole))))
-
-
 def base_of(ns: Column, sizes: list[int], scale: list[float], k: int) -> tuple[Column, Column, Column]:
     """(mean corrected share of the base, mean count of the base, corrected share now)."""
     last = len(sizes) - 1

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressmill.functions.text import fold_marker, words_in
+from pressmill.functions.text import TAIL_LABEL, fold_label, fold_marker, tail_at, words_in
 
 
 def pieces(arts: DataFrame) -> DataFrame:
@@ -109,6 +109,20 @@ def upper_median(values: str) -> Column:
     return F.expr(f"percentile_disc(0.5) within group (order by {values} desc)")
 
 
+# Labels of other lists of links that are counted, not cut.
+OTHER_LABELS = ("te puede interesar", "lee tambien", "leer mas", "mas sobre", "articulos recientes", "sigue leyendo")
+
+
+def tail_counters(arts: DataFrame, label: str = TAIL_LABEL, others: tuple[str, ...] = OTHER_LABELS) -> DataFrame:
+    """(counter, n) over bodies that aren't cut yet: how many are cut, how many are spared since their label stands in the
+    first half, and in how many each other label is seen."""
+    rows = arts.where("body is not null").select("body", fold_label(F.col("body")).alias("plain"))
+    has, cut = F.contains("plain", F.lit(label)), tail_at(F.col("body"), label).isNotNull()
+    counts = {"cut": F.count_if(cut), "protected": F.count_if(has & ~cut)} | {o: F.count_if(F.contains("plain", F.lit(o))) for o in others}
+    one = rows.agg(*[c.alias(f"n{k}") for k, c in enumerate(counts.values())])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(name).alias("counter"), long(f"n{k}").alias("n")) for k, name in enumerate(counts)])).alias("x")).select("x.counter", "x.n")
+
+
 def size_by_epoch_form(arts: DataFrame, year: int, limit: int = 3000) -> DataFrame:
     size = F.when(F.length("body") < limit, "short").otherwise("long")
     return pieces(arts).where("published_date is not null").groupBy(epoch(year).alias("epoch"), form().alias("form"), size.alias("size")).agg(count().alias("n"))

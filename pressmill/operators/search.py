@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from pressmill.functions.stemmer import stem
+from pressmill.operators import ordered
 from pressmill.operators.reports import long, pieces
 
 # Weights of title, subtitle and body.
@@ -172,7 +173,7 @@ def results(arts: DataFrame, query: str, number: int = 1, size: int = 25, by_ran
     rows = filtered(arts, **limits)
     hits = ranked(postings(rows, query_stems(query)), query, rows)
     shown = listed(rows.select("id", "pub_slug", "issue_id", "published_date", "title").join(hits, "id"), number, size, by_rank)
-    return shown.join(rows.select("id", snippet(F.col("body"), query_stems(query, True)).alias("snippet")), "id").select("pos", "island", "id", "pub_slug", "issue_id", "published_date", "title", "rank", "snippet")
+    return shown.join(rows.select("id", snippet(F.col("body"), query_stems(query, True)).alias("snippet")), "id").select("pos", "island", "id", "pub_slug", "issue_id", "published_date", "title", "rank", "snippet").orderBy("pos")
 
 
 def limited(rows: DataFrame, pub: str | None = None, year: int | None = None, ids: DataFrame | None = None, since: int | None = None) -> DataFrame:
@@ -218,36 +219,26 @@ def grouped(results: DataFrame) -> DataFrame:
     return rows.agg(F.min_by("pub_slug", "pos").alias("pub_slug"), F.min_by("issue_id", "pos").alias("issue_id"), F.min_by("published_date", "pos").alias("published_date"), F.transform(inside, lambda x: x["id"]).alias("ids"))
 
 
-def grouped_all(arts: DataFrame) -> DataFrame:
-    """Groups as of ``grouped`` over all pieces, newest first. The order is cut by date: a window runs within a day, and
-    what one day hands to the next, its last piece and its number of groups, is one row a day."""
-    rows = pieces(arts)
-    day = Window.partitionBy("published_date").orderBy(F.desc("id"))
-    days = Window.orderBy(F.desc_nulls_last("day"))  # as many rows as there are dates
-    key = F.struct("issue_id", "pub_slug")
-    ends = rows.groupBy(F.col("published_date").alias("day")).agg(F.min_by(key, "id").alias("end")).select("day", F.lag("end").over(days).alias("end"))
-    rows = rows.join(F.broadcast(ends), F.col("published_date").eqNullSafe(F.col("day")))
-    before = F.coalesce(F.lag(key).over(day), F.col("end"))
-    same = F.coalesce(F.col("issue_id").isNotNull() & (before["issue_id"] == F.col("issue_id")) & (before["pub_slug"] == F.col("pub_slug")), F.lit(False))
-    rows = rows.withColumn("opens", F.when(same, 0).otherwise(1)).drop("day", "end")
-    upto = rows.groupBy(F.col("published_date").alias("day")).agg(F.sum("opens").alias("n")).select("day", (F.sum("n").over(days) - F.col("n")).alias("earlier"))
-    rows = rows.join(F.broadcast(upto), F.col("published_date").eqNullSafe(F.col("day")))
-    rows = rows.withColumn("island", F.col("earlier") + F.sum("opens").over(day))
-    place = F.struct(F.col("published_date").isNull(), -F.datediff("published_date", F.lit("1970-01-01")), -F.col("id"))
-    inside = F.array_sort(F.collect_list(F.struct(place.alias("p"), "id")))
-    return rows.groupBy(long("island").alias("island")).agg(F.min_by("pub_slug", place).alias("pub_slug"), F.min_by("issue_id", place).alias("issue_id"), F.min_by("published_date", place).alias("published_date"), F.transform(inside, lambda x: x["id"]).alias("ids"))
-
-
-def neighbours(arts: DataFrame) -> DataFrame:
-    """(id, previous_id, next_id) within a publication by date and id; undated pieces have none and are none. A window runs
-    within a day of a publication; the first and last piece of each day meet in a table of one row a day."""
-    rows = pieces(arts).where("published_date is not null")
-    day = Window.partitionBy("pub_slug", "published_date").orderBy("id")
-    days = Window.partitionBy("pub_slug").orderBy("published_date")
-    ends = rows.groupBy("pub_slug", "published_date").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    ends = ends.select("pub_slug", "published_date", F.lag("last").over(days).alias("before"), F.lead("first").over(days).alias("after"))
-    rows = rows.select("id", "pub_slug", "published_date", F.lag("id").over(day).alias("previous"), F.lead("id").over(day).alias("next"))
-    return rows.join(F.broadcast(ends), ["pub_slug", "published_date"]).select("id", F.coalesce("previous", "before").alias("previous_id"), F.coalesce("next", "after").alias("next_id"))
+def grouped_all(arts: DataFrame, parts: int | None = None) -> DataFrame:
+    """Groups as of ``grouped`` over all pieces, newest first, by a scan in ranges."""
+    newest = F.struct(F.col("published_date").isNull(), -F.datediff("published_date", F.lit("1970-01-01")), -F.col("id"))
+    rows = ordered.in_ranges(pieces(arts).select("id", "pub_slug", "issue_id", "published_date"), newest, parts)
+    rows = ordered.with_neighbours(rows, F.struct("issue_id", "pub_slug"), before="before")
+    same = F.coalesce(F.col("issue_id").isNotNull() & (F.col("before.issue_id") == F.col("issue_id")) & (F.col("before.pub_slug") == F.col("pub_slug")), F.lit(False))
+    rows = ordered.with_running_sum(rows, F.when(same, 0).otherwise(1), "island")
+    inside = F.array_sort(F.collect_list(F.struct(F.col(ordered.KEY).alias("key"), "id")))
+    first = lambda c: F.min_by(c, ordered.KEY).alias(c)
+    return rows.groupBy(long("island").alias("island")).agg(first("pub_slug"), first("issue_id"), first("published_date"), F.transform(inside, lambda x: x["id"]).alias("ids"))
+
+
+def neighbours(arts: DataFrame, parts: int | None = None) -> DataFrame:
+    """(id, previous_id, next_id) within a publication by date and id, by a scan in ranges; undated pieces have none and are
+    none."""
+    rows = pieces(arts).where("published_date is not null").select("id", "pub_slug", "published_date")
+    rows = ordered.in_ranges(rows, F.struct("pub_slug", "published_date", "id"), parts)
+    rows = ordered.with_neighbours(rows, F.struct("id", "pub_slug"), "before", "after")
+    own = lambda c: F.when(F.col(f"{c}.pub_slug") == F.col("pub_slug"), F.col(f"{c}.id"))
+    return rows.select("id", own("before").alias("previous_id"), own("after").alias("next_id"))
 
 
 def siblings(arts: DataFrame) -> DataFrame:

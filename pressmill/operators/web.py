@@ -4,20 +4,25 @@ as which title counts, are column expressions."""
 from __future__ import annotations
 
 import json
+import re
 from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pressmill.functions.addresses import host, parts, plain_address, resolved
 from pressmill.functions.text import collapse, spanish_date
+from pressmill.operators.model import slug_words
 from pressmill.operators.reports import is_generic_title
 from pressmill.sources.archive import html_key
 
 BLOCKS = ("p", "h2", "h3", "blockquote", "li")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: (tag, class) of the places a body may be in, in this order; the longest text wins.
-BODIES = (("div", "entry-content"), ("div", "post-content"), ("div", "article-content"), ("section", "article-body"), ("article", None), ("main", None))
+# Places a body may be in, in this order, the longest text wins; links to the next page, to a file, and where
+# an issue has its date.
+BODIES = "div.entry-content", "div.post-content", "div.article-content", "section.article-body", "article .content", "article", "main"
+NEXT, FILE, DATED = "a.next, .nav-links a.next, a[rel=next]", "a[href*='download.php']", ".ctaSubscriptionsTitle"
 # Elements and classes whose text is no part of a body, phrases of a page that is cut off.
 JUNK_TAGS = frozenset("script style nav form aside footer header".split())
 JUNK_CLASSES = frozenset("related share social newsletter paywall".split())
@@ -27,9 +32,63 @@ ARTICLE_TYPES = ("Article", "NewsArticle", "BlogPosting")
 
 RECORD = (
     "headings array<string>, title string, metas map<string,string>, repeated_metas array<string>, ld string, time string, "
-    "anchors array<struct<href:string,rel:string,text:string>>, next string, canonical string, body string, plain string"
+    "anchors array<struct<href:string,rel:string,text:string>>, next string, canonical string, body string, plain string, "
+    "seconds array<string>, dated string, file string"
 )
 
+COMPOUND = re.compile(r"""([\w-]+|\*)?((?:\.[\w-]+|\[[\w-]+(?:[*^$~]?=(?:'[^']*'|"[^"]*"|[^\]'"]*))?\])*)""")
+CONDITION = re.compile(r"""\.([\w-]+)|\[([\w-]+)(?:([*^$~]?=)(?:'([^']*)'|"([^"]*)"|([^\]'"]*)))?\]""")
+TESTS = {
+    "=": lambda has, wanted: has == wanted,
+    "*=": lambda has, wanted: wanted != "" and wanted in has,
+    "^=": lambda has, wanted: wanted != "" and has.startswith(wanted),
+    "$=": lambda has, wanted: wanted != "" and has.endswith(wanted),
+    "~=": lambda has, wanted: wanted in has.split(),
+}
+
+
+#: Selectors that have been read.
+_read: dict[str, list] = {}
+
+
+def selector(text: str) -> list[list[tuple]]:
+    """Alternatives, each a chain from an ancestor down of (tag or None, classes, attribute conditions)."""
+    if text in _read:
+        return _read[text]
+    found = []
+    for alternative in text.split(","):
+        chain = []
+        for compound in alternative.split():
+            m = COMPOUND.fullmatch(compound)
+            if not m:
+                raise ValueError(f"not a selector: {text}")
+            conditions = CONDITION.findall(m[2])
+            classes = {c[0] for c in conditions if c[0]}
+            chain.append((m[1] if m[1] != "*" else None, classes, [(c[1], c[2], c[3] or c[4] or c[5]) for c in conditions if c[1]]))
+        found.append(chain)
+    _read[text] = found
+    return found
+
+
+def fits(node: list, compound: tuple) -> bool:
+    tag, classes, attributes = compound
+    if tag and node[0] != tag or not classes <= set(node[1].get("class", "").split()):
+        return False
+    return all(name in node[1] and (not op or TESTS[op](node[1][name], wanted)) for name, op, wanted in attributes)
+
+
+def selected(nodes: list[list], i: int, text: str) -> bool:
+    """Whether node i is what a selector names; of each chain the nearest fitting ancestors are taken."""
+    for chain in selector(text):
+        if fits(nodes[i], chain[-1]):
+            left, at = len(chain) - 1, nodes[i][2]
+            while left and at > 0:
+                left -= fits(nodes[at], chain[left - 1])
+                at = nodes[at][2]
+            if not left:
+                return True
+    return False
+
 
 class Reader(HTMLParser):
     """Elements as (tag, attributes, parent, first part, end part) over the list of the page's texts."""
@@ -99,8 +158,9 @@ def read_page(html: str) -> dict:
         return "\n\n".join(found) or clean(n[3], n[4])
 
     body = ""
-    for tag, name in BODIES:
-        node = next((n for n in nodes if n[0] == tag and (name is None or name in n[1].get("class", "").split())), None)
+    named = lambda wanted: next((n for i, n in enumerate(nodes) if i and selected(nodes, i, wanted)), None)
+    for wanted in BODIES:
+        node = named(wanted)
         if node is not None and len(found := body_of(node)) > len(body):
             body = found
     metas, tags, linked = {}, [], []
@@ -115,6 +175,7 @@ def read_page(html: str) -> dict:
             except ValueError:
                 pass
     first = lambda tag, key=None, **wanted: next((n[1].get(key) if key else text(n) for n in nodes if n[0] == tag and all(n[1].get(k) == v for k, v in wanted.items())), None)
+    link, file, dated = named(NEXT), named(FILE), named(DATED)
     return {
         "headings": [t for n in nodes if n[0] == "h1" and (t := text(n))],
         "title": first("title"),
@@ -123,10 +184,13 @@ def read_page(html: str) -> dict:
         "ld": json.dumps(article_object(linked), ensure_ascii=False),
         "time": first("time", "datetime"),
         "anchors": [{"href": n[1].get("href", ""), "rel": n[1].get("rel", ""), "text": text(n)} for n in nodes if n[0] == "a"],
-        "next": first("link", "href", rel="next"),
+        "next": next((h for n in nodes if n[0] == "link" and "next" in n[1].get("rel", "").split() and (h := n[1].get("href"))), None) or (link and link[1].get("href") or None),
         "canonical": first("link", "href", rel="canonical"),
         "body": body,
         "plain": squeeze(" ".join(parts)),
+        "seconds": [text(n) for n in nodes if n[0] == "h2"],
+        "dated": dated and text(dated),
+        "file": file and file[1]["href"],
     }
 
 
@@ -139,24 +203,24 @@ def _page_parts(html: pd.Series) -> pd.DataFrame:
 
 
 def normalised_url(url: Column) -> Column:
-    """Scheme, host and path; no query, no fragment, single slashes in the path."""
-    plain = F.regexp_replace(url, r"[?#].*\z", "")
-    return F.concat(F.regexp_extract(plain, r"^(https?://[^/]*)", 1), F.regexp_replace(F.regexp_replace(plain, r"^https?://[^/]*", ""), "/{2,}", "/"))
+    return plain_address(url)
 
 
-def resolved(href: Column, base: Column) -> Column:
-    """A link as an address: given in full, from the root, or from the folder of the page."""
-    root = F.regexp_extract(base, r"^(https?://[^/?#]*)", 1)
-    folder = F.regexp_replace(F.regexp_replace(base, r"[?#].*\z", ""), r"(?<!/)/[^/]*\z", "/")
-    return F.when(href.rlike(r"^https?://"), href).when(href.startswith("/"), F.concat(root, href)).otherwise(F.concat(folder, href))
+def same_site_links(pages: DataFrame, base: Column | None = None) -> DataFrame:
+    """(page_id, links): addresses on the host of ``base``, the page's own address by default, in order, each once;
+    links to places in the page itself are none."""
+    base = F.col("url") if base is None else base
+    rows = pages.select("page_id", base.alias("base"), page_parts("html").alias("p"))
+    links = F.transform(F.filter("p.anchors", lambda a: (a["href"] != "") & ~a["href"].startswith("#")), lambda a: plain_address(resolved(a["href"], F.col("base"))))
+    return rows.select("page_id", F.array_distinct(F.filter(links, lambda u: host(u) == host(F.col("base")))).alias("links"))
 
 
-def same_site_links(pages: DataFrame) -> DataFrame:
-    """(page_id, links): addresses on the page's own host in order, each once."""
-    rows = pages.select("page_id", "url", page_parts("html").alias("p"))
-    host = F.regexp_extract("url", r"^(https?://[^/?#]*)", 1)
-    links = F.transform(F.filter("p.anchors", lambda a: (a["href"] != "") & ~a["href"].rlike(r"^(?:#|mailto:|javascript:)")), lambda a: normalised_url(resolved(a["href"], F.col("url"))))
-    return rows.select("page_id", F.array_distinct(F.filter(links, lambda u: F.concat(F.lit("//"), F.regexp_extract(u, "^https?://([^/]*)", 1)) == F.regexp_replace(host, "^https?:", ""))).alias("links"))
+def next_pages(pages: DataFrame, base: Column | None = None, within: str = "/archivo/") -> DataFrame:
+    """(page_id, next): the page that a list goes on with, if it is still in the archive."""
+    base = F.col("url") if base is None else base
+    rows = pages.select("page_id", base.alias("base"), page_parts("html").alias("p"))
+    rows = rows.where("p.next is not null").select("page_id", resolved(F.col("p.next"), F.col("base")).alias("next"))
+    return rows.where(F.col("next").contains(within))
 
 
 def article_links(links: DataFrame, patterns: list[str], excluded: list[str]) -> DataFrame:
@@ -209,12 +273,15 @@ MONTHS = "enero febrero marzo abril mayo junio julio agosto septiembre octubre n
 
 
 def issue_records(pages: DataFrame) -> DataFrame:
-    """(page_id, url, number, title, published_date, pdf_url) of issue pages."""
+    """(page_id, url, number, title, published_date, pdf_url) of issue pages: the number that ends the address; the first heading
+    that isn't empty, with the number, else the address; the date of the subscription block, else of the page's data."""
     rows = pages.select("page_id", "url", page_parts("html").alias("p"))
-    number = F.regexp_extract(normalised_url(F.col("url")), r"-(\d+)/?\z", 1)
-    pdf = F.filter("p.anchors", lambda a: a["href"].rlike(r"(?i)\.pdf(?:[?#].*)?\z"))
-    date = F.coalesce(F.col("p.metas")["article:published_time"], F.col("p.time"), spanish_date(F.col("p.plain")))
-    return rows.select("page_id", normalised_url(F.col("url")).alias("url"), F.when(number != "", number.cast("int")).alias("number"), F.get("p.headings", F.lit(0)).alias("title"), F.substring(date, 1, 10).alias("published_date"), F.when(F.size(pdf) > 0, resolved(pdf[0]["href"], F.col("url"))).alias("pdf_url"))
+    number = F.regexp_extract(parts(F.col("url"))["path"], r"-(\d+)/?\z", 1)
+    heading = F.get("p.headings", F.lit(0))
+    title = F.when(number != "", F.concat_ws(" ", heading, number.cast("int").cast("string"))).otherwise(heading)
+    own = spanish_date(F.col("p.dated"))
+    date = F.coalesce(own, F.nullif(F.substring(F.coalesce(F.col("p.metas")["article:published_time"], F.col("p.time")), 1, 10), F.lit("")))
+    return rows.select("page_id", "url", F.when(number != "", number.cast("int")).alias("number"), F.when(heading.isNotNull(), title).otherwise(F.col("url")).alias("title"), date.alias("published_date"), resolved(F.col("p.file"), F.col("url")).alias("pdf_url"))
 
 
 def assembled(records: DataFrame, publication: str, now: Column) -> DataFrame:
@@ -229,9 +296,12 @@ def assembled(records: DataFrame, publication: str, now: Column) -> DataFrame:
 
 
 def diagnostics(pages: DataFrame) -> DataFrame:
-    """What a page says of itself: title, open-graph title, canonical address, first headings."""
-    rows = pages.select("page_id", "url", page_parts("html").alias("p"))
-    return rows.select("page_id", "url", F.col("p.title").alias("title"), F.col("p.metas")["og:title"].alias("og_title"), F.col("p.canonical").alias("canonical"), F.slice("p.headings", 1, 3).alias("h1"))
+    """What a page says of itself: title, open-graph title, canonical address, first and second headings, and how many of the
+    words of its address are in it."""
+    rows = pages.select("page_id", "url", "html", page_parts("html").alias("p"), slug_words(F.col("url")).alias("slug"))
+    inside = F.size(F.filter("slug", lambda w: F.contains(F.lower("html"), F.lower(w))))
+    short = lambda c, n: F.transform(F.slice(c, 1, n), lambda t: F.substring(t, 1, 80))
+    return rows.select("page_id", "url", F.length("html").cast("bigint").alias("chars"), F.substring("p.title", 1, 90).alias("title"), F.substring(F.col("p.metas")["og:title"], 1, 90).alias("og_title"), F.substring("p.canonical", 1, 110).alias("canonical"), short("p.headings", 3).alias("h1"), short("p.seconds", 4).alias("h2"), "slug", inside.cast("bigint").alias("slug_found"))
 
 
 def reparsed(old: DataFrame, fresh: DataFrame, only: Column | None = None) -> DataFrame:
@@ -242,3 +312,14 @@ def reparsed(old: DataFrame, fresh: DataFrame, only: Column | None = None) -> Da
     new = ("title", "subtitle", "authors", "tags", "body", "is_full")
     columns = [F.when(redo, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c) if c in new else F.when(redo, F.coalesce("n.published_date", "o.published_date")).otherwise(F.col("o.published_date")).alias(c) if c == "published_date" else F.col(f"o.{c}") for c in old.columns]
     return both.select(*columns)
+
+
+def reparse_counts(old: DataFrame, fresh: DataFrame, generic: tuple[str, ...] = (), prefixes: tuple[str, ...] = (), breadcrumb: str = r"(?!)", only_generic: bool = False) -> DataFrame:
+    """(articles, changed, without_html, still_generic) of reading old records anew: titles that came out otherwise, records
+    whose page isn't stored, and titles that say nothing afterwards."""
+    says_nothing = lambda c: is_generic_title(c, generic, prefixes, breadcrumb)
+    both = old.select("url", F.col("title").alias("before")).join(fresh.select("url", F.col("title").alias("now"), F.lit(True).alias("stored")), "url", "left")
+    redo = F.col("stored").isNotNull() & (says_nothing(F.col("before")) if only_generic else F.lit(True))
+    after = F.when(redo, F.col("now")).otherwise(F.col("before"))
+    count = lambda c: F.count_if(c).cast("bigint")
+    return both.agg(F.count("*").cast("bigint").alias("articles"), count(redo & ~F.col("now").eqNullSafe(F.col("before"))).alias("changed"), count(F.col("stored").isNull()).alias("without_html"), count(says_nothing(after)).alias("still_generic"))

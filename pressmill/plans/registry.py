@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pressmill.plans import lens_queries, model_queries, report_queries, state_queries, view_queries
+from pressmill.plans import lens_queries, model_queries, report_queries, state_queries, step_queries, view_queries
 
-MODULES = (report_queries, lens_queries, state_queries, view_queries, model_queries)
+MODULES = (report_queries, lens_queries, state_queries, view_queries, model_queries, step_queries)
 
 
 def queries() -> dict:

@@ -47,7 +47,7 @@ def issue_texts(spark, d):
 
 
 def pdf_split(spark, d):
-    return rescue.split_issue(issue_texts(spark, d), arts(spark, d).where("issue_id is not null")).select("issue_id", "id", "chars")
+    return rescue.split_issue(issue_texts(spark, d), arts(spark, d).where("issue_id is not null")).select("issue_id", "id", "start", "chars")
 
 
 def pdf_ratio(spark, d):
@@ -181,6 +181,7 @@ def _headlines(rows: str, words: list[str]) -> str:
 
 
 _FOLD = "'áàäâéèëêíìïîóòöôúùüûñç', 'aaaaeeeeiiiioooouuuunc'"
+_LETTERS = r"regexp_replace(strip_accents(lower({})), '[^\p{{L}}\p{{N}}]+', '', 'g')"
 _MARK = "substr(regexp_replace(translate(lower({}), 'áàäâéèëêíìïîóòöôúùüûñç', 'aaaaeeeeiiiioooouuuunc'), '[^a-z0-9]+', '', 'g'), 1, 90)"
 
 SQL = {
@@ -211,13 +212,12 @@ SQL = {
     "sections": f"with {_SECTIONS} select * from sections where length(body) >= 600",
     "twin_match": f"with {ARTICLES_SQL}, {_SECTIONS}, s as (select doc, doc // 5 as issue_id, place, {_MARK.format('body')} as mark from sections where doc % 11 <> 0 and length(body) >= 600), a as (select issue_id, id, {_MARK.format('body')} as mark from articles where issue_id is not null) select doc, s.issue_id, place, a.id from s join a using (issue_id, mark) where length(mark) = 90 qualify count(*) over (partition by doc, place) = 1",
     "pdf_split": f"""with {ARTICLES_SQL}, t as (select issue_id, string_agg(title || chr(10) || body, chr(10) order by id) as text from articles where issue_id is not null group by issue_id),
- f as (select issue_id, text, translate(lower(text), {_FOLD}) as low from t),
- g as (select issue_id, text, list_filter(list_transform(string_split(low, ''), lambda x, i: case when regexp_matches(x, '^[a-z0-9]$') then i end), lambda i: i is not null) as places, regexp_replace(low, '[^a-z0-9]+', '', 'g') as plain from f),
- a as (select issue_id, id, regexp_replace(translate(lower(title), {_FOLD}), '[^a-z0-9]+', '', 'g') as mark, count(*) over (partition by issue_id) = 1 as alone from articles where issue_id is not null),
- l as (select a.*, g.text, g.places, case when length(mark) >= 10 then coalesce(nullif(instr(plain, mark), 0), case when length(mark) > 40 then nullif(instr(plain, substr(mark, 1, 40)), 0) end, case when length(mark) > 30 then nullif(instr(plain, substr(mark, 1, 30)), 0) end, case when length(mark) > 22 then nullif(instr(plain, substr(mark, 1, 22)), 0) end) end as spot from a join g using (issue_id)),
+ g as (select issue_id, text, list_filter(list_transform(string_split(text, ''), lambda x, i: case when regexp_matches(x, '[\\p{{L}}\\p{{N}}]') then i end), lambda i: i is not null) as places, {_LETTERS.format('text')} as plain from t),
+ a as (select issue_id, id, {_LETTERS.format('title')} as mark, count(*) over (partition by issue_id) = 1 as alone from articles where issue_id is not null),
+ l as (select a.*, g.text, g.places, case when length(mark) >= 10 then coalesce(nullif(instr(plain, mark), 0), case when length(mark) >= 40 then nullif(instr(plain, substr(mark, 1, 40)), 0) end, case when length(mark) >= 30 then nullif(instr(plain, substr(mark, 1, 30)), 0) end, case when length(mark) >= 22 then nullif(instr(plain, substr(mark, 1, 22)), 0) end) end as spot from a join g using (issue_id)),
  s as (select issue_id, id, text, case when alone then 0 else places[spot] - 1 end as start from l where alone or spot is not null),
  e as (select *, coalesce(lead(start) over (partition by issue_id order by start, id), length(text)) as stop from s)
- select issue_id, id, length(trim(substr(text, start + 1, stop - start), ' ')) as chars from e""",
+ select issue_id, id, cast(start as bigint) as start, length(regexp_replace(substr(text, start + 1, stop - start), '^\\s+|\\s+$', '', 'g')) as chars from e""",
     "pdf_ratio": f"with {ARTICLES_SQL}, w as (select issue_id, cast(sum(length(body)) filter (is_full) as bigint) as web_chars, cast(sum(length(title) + length(body) + 2) - 1 as bigint) as pdf_chars from articles where issue_id is not null group by issue_id), r as (select *, pdf_chars / greatest(web_chars, 1) as ratio from w where web_chars is not null) select issue_id, web_chars, pdf_chars, round(ratio, 6) as ratio, case when ratio < 1.6 then 'same' when ratio < 2.5 then 'some missing' else 'much missing' end as verdict from r",
     "url_normalise": f"select page_id, {_NORMAL.format(u='url')} as url from pages",
     "spanish_dates": f"with {ARTICLES_SQL} select id, strftime(published_date, '%Y-%m-%d') as date from articles where published_date is not null",

@@ -3,40 +3,55 @@
 import datetime
 import math
 import random
+from decimal import Decimal, localcontext
 
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from pressmill.functions import stats
 from pressmill.functions.text import spanish_date, split_tail, tail_at, terms
 from pressmill.operators import entities, lens
 
-FILLER = "mercado gobierno acuerdo frontera comercio energia reforma tratado embajada puerto industria defensa moneda cosecha carretera universidad".split()
-
-
-def planted(seed, longer):
-    rng, rows, n = random.Random(seed), [], 0
-    for year in range(2014, 2027):
-        for _ in range(60 if year < 2021 else 150):
-            words = [rng.choice(FILLER) for _ in range(240 if longer and year == 2026 else 120)]
-            phrases = [" ".join(words[i : i + 10]) for i in range(0, len(words), 10)]
-            if rng.random() < {2023: 0.05, 2024: 0.12, 2025: 0.22, 2026: 0.5}.get(year, 0):
-                phrases.append("corredor artico")
-            if rng.random() < 0.2:
-                phrases.append("canal panama")
-            rows.append(Row(id=n, published_date=datetime.date(year, 1 + n % 12, 3), title="nota", body=". ".join(phrases), kind="articulo", is_full=True))
-            n += 1
-    return rows
-
-
-@pytest.mark.parametrize("seed,longer", [(1, False), (2, True)])
-def test_planted_trend(spark, seed, longer):
-    docs = lens.corpus(spark.createDataFrame(planted(seed, longer)))
-    found = {r["term"] for r in lens.changes(lens.counted(docs, least_terms=10), True).collect()}
-    assert "corredor artico" in found and "artico" in found
-    assert not found & {"canal panama", "canal", *FILLER}
-    top = [r["term"] for r in lens.rising_top(docs).collect()]
-    assert top[0] == "corredor artico" and "artico" not in top
+#: Words without a trend, and pairs of words with the share of documents that hold them in period k of 9.
+GROUND = [f"{a}{b}" for a in ("lomo", "risco", "valle", "senda", "arena") for b in ("bravo", "claro", "denso", "firme")]
+TRENDS = {
+    "puente colgante": lambda k: 0.04 + 0.3 * (k == 8),  # at once
+    "vidrio soplado": lambda k: 0.02 + 0.00012 * k**4,  # ever faster
+    "faro apagado": lambda k: 0.45 - 0.05 * k,  # fading
+    "molino viejo": lambda k: 0.3,
+    "noria lenta": lambda k: 0.25 + 0.1 * (k % 2),  # to and fro
+}
+
+
+def planted(seed, stretch):
+    """Half years 2018-1 to 2022-1, 220 documents each; from the middle on texts are ``stretch`` times as long."""
+    rng = random.Random(seed)
+    for k in range(9):
+        for j in range(220):
+            length = stretch if k > 4 else 1
+            body = [f"{rng.choice(GROUND)} {rng.choice(GROUND)}" for _ in range(20 * length)]
+            body += [pair for pair, share in TRENDS.items() if any(rng.random() < share(k) for _ in range(length))]
+            rng.shuffle(body)
+            yield Row(id=1000 * k + j, published_date=datetime.date(2018 + k // 2, 1 + 6 * (k % 2) + j % 6, 1 + j % 28), title="sin tema", body="; ".join(body), kind="articulo", is_full=True)
+
+
+def truth(up):
+    """Trends whose share in the last period is that many times the mean of the five before it, or that part of it."""
+    mean = {t: sum(share(k) for k in range(3, 8)) / 5 for t, share in TRENDS.items()}
+    return {t for t, share in TRENDS.items() if (share(8) >= 2 * mean[t] if up else share(8) <= mean[t] / 2)}
+
+
+@pytest.mark.parametrize("seed,stretch", [(11, 1), (12, 3)])
+def test_planted_trends(spark, seed, stretch):
+    docs = lens.corpus(spark.createDataFrame(list(planted(seed, stretch))), half_years=True)
+    assert docs.select("period").distinct().count() == 9
+    c = lens.counted(docs, least_terms=10)
+    for up in (True, False):
+        found = {r["term"] for r in lens.changes(c, up).collect()}
+        assert found & set(TRENDS) == truth(up) and not found & set(GROUND)
+        assert {r["term"] for r in lens.rising_top(docs, rising=up).collect()} & set(TRENDS) == truth(up)
+    assert truth(True) == {"puente colgante", "vidrio soplado"} and truth(False) == {"faro apagado"}
 
 
 def test_terms_follow_the_rule(spark):
@@ -45,12 +60,45 @@ def test_terms_follow_the_rule(spark):
     assert set(row) == {"golfo", "aden", "nacion", "golfo aden", "aden nacion"}
 
 
-@pytest.mark.parametrize("n,total,p,upper", [(3, 20, 0.05, True), (0, 50, 0.1, False), (50, 50, 0.9, True), (7, 900, 0.03, False), (0, 30, 0.2, True), (5, 4, 0.2, True)])
-def test_binomial_tail(spark, n, total, p, upper):
-    got = spark.range(1).select(lens.binomial_tail(F.lit(n), F.lit(total), F.lit(p), upper).alias("p")).first()["p"]
-    ks = range(n, total + 1) if upper else range(n + 1)
-    want = sum(math.comb(total, k) * p**k * (1 - p) ** (total - k) for k in ks)
-    assert got == pytest.approx(min(1, want), rel=1e-9)
+def log_factorial(n):
+    if n < 200:
+        return Decimal(math.factorial(n)).ln()
+    d, pi = Decimal(n), Decimal("3.14159265358979323846264338327950288419716939937510")
+    return d * d.ln() - d + (2 * pi * d).ln() / 2 + 1 / (12 * d) - 1 / (360 * d**3) + 1 / (1260 * d**5) - 1 / (1680 * d**7) + 1 / (1188 * d**9)
+
+
+def exact_tail(n, total, p, upper):
+    """Term after term with 50 digits, until none counts any more."""
+    with localcontext() as context:
+        context.prec = 50
+        if not upper:
+            return exact_tail(total - n, total, 1 - Decimal(p), True)
+        p = Decimal(p)
+        if n > total:
+            return 0.0
+        if n <= total * p:  # what the lower terms leave of 1
+            return 1 - exact_tail(n - 1, total, p, False) if n > 0 else 1.0
+        term = (log_factorial(total) - log_factorial(n) - log_factorial(total - n) + n * p.ln() + (total - n) * (1 - p).ln()).exp()
+        whole, k = term, n
+        while k < total and term > whole * Decimal("1e-20"):
+            term *= (total - k) * p / ((k + 1) * (1 - p))
+            whole, k = whole + term, k + 1
+        return float(whole)
+
+
+def test_binomial_tails_in_constant_steps(spark):
+    cases = [(3, 20, 0.05), (0, 50, 0.1), (50, 50, 0.9), (49, 50, 0.9), (7, 900, 0.03), (0, 30, 0.2), (5, 4, 0.2), (1, 1, 0.5), (0, 0, 0.3), (6, 250, 0.0), (1, 1000, 1e-12), (999, 1000, 0.999)]
+    cases += [(n, 1000, p) for p in (0.001, 0.02, 0.3, 0.5, 0.97) for n in (0, 1, 5, 14, 15, 16, 20, 21, 60, 299, 300, 301, 499, 500, 501, 600, 969, 970, 971, 999, 1000)]
+    cases += [(n, 10**8, p) for p, ns in ((1e-7, (1, 10, 11, 30, 60)), (1e-3, (98_000, 99_999, 100_000, 100_001, 100_400, 103_000, 110_000)), (0.4, (39_990_000, 40_000_000, 40_010_000, 40_050_000))) for n in ns]
+    rows = spark.createDataFrame([(k, *c) for k, c in enumerate(cases)], "k int, n long, total long, p double")
+    got = rows.select("k", stats.upper_tail(F.col("n"), F.col("total"), F.col("p")).alias("up"), stats.lower_tail(F.col("n"), F.col("total"), F.col("p")).alias("low")).orderBy("k").collect()
+    for (n, total, p), r in zip(cases, got):
+        p = min(max(p, 1e-12), 1 - 1e-12)
+        for upper, x in ((True, r["up"]), (False, r["low"])):
+            want = 1.0 if total == 0 or (upper and n == 0) or (not upper and n >= total) else exact_tail(n, total, p, upper)
+            assert x == pytest.approx(float(want), rel=1e-9, abs=1e-300), (n, total, p, upper)
+    plan = rows.select(stats.upper_tail(F.col("n"), F.col("total"), F.col("p")))._jdf.queryExecution().toString()
+    assert "sequence(" not in plan
 
 
 def test_entities_rise_fall_and_appear(spark):
