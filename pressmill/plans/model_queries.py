@@ -8,7 +8,8 @@ from pressmill.functions.text import split_tail
 from pressmill.operators import enrich, entities, model, rescue, web
 from pressmill.operators.merge import upsert
 from pressmill.operators.reports import long
-from pressmill.plans.state_queries import named, replies, tailed
+from pressmill.plans.state_queries import _REPLIED, named, replies, tailed
+from pressmill.plans.state_queries import SQL as STATE_SQL
 from pressmill.plans.view_queries import _NORMAL, sections
 from pressmill.sources.archive import ARTICLES_SQL, articles, publications, table
 
@@ -48,9 +49,9 @@ def with_issues(spark, d):
 
 
 def fewer(spark, d):
-    """Articles of every other document, some with the issue's title, so that sections have and lack twins."""
+    """Articles, some with the issue's title, every other one with another beginning, so that sections have and lack twins."""
     title = F.when(F.col("id") % 3 == 0, F.concat(F.lit("#ISPE "), F.col("id").cast("string"), F.lit(": enero 2014"))).otherwise(F.col("title"))
-    return arts(spark, d).where("id % 2 = 0").withColumn("title", title)
+    return arts(spark, d).withColumns({"title": title, "body": F.when(F.col("id") % 2 == 0, F.col("body")).otherwise(F.concat(F.lit("Otro comienzo. "), F.col("body")))})
 
 
 def new_sections(spark, d):
@@ -166,7 +167,7 @@ _FOUND = r"""found as (select *, {mark} as mark from (
     regexp_replace(regexp_replace(substr(text, 1, 40), '[ \t\x{{A0}}]+', ' ', 'g'), '^\s+|\s+$', '', 'g') as title,
     regexp_replace(regexp_replace(replace(text, chr(10), ''), '[ \t\x{{A0}}]+', ' ', 'g'), '^\s+|\s+$', '', 'g') as body
   from documents where doc_id % 11 <> 0) where length(body) >= 600),
- fewer as (select * replace (case when id % 3 = 0 then '#ISPE ' || id || ': enero 2014' else title end as title) from articles where id % 2 = 0),
+ fewer as (select * replace (case when id % 3 = 0 then '#ISPE ' || id || ': enero 2014' else title end as title, case when id % 2 = 0 then body else 'Otro comienzo. ' || body end as body) from articles),
  pairs as (select doc, f.issue_id, a.id from found f join (select issue_id, id, {amark} as mark from fewer where issue_id is not null) a using (issue_id, mark) where length(mark) = 90 qualify count(*) over (partition by doc) = 1),
  fresh as (select i.url || '#seccion-' || doc as url, f.issue_id, title, kicker as subtitle, body, coalesce(i.published_date, n.newest) as published_date from found f join issues i on i.id = f.issue_id
    left join (select issue_id, max(published_date) as newest from fewer group by issue_id) n on n.issue_id = f.issue_id where doc not in (select doc from pairs))""".format(mark=_MARK.format("body"), amark=_MARK.format("body"))
@@ -203,4 +204,6 @@ SQL = {
  select id, array_to_string(words, ' ') as words, len(list_filter(words, lambda w: contains(body, w))) as present from s""",
     "first_tag_trend": f"with {ARTICLES_SQL}, t as (select tags[1] as tag from articles where id = 1) select tag, year(published_date) as year, count(*) as n from pieces, t where published_date is not null and list_contains(tags, tag) group by all",
     "assembled_records": f"select page_id, case when page_id % 10 <> 0 then 'weekly' end as publication, case when page_id % 10 <> 0 and page_id % 3 <> 0 then 'https://archive.example/numero/' || (page_id % 7) end as issue_url, case when page_id % 10 <> 0 and page_id % 2 = 0 then '2014-01-14' end as published_date, case when page_id % 10 <> 0 then sha1({_NORMAL.format(u='url')}) || '.html' end as raw_html_path, case when page_id % 10 = 0 then '404' else 'read' end as status from pages",
+    "changed_tags": f"with t as ({STATE_SQL['entity_tags']}) select article_id as id, tags from t where article_id % 3 = 0 or article_id % 2 <> 0 and len(string_split(tags, '|')) > 3",
+    "enriched_samples": f"with {ARTICLES_SQL}, {_REPLIED} select id, title, array_to_string(list_sort(list_filter(list_distinct([word, lang]), lambda w: w <> '')), ', ') as actors, lang as subjects, quote || case when id % 4 = 0 then ' zzz' else '' end as quotes from replied where usable order by published_date desc nulls last, id limit 5",
 }

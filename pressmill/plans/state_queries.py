@@ -143,6 +143,7 @@ _TAILED = """tailed as (select * replace (case when id % 3 = 0 then body || chr(
  labelled as (select *, instr(translate(lower(body), 'áàäâéèëêíìïîóòöôúùüûñç', 'aaaaeeeeiiiioooouuuunc'), 'articulos relacionados') as p from tailed),
  headed as (select *, case when p > 0 and p - 1 >= 0.5 * length(body) then substr(body, 1, p - 1) end as before from labelled),
  cut as (select *, length(regexp_replace(case when instr(reverse(before), chr(10)) > 0 then substr(before, 1, length(before) - instr(reverse(before), chr(10))) else before end, '\\s+\\z', '')) as cut_at from headed)"""
+_PLAIN = r"trim(regexp_replace(translate(strip_accents(lower({})), '‘’“”–—', chr(39) || chr(39) || chr(34) || chr(34) || '--'), '\s+', ' ', 'g'), ' ')"
 _REPLIED = "replied as (select *, id % 13 <> 0 and id % 17 <> 0 as usable, substr(body, 20, 50) as quote, regexp_extract(body, '[A-Za-z]{5,}') as word from articles where kind <> 'portada' and is_full)"
 
 
@@ -187,7 +188,8 @@ SQL = {
     "tail_restore": f"with {ARTICLES_SQL}, {_TAILED} select count(*) as n, count(cut_at) as cut, count(*) as restored from cut",
     "tail_report": f"with {ARTICLES_SQL}, {_TAILED}, t as (select pub_slug, case when year(published_date) >= 2017 then 'new' else 'old' end as epoch, cut_at, length(body) - cut_at as tail from cut) select pub_slug, epoch, count(*) as n, count(cut_at) as cut, cast(sum(tail) as bigint) as cut_chars, list_sort(list(tail) filter (tail is not null))[count(tail) // 2 + 1] as median_cut from t group by all",
     "enrich_parse": f"with {ARTICLES_SQL}, {_REPLIED} select id, usable, case when usable then quote || case when id % 4 = 0 then ' zzz' else '' end else '' end as quotes, case when usable then array_to_string(list_sort(list_filter(list_distinct([word, lang]), lambda w: w <> '')), '|') else '' end as actors, case when usable then lang else '' end as subjects from replied",
-    "quote_verify": f"with {ARTICLES_SQL}, {_REPLIED} select id, case when id % 4 = 0 then 0 else 1 end as kept, case when id % 4 = 0 then 1 else 0 end as discarded from replied where usable",
+    "quote_verify": rf"""with {ARTICLES_SQL}, {_REPLIED}, q as (select id, {_PLAIN.format('body')} as plain, quote || case when id % 4 = 0 then ' zzz' else '' end as q from replied where usable),
+ v as (select id, length(trim(regexp_replace(q, '\s+', ' ', 'g'), ' ')) >= 30 and contains(plain, {_PLAIN.format('q')}) as good from q) select id, case when good then 1 else 0 end as kept, case when good then 0 else 1 end as discarded from v""",
     "cost_estimate": f"with {ARTICLES_SQL}, t as (select count(*) as requests, cast(sum(length(body)) as bigint) as chars from pieces where is_full) select requests, chars, round(chars / 3.6 + 400 * requests, 3) as tokens_in, round(300.0 * requests, 3) as tokens_out, round(((chars / 3.6 + 400 * requests) * 1.0 + 300.0 * requests * 5.0) / 1e6 / 2, 6) as cost from t",
     "enrich_progress": f"with {ARTICLES_SQL} select count(*) as total, count(*) filter (id % 7 <> 0) as enriched from pieces where is_full",
 }
