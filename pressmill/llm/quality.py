@@ -1,6 +1,8 @@
 """Quality classifier: supervised subword embeddings (see ``subword``), case kept, over whole texts.
 
-Defined results: a null or empty text gets the prior of the labels; without labels of both classes every text gets it.
+Defined results: a null or empty text gets the prior of the labels; without labels of both classes every text gets it; a
+score equal to the threshold is good; rows that repeat are scored alike, each by its own text; very long texts are scored
+whole, in pieces that share no feature less; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pressmill.llm import subword
 from pressmill.llm.common import free_name, table
 
-SETTINGS = subword.Settings(bits=18, per_class=1500)
+SETTINGS = subword.Settings()
 THRESHOLD = 0.3
 
 

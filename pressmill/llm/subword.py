@@ -24,8 +24,10 @@ from pressmill.llm.common import small_batches
 
 GRAMS = (3, 4, 5)
 PRIME = 0x9E3779B97F4A7C15
-#: Bytes hashed at once; a longer text is taken in pieces cut at white space, which leaves its features as they are.
+#: Bytes hashed at once; a longer text is taken in pieces cut at white space, never inside a word, and the last word of a piece
+#: is known to the next, so that its features are as they were.
 PIECE = 1 << 19
+WHITE = (b" ", b"\t", b"\n", b"\v", b"\f", b"\r")
 
 
 @dataclass(frozen=True)
@@ -49,34 +51,40 @@ def byte_table(lowercase: bool) -> np.ndarray:
     return table
 
 
-def pieces(texts: list[bytes], limit: int = PIECE) -> Iterator[tuple[list[int], list[int], bytes]]:
-    """Runs of padded texts of about ``limit`` bytes: the owners of its parts, where each part starts, and the bytes."""
-    owners, starts, parts, size = [], [], [], 0
+def pieces(texts: list[bytes], limit: int = PIECE) -> Iterator[tuple[list[int], list[int], list[int], bytes]]:
+    """Runs of padded texts of about ``limit`` bytes: the owners of its parts, where each part starts, the starts of those that
+    begin a text, and the bytes."""
+    owners, starts, fresh, parts, size = [], [], [], [], 0
     for owner, text in enumerate(texts):
         at = 0
         while True:
             end = len(text)
             if end - at > limit:
-                cut = max(text.rfind(c, at + 1, at + limit) for c in (b" ", b"\n", b"\t"))
-                end = cut if cut > at else at + limit
+                cut = max(text.rfind(c, at + 1, at + limit) for c in WHITE)
+                if cut <= at:  # a word longer than a piece stays whole
+                    cut = min((k for c in WHITE if (k := text.find(c, at + limit)) >= 0), default=end)
+                end = cut
             owners.append(owner)
             starts.append(size)
+            if at == 0:
+                fresh.append(size)
             parts.append(b" " + text[at:end] + b" ")
             size += len(parts[-1])
             at = end
             if size >= limit:
-                yield owners, starts, b"".join(parts)
-                owners, starts, parts, size = [], [], [], 0
+                yield owners, starts, fresh, b"".join(parts)
+                owners, starts, fresh, parts, size = [], [], [], [], 0
             if at >= len(text):
                 break
     if owners:
-        yield owners, starts, b"".join(parts)
+        yield owners, starts, fresh, b"".join(parts)
 
 
 class Hasher:
     def __init__(self, settings: Settings):
         self.table, self.shift = byte_table(settings.lowercase), np.uint64(64 - settings.bits)
         self.powers = self.inverses = np.ones(1, np.uint64)
+        self.last: np.ndarray = np.zeros(0, np.uint64)  # the last word's hash, for the piece that goes on with its text
 
     def _need(self, n: int) -> None:
         if len(self.powers) < n:
@@ -84,8 +92,9 @@ class Hasher:
             self.powers = np.cumprod(np.r_[np.uint64(1), np.full(n - 1, PRIME, np.uint64)])
             self.inverses = np.cumprod(np.r_[np.uint64(1), np.full(n - 1, pow(PRIME, -1, 1 << 64), np.uint64)])
 
-    def __call__(self, data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(positions, buckets) for words and for each n-gram length; a gram may only start or end with the space."""
+    def __call__(self, data: bytes, fresh: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(positions, buckets) for words and for each n-gram length; a gram may only start or end with the space. At the
+        places ``fresh`` a text begins, whose first word has no word before it."""
         b = self.table[np.frombuffer(data, np.uint8)]
         space = b == 32
         x = b.astype(np.uint64) + np.uint64(1)
@@ -107,12 +116,25 @@ class Hasher:
         h = (total[last] - total[first - 1]) * self.inverses[first]
         h ^= h >> np.uint64(31)
         yield first, (h * np.uint64(0x94D049BB133111EB)) >> self.shift
-        yield first[1:], (h[1:] == h[:-1]).astype(np.uint64)  # buckets 0 and 1: another word, the same word again
+        # buckets 0 and 1: another word than before, the same word again
+        if fresh and fresh[0] == 0:
+            self.last = self.last[:0]
+        opens = np.zeros(len(first) + 1, bool)
+        opens[np.searchsorted(first, fresh)] = True  # a text without words leaves this to the text after it
+        chain = np.r_[self.last, h]
+        has_before = ~opens[: len(first)]
+        if not len(self.last):
+            has_before[:1] = False
+            chain = np.r_[np.zeros(1, np.uint64), h]
+        same = (chain[1:] == chain[:-1])[has_before]
+        self.last = h[-1:] if len(h) else self.last
+        if len(fresh) and np.searchsorted(first, fresh[-1]) == len(first):
+            self.last = self.last[:0]  # the last text has no word yet
+        yield first[has_before], same.astype(np.uint64)
 
 
 def featurize(settings: Settings):
-    """(label, text) rows to (label, distinct buckets, count of each), as bytes of int32 and uint16 (counts are scaled down
-    where one is larger): what training shares out."""
+    """(label, text) rows to (label, distinct buckets, count of each), as bytes of int32 and uint32: what training shares out."""
     schema = pa.schema([("label", pa.int32()), ("ids", pa.binary()), ("counts", pa.binary())])
 
     def run(batches):
@@ -120,10 +142,10 @@ def featurize(settings: Settings):
         for batch in batches:
             ids, counts = [], []
             for value in batch.column(1):
-                found = [bucket for _, _, data in pieces([value.as_buffer().to_pybytes()]) for _, bucket in hasher(data)]
+                found = [bucket for _, _, fresh, data in pieces([value.as_buffer().to_pybytes()]) for _, bucket in hasher(data, fresh)]
                 unique, count = np.unique(np.concatenate(found), return_counts=True)
                 ids.append(unique.astype(np.int32).tobytes())
-                counts.append(np.ceil(count * min(1, 65535 / count.max(initial=1))).astype(np.uint16).tobytes())
+                counts.append(count.astype(np.uint32).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array(counts, pa.binary())], schema=schema)
 
     return run
@@ -233,7 +255,7 @@ def fitted(positives: int, negatives: int, s: Settings):
         held = list(batches)
         labels = np.concatenate([b.column(0).to_numpy() for b in held]) if held else np.zeros(0, np.int64)
         ids = [np.frombuffer(v.as_buffer(), np.int32) for b in held for v in b.column(1)]
-        counts = [np.frombuffer(v.as_buffer(), np.uint16) for b in held for v in b.column(2)]
+        counts = [np.frombuffer(v.as_buffer(), np.uint32) for b in held for v in b.column(2)]
         # a fixed order, whatever the order of the tasks
         order = np.array(sorted(range(len(ids)), key=lambda i: (labels[i], hashlib.sha256(ids[i].tobytes()).digest())), np.int64)
         model = fit(labels[order].astype(np.int64), [ids[i] for i in order], [counts[i] for i in order], positives, negatives, s)
@@ -255,8 +277,8 @@ def scored(docs: DataFrame, model: Model, name: str, text_col: str = "text") ->
         for batch in batches:
             texts = [v.as_buffer().to_pybytes() if v.is_valid else b"" for v in batch.column(at_text)]
             total, count = np.zeros(len(texts)), np.zeros(len(texts))
-            for owners, starts, data in pieces(texts):
-                for at, bucket in hasher(data):
+            for owners, starts, fresh, data in pieces(texts):
+                for at, bucket in hasher(data, fresh):
                     bounds = np.searchsorted(at, [*starts, len(data)])
                     sums = np.concatenate([[0.0], np.cumsum(w[bucket], dtype=np.float64)])[bounds]
                     np.add.at(total, owners, np.diff(sums))

@@ -1,7 +1,9 @@
 """Toxicity: subword-bag embeddings averaged into a linear softmax, trained jointly (see ``subword``), case folded, so
 that a misspelling never seen shares the vectors of its character n-grams with the word it comes from.
 
-Defined results: a null or empty text gets the prior of the labels; without labels of both classes every text gets it.
+Defined results: a null or empty text gets the prior of the labels; without labels of both classes every text gets it; a
+score equal to the threshold is toxic; rows that repeat are scored alike; very long texts are scored whole; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations

@@ -51,19 +51,68 @@ def test_no_labels_or_no_rows(spark):
     assert kept.columns == d.columns and kept.count() == 1
 
 
-def test_pieces_don_t_change_features():
-    hasher = subword.Hasher(subword.Settings())
-    text = ("uno dos tres " * 50).encode()
-
-    def all_features(limit):
-        found = collections.Counter()
-        for _, _, data in subword.pieces([text], limit):
-            for _, bucket in hasher(data):
-                found.update(bucket.tolist())
-        return found
-
-    whole, cut = all_features(1 << 19), all_features(64)
-    assert {k: v for k, v in whole.items() if k > 1} == {k: v for k, v in cut.items() if k > 1}
+MASK = (1 << 64) - 1
+
+
+def plain_features(text, settings):
+    """Buckets of a text, one after another, in plain Python."""
+    data = b" " + bytes(32 if c in b"\t\n\v\f\r" else c + 32 if settings.lowercase and 65 <= c <= 90 else c for c in text) + b" "
+    shift, found = 64 - settings.bits, []
+    for n in subword.GRAMS:
+        for i in range(len(data) - n + 1):
+            if 32 not in data[i + 1 : i + n - 1]:
+                h = 0
+                for c in data[i : i + n]:
+                    h = (h * subword.PRIME + c + 1) & MASK
+                h ^= h >> 29
+                found.append(((h * (0xBF58476D1CE4E5B9 + 2 * n)) & MASK) >> shift)
+    before = None
+    for word in data.split():
+        h = sum((c + 1) * pow(subword.PRIME, k, 1 << 64) for k, c in enumerate(word)) & MASK
+        h ^= h >> 31
+        found.append(((h * 0x94D049BB133111EB) & MASK) >> shift)
+        if before is not None:
+            found.append(int(h == before))
+        before = h
+    return collections.Counter(found)
+
+
+@pytest.mark.parametrize("limit", [1 << 19, 64, 7, 1])
+def test_features_of_texts_in_pieces(limit):
+    texts = [("uno dos dos tres " * 20).encode(), b"", b" \t", b"x", b"tres", ("\n".join(["AB", "ab", "a" * 90, "a" * 90])).encode(), b"  a  a ", b"a", "ñandú ñandú".encode()]
+    for settings in (subword.Settings(), subword.Settings(lowercase=True, bits=12)):
+        hasher = subword.Hasher(settings)
+        found = [collections.Counter() for _ in texts]
+        for owners, starts, fresh, data in subword.pieces(texts, limit):
+            for at, bucket in hasher(data, fresh):
+                place = np.searchsorted(starts, at, "right") - 1
+                for p, k in zip(place.tolist(), bucket.tolist()):
+                    found[owners[p]][k] += 1
+        assert found == [plain_features(t, settings) for t in texts]
+
+
+@pytest.mark.parametrize("settings", [quality.SETTINGS, toxicity.SETTINGS])
+def test_scores_by_hand(spark, settings):
+    rng = np.random.default_rng(3)
+    model = subword.Model(settings, rng.normal(0, 1, 1 << settings.bits).astype(np.float32), -0.3)
+    texts = ["Uno dos  dos", "", None, "x", "GRITO grito\tgrito", "a" * 700, "ñ 象 😀"] * 3
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    for r in subword.score(d, model).collect():
+        features = plain_features((texts[r["doc_id"]] or "").encode(), settings)
+        mean = sum(float(model.weights[k]) * n for k, n in features.items()) / max(1, sum(features.values()))
+        assert r["score"] == pytest.approx(1 / (1 + np.exp(-(mean + model.bias))), rel=1e-9)
+
+
+def test_training_takes_gradients_of_its_loss():
+    """On texts of one feature each the trained weights order the features as their shares of label 1 do."""
+    s = subword.Settings(bits=6, epochs=20)
+    rng = np.random.default_rng(5)
+    share = {5: 0.02, 9: 0.3, 17: 0.7, 33: 0.98}
+    feature = rng.choice(list(share), 1200)
+    labels = (rng.random(1200) < np.array([share[f] for f in feature])).astype(np.int64)
+    model = subword.fit(labels, [np.array([f], np.int32) for f in feature], [np.array([1], np.uint32)] * 1200, int(labels.sum()), int((labels == 0).sum()), s)
+    got = [1 / (1 + np.exp(-(model.weights[f] + model.bias))) for f in share]
+    assert got == sorted(got) and all(abs(g - p) < 0.12 for g, p in zip(got, share.values()))
 
 
 @pytest.fixture(scope="module")
