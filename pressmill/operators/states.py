@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pressmill.operators import enrich, merge
 from pressmill.operators.reports import long
+from pressmill.sources.archive import html_key
 from pressmill.sources.store import Store
 
 BATCH = "id string, model string, n_requests long, created_at timestamp, collected_at timestamp, n_ok long, n_error long"
@@ -70,7 +71,8 @@ class Enrichments:
 
 
 class Crawl:
-    """Tables ``issues`` (url, published_date, articles) and ``records`` (url, issue_url, status): what has been read."""
+    """Tables ``issues`` (url, published_date, articles), ``records`` (url, status) and ``html`` (key, url, html, read_at), in
+    folders by the first two letters of the key: what has been read."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.store = Store(spark, root)
@@ -92,3 +94,17 @@ class Crawl:
         rows = self.store.read("issues").select(F.explode("articles").alias("article"), F.col("url").alias("issue_url"), F.col("published_date").alias("issue_date"))
         rows = rows.groupBy("article").agg(F.min(F.struct("issue_url", "issue_date")).alias("issue")).select(F.col("article").alias("url"), "issue.issue_url", "issue.issue_date")
         return rows.join(self.store.read("records"), "url", "left_anti") if self.store.has("records") else rows
+
+    def save_html(self, pages: DataFrame, at: Column) -> None:
+        """Keep pages (url, html) as they came, under the hash of their address; a page read again is kept beside."""
+        rows = pages.select(html_key("url").alias("key"), "url", "html", at.cast("timestamp").alias("read_at"))
+        with self.store.change() as change:
+            change.append("html", rows.withColumn("folder", F.substring("key", 1, 2)), by=["folder"])
+
+    def html(self, urls: DataFrame | None = None) -> DataFrame:
+        """(key, url, html) of all addresses, or of some, as last read."""
+        rows = self.store.read("html")
+        if urls is not None:
+            wanted = urls.select(html_key("url").alias("key")).distinct()
+            rows = rows.join(wanted.withColumn("folder", F.substring("key", 1, 2)), ["folder", "key"], "left_semi")
+        return rows.groupBy("key").agg(F.max_by(F.struct("url", "html"), F.struct("read_at", "html")).alias("last")).select("key", "last.url", "last.html")

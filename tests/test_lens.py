@@ -133,3 +133,22 @@ def test_spanish_dates(spark):
     rows = [("Madrid, 3 de Marzo de 2019.",), ("el 31 de DICIEMBRE de 1999",), ("marzo de 2019",), (None,)]
     got = [r[0] for r in spark.createDataFrame(rows, "t string").select(spanish_date(F.col("t"))).collect()]
     assert got == ["2019-03-03", "1999-12-31", None, None]
+
+
+def test_backtest_counts_hits_of_flagged_terms_and_controls(spark):
+    """Terms that stir before the cut: one reaches a title within the horizon, one only after it, one never."""
+    rng, rows = random.Random(9), []
+    stirring = {"grieta honda": 2021, "niebla baja": 2025, "arco roto": None}
+    for year in range(2014, 2026):
+        for k in range(40):
+            body = [f"{rng.choice(GROUND)} {rng.choice(GROUND)}" for _ in range(20)]
+            body += [t for i, t in enumerate(stirring) if 2016 < year <= 2020 and k < 2 * (year - 2015) - i]
+            title = next((t for t, y in stirring.items() if y == year and k == 0), "sin tema")
+            rows.append(Row(id=100 * year + k, published_date=datetime.date(year, 1 + k % 12, 1), title=title, body="; ".join(body), kind="articulo", is_full=True))
+    docs = lens.corpus(spark.createDataFrame(rows))
+    got = lens.backtest(docs, cut="2020", horizon=3).first()
+    flagged = {r["term"] for r in lens.weak_signals(docs, lens.counted(docs), 4, "2020", 25).collect()}
+    reached = {r["term"] for r in docs.where("period between '2021' and '2023'").selectExpr("explode(title_terms) as term").distinct().collect()}
+    assert "grieta honda" in flagged and flagged & set(stirring) == set(stirring)
+    assert (got["cut"], got["flagged_n"], got["flagged_hits"]) == ("2020", len(flagged), len(flagged & reached)) and got["flagged_hits"] >= 1
+    assert got["control_hits"] == 0 and got["beats_control"]

@@ -52,3 +52,13 @@ def test_entry(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_lexemes_are_counted(spark):
+    import re
+
+    from pressmill.functions.stemmer import stem
+
+    rows = spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id % 23 <> 0").select("text").collect()
+    words = {w for r in rows for w in re.findall(r"\w+", (r["text"] or "").lower())}
+    assert tuple(registry.queries()["lexemes"](spark, FOLDER).first()) == (len(set(map(stem, words))), len(words))

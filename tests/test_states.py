@@ -165,6 +165,18 @@ def test_a_crawl_goes_on_where_it_stopped(spark, tmp_path):
     assert {tuple(r) for r in crawl.targets().collect()} == {("b", "i1", "2020-01-01")}
 
 
+def test_pages_are_kept_as_they_came(spark, tmp_path):
+    import hashlib
+
+    crawl = states.Crawl(spark, str(tmp_path / "c"))
+    crawl.save_html(spark.createDataFrame([("u", "<p>á"), ("v", None)], "url string, html string"), F.lit("2024-01-01"))
+    crawl.save_html(spark.createDataFrame([("u", "<p>new")], "url string, html string"), F.lit("2024-01-02"))
+    key = lambda u: hashlib.sha1(u.encode()).hexdigest() + ".html"
+    assert {tuple(r) for r in crawl.html().collect()} == {(key("u"), "u", "<p>new"), (key("v"), "v", None)}
+    assert [r["url"] for r in crawl.html(spark.createDataFrame([("v",), ("w",)], "url string")).collect()] == ["v"]
+    assert crawl.store.read("html").count() == 3
+
+
 def test_requests_carry_the_schema(spark):
     arts = spark.createDataFrame([(7, "T", 'b "q"\n'), (8, None, None)], "id long, title string, body string")
     import json
