@@ -141,7 +141,10 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
     found = sides.select(*key, "side", F.explode_outer("terms").alias("term")).join(words, "term", "left")
     inside, outside = F.when(F.col("known"), F.col("term")), F.when(F.col("known").isNull(), F.col("term"))
     sets = found.groupBy(*key, "side").agg(F.collect_list(inside).alias("inside"), F.collect_list(outside).alias("outside"))
-    kept = F.when(F.size("inside") < FEW_TERMS, F.concat("inside", "outside")).otherwise(F.col("inside"))
+    # a text of few terms of the lexicon is filled up from its others, least hash first: one term more changes one term
+    rank = F.transform("outside", lambda t: F.struct(F.xxhash64(t).alias("h"), t.alias("t")))
+    fill = F.transform(F.slice(F.array_sort(rank), 1, F.greatest(FEW_TERMS - F.size("inside"), F.lit(0))), lambda x: x["t"])
+    kept = F.when(F.size("inside") < FEW_TERMS, F.concat("inside", fill)).otherwise(F.col("inside"))
     sets = sets.select(*key, "side", F.sort_array(kept).alias("found"))
     hashed = subset_hashes(sets)
     pairs = hashed.groupBy(*key).agg(F.max(F.when(F.col("side") == 0, F.col("hashes"))).alias("own"), F.max(F.when(F.col("side") == 1, F.col("hashes"))).alias("edited"))
