@@ -38,7 +38,7 @@ KEYED = rf"(?<![\p{{L}}\p{{N}}]){KEY_NAMES}(?:=[\"']?|\s{{0,2}}[=:]\s{{0,2}}[\"'
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+"
 SECRET = r"(?<![\p{L}\p{N}])(?:[0-9a-fA-F]{32,}+|(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}+|sk-[A-Za-z0-9_-]{20,}+)(?![\p{L}\p{N}])"
 IP = rf"(?<![\p{{N}}.])(?:{OCTET}\.){{3}}{OCTET}(?!\p{{N}}|\.\p{{N}})"
-IBAN = r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?:(?: ?\d{4}){3,6}(?: ?\d{1,4})?|[A-Z0-9]{11,30})(?![\p{L}\p{N}])"
+IBAN = r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?:(?: ?\d{4}){3,6}(?: ?\d{1,4})?|(?: [A-Z]{4})(?: \d{4}){2,6}(?: \d{1,4})?|[A-Z0-9]{11,30})(?![\p{L}\p{N}])"
 IPV6 = r"(?<![\p{L}\p{N}:.])(?=[0-9a-fA-F:]*\d)(?:(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}|(?:[0-9a-fA-F]{1,4}:){1,6}(?::[0-9a-fA-F]{1,4}){1,6})(?![\p{L}\p{N}:])"
 SSN = r"(?<![\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{N}-])"
 CARD = r"(?<![\p{L}\p{N}])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?![\p{L}\p{N}])"
@@ -69,6 +69,13 @@ def luhn(digits: str) -> str:
     return f"pmod(aggregate(sequence(1, length({digits})), 0, (s, i) -> s + if(i % 2 = 1, cast(substring({digits}, -i, 1) as int), pmod(2 * cast(substring({digits}, -i, 1) as int), 10) + cast(floor(2 * cast(substring({digits}, -i, 1) as int) / 10) as int))), 10)"
 
 
+def check_digits(text: str, country: str) -> str:
+    """The two check digits of an account number: 98 less the remainder by 97 of number, country and 00, letters as 10 to 35."""
+    whole = f"concat({text}, {country}, '00')"
+    step = f"if(substring({whole}, i, 1) rlike '[0-9]', pmod(10 * s + ascii(substring({whole}, i, 1)) - 48, 97), pmod(100 * s + ascii(substring({whole}, i, 1)) - 55, 97))"
+    return f"lpad(cast(98 - aggregate(sequence(1, length({whole})), 0, (s, i) -> {step}) as string), 2, '0')"
+
+
 LUHN = luhn("e")
 #: Entity e to its parts: (kind, canonical form); ``people`` are the parts of the names that its text introduces.
 PARTS = rf"""
@@ -129,7 +136,7 @@ case
   when kind = 'secret' and form rlike r'^[0-9a-f]+\z' then array_join(transform(sequence(1, length(form)), i -> lower(hex(pmod(xxhash64(seed, i), 16)))), '') || {longer(97, 6)}
   when kind = 'secret' and not form rlike '[A-Za-z0-9]' then array_join(transform(sequence(1, length(form)), i -> char(65 + pmod(xxhash64(seed, i), 26))), '') || {longer(65)}
   when kind = 'secret' then concat(regexp_extract(form, '^(?:AKIA|ASIA|gh[pousr]_|sk-)', 0), {letters("regexp_replace(form, '^(?:AKIA|ASIA|gh[pousr]_|sk-)', '')", "seed")}, {longer(65)})
-  when kind = 'iban' then concat(substring(form, 1, 2), {letters("substring(form, 3)", "seed")})
+  when kind = 'iban' then transform(array({letters("substring(form, 5)", "seed")}), b -> concat(substring(form, 1, 2), {check_digits("b", "substring(form, 1, 2)")}, b))[0]
   when kind = 'card' and luhn = 0 then concat(substring(plain, 1, length(plain) - 1), cast(pmod(10 - {luhn("concat(substring(plain, 1, length(plain) - 1), '0')")}, 10) as string))
   when kind in ('card', 'ssn', 'phone') then plain
   when kind = 'surname_latin' then {syllables(quoted(LATIN))}
