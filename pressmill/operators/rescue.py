@@ -59,7 +59,7 @@ def sections(fragments: DataFrame, least: int = LEAST_BODY) -> DataFrame:
     pick = lambda kind: F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.struct("seq", "text")))), lambda x: x["text"])
     clean = lambda c: F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "\u00ad", ""), r"(?U)(\w)-\s+(?=[a-záéíóúüñ])", "$1"), "[ \t\u00a0]+", " "), r"(?U)^\s+|\s+\z", "")
     out = inside.groupBy("doc", long("place").alias("place")).agg(
-        F.coalesce(F.max("kicker"), F.lit("")).alias("kicker"), clean(F.array_join(F.transform(pick("titular"), F.trim), " ")).alias("title"), clean(F.array_join(pick("cuerpo"), "")).alias("body")
+        F.coalesce(F.max("kicker"), F.lit("")).alias("kicker"), clean(F.array_join(F.transform(pick("titular"), lambda t: F.trim(t)), " ")).alias("title"), clean(F.array_join(pick("cuerpo"), "")).alias("body")
     )
     return out.where(F.length("body") >= least)
 

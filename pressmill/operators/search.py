@@ -270,4 +270,4 @@ def context(arts: DataFrame) -> DataFrame:
 
 
 def paragraphs(body: str = "body") -> Column:
-    return F.filter(F.transform(F.split(F.coalesce(F.col(body), F.lit("")), "\n\n"), F.trim), lambda p: F.length(p) > 0)
+    return F.filter(F.transform(F.split(F.coalesce(F.col(body), F.lit("")), "\n\n"), lambda p: F.trim(p)), lambda p: F.length(p) > 0)

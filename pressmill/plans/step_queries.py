@@ -142,6 +142,19 @@ def lexemes(spark, d):
     return words.withColumn("stem", stems("word")).agg(long(F.countDistinct("stem")).alias("lexemes"), long(F.count("*")).alias("words"))
 
 
+def sections_many(spark, d):
+    """Texts set as many sections: a title before every four lines that aren't empty, a kicker before every other title, and
+    before every third a second title, which goes with the first."""
+    lines = F.filter(F.split("text", "\n"), lambda t: F.length(t) > 0)
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("doc"), F.posexplode(lines).alias("line", "text")).withColumn("part", F.floor(F.col("line") / 4).cast("int") + 1)
+    piece = lambda kind, text: F.struct(F.lit(kind).alias("kind"), text.alias("text"))
+    n = F.col("part").cast("string")
+    heads = F.when(F.col("line") % 4 == 0, F.concat(F.when(F.col("part") % 2 == 0, F.array(piece("antetitulo", F.concat(F.lit(" K "), n)))).otherwise(F.array().cast("array<struct<kind:string,text:string>>")), F.array(piece("titular", F.concat(F.lit("Parte "), n))), F.when(F.col("part") % 3 == 0, F.array(piece("titular", F.lit(" bis")))).otherwise(F.array().cast("array<struct<kind:string,text:string>>"))))
+    every = F.concat(F.coalesce(heads, F.array().cast("array<struct<kind:string,text:string>>")), F.array(piece("cuerpo", F.col("text"))))
+    fragments = rows.select("doc", "line", F.posexplode(every).alias("k", "f")).select("doc", (F.col("line") * 4 + F.col("k")).alias("seq"), "f.kind", "f.text")
+    return rescue.sections(fragments)
+
+
 TERMS = ["from with", "eine -clown"]
 
 QUERIES = {
@@ -161,6 +174,7 @@ QUERIES = {
     "rescue_parts": rescue_parts,
     "rescue_states": rescue_states,
     "pdf_clean": pdf_clean,
+    "sections_many": sections_many,
     "lexemes": lexemes,
     "tail_counters": lambda spark, d: reports.tail_counters(with_labels(spark, d)),
     "trend_years": lambda spark, d: stored_index(spark, d).years(TERMS),
@@ -222,6 +236,11 @@ SQL = {
     "rescue_parts": f"with {ARTICLES_SQL}, {_parts('text')} select issue_id, id, chars, chars >= 1200 as is_full from better where chars > 400",
     "rescue_states": f"""with {ARTICLES_SQL}, {_parts('case when issue_id % 4 = 0 then substr(text, 1, 1199) else text end')}, n as (select issue_id, count(*) filter (not is_full) as tried from articles where issue_id is not null group by 1), b as (select issue_id, count(*) as better from better where chars > 400 group by 1)
  select u.issue_id, case when length(text) >= 1200 then 'ok' else 'sin-texto' end as status, case when length(text) >= 1200 then tried else 0 end as tried, coalesce(better, 0) as better from u join n using (issue_id) left join b using (issue_id)""",
+    "sections_many": r"""with l as (select doc_id as doc, list_filter(string_split(text, chr(10)), lambda t: length(t) > 0) as ls from documents), e as (select doc, unnest(ls) as t, generate_subscripts(ls, 1) - 1 as line from l),
+ s as (select doc, cast(line // 4 + 1 as bigint) as place, string_agg(t, '' order by line) as b from e group by 1, 2),
+ c as (select doc, place, case when place % 2 = 0 then 'K ' || place else '' end as kicker, 'Parte ' || place || case when place % 3 = 0 then ' bis' else '' end as title,
+  regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(b, chr(173), ''), '([\p{L}\p{N}_])-\s+([a-záéíóúüñ])', '\1\2', 'g'), '([\p{L}\p{N}_])-\s+([a-záéíóúüñ])', '\1\2', 'g'), '[ \t\x{A0}]+', ' ', 'g'), '^\s+|\s+$', '', 'g') as body from s)
+ select doc, place, kicker, title, body from c where length(body) >= 600""",
     "pdf_clean": rf"""with {ARTICLES_SQL}, o as (select id, regexp_replace(replace(replace(replace(body, 'e n', 'e-' || chr(10) || 'n'), chr(13), ''), chr(173), ''), '([\p{{L}}\p{{N}}_])-\n([\p{{L}}\p{{N}}_])', '\1\2', 'g') as t from articles)
  select id, md5(trim(regexp_replace(regexp_replace(replace(regexp_replace(t, '\n{{2,}}', chr(1), 'g'), chr(10), ' '), '[ \t]+', ' ', 'g'), ' ?\x01 ?', chr(10) || chr(10), 'g'), ' ')) as text from o""",
     "tail_counters": f"""with {ARTICLES_SQL}, o as (select id, id % 7 = 0 as late, id % 11 = 0 as early, id % 6 = 0 as other, id % 5 = 0 and id % 6 <> 0 as also from articles)

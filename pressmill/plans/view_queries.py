@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pressmill.functions.stemmer import GU_VERBS, KIND, RESIDUAL, RESIDUAL_E, VERBS, stem
 from pressmill.functions.text import spanish_date
 from pressmill.operators import index, rescue, search, web
 from pressmill.operators.reports import long
@@ -146,8 +147,14 @@ _SECTIONS = r"""sections as (
     regexp_replace(regexp_replace(substr(text, 1, 40), '[ \t\x{A0}]+', ' ', 'g'), '^\s+|\s+$', '', 'g') as title,
     regexp_replace(regexp_replace(replace(text, chr(10), ''), '[ \t\x{A0}]+', ' ', 'g'), '^\s+|\s+$', '', 'g') as body
   from documents)"""
-# the words of the queries, as patterns of all forms that have their stems in these tables
-_FORMS = {"of": "of", "and": "and", "from": "from", "clown": "clown", "por": "por", "with": "with", "eine": "ein(e|er|en)?"}
+def _forms(word: str) -> str:
+    """A pattern of a word's forms: all endings that the stemmer takes off and that leave the word's stem."""
+    endings = {"", *KIND, *VERBS, *GU_VERBS, *RESIDUAL, *RESIDUAL_E}
+    root = stem(word)
+    return "|".join(sorted({w for base in {word, root} for e in endings if stem(w := base + e) == root}))
+
+
+_FORMS = {word: f"(?:{_forms(word)})" for word in ("of", "and", "from", "clown", "por", "with", "eine")}
 _WORDS = r"""words as (select *, [list_transform(regexp_extract_all(lower(coalesce(f, '')), '[\p{L}\p{N}_]+'), lambda w: ' ' || w || ' ') for f in [title, subtitle, body]] as fields from pieces)"""
 
 

@@ -147,3 +147,12 @@ def test_search_results_rank_first(spark):
     assert [r["id"] for r in search.results(arts, "paz", since=2020, pub="weekly").collect()] == [1, 2]
     assert {r["id"]: r["snippet"] for r in search.results(arts, "paz").collect()}[2] == "<mark>paz</mark> y <mark>paz</mark> y <mark>paz</mark>"
     assert {r["id"]: (r["pos"], r["island"]) for r in search.results(arts, "paz", by_rank=False).collect()} == {2: (1, 1), 1: (2, 1), 4: (3, 2)}
+
+
+def test_titles_and_paragraphs_keep_their_digits(spark):
+    body = "x" * 700
+    rows = [("titular", " 10 años de 2010"), ("titular", "11 de 11 "), ("cuerpo", body)]
+    df = spark.createDataFrame([(1, i, k, t) for i, (k, t) in enumerate(rows)], "doc int, seq int, kind string, text string")
+    assert rescue.sections(df).first()["title"] == "10 años de 2010 11 de 11"
+    texts = spark.createDataFrame([("0 a 0\n\n 1 b 1\n\n  \n\n2",)], "body string")
+    assert texts.select(search.paragraphs().alias("p")).first()["p"] == ["0 a 0", "1 b 1", "2"]
