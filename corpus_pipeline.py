@@ -1,7 +1,11 @@
 """Documents to packed training sequences: quality, exact and near copies, private data, packing.
 
 Each stage is a function of (spark, docs, sf_dir). All but the last return the columns of the documents they were given;
-``run`` writes what a stage returns to the shared folder and reads it again for the next.
+``run`` writes what a stage returns to the shared folder and reads it again for the next; what a stage has read is deleted then.
+
+Defined results: columns besides id and text pass through all stages but the last, whatever their names; a null text counts
+as empty and is judged, kept once and packed as such; rows that repeat count as exact copies; very long texts are taken whole
+by each stage; an empty table gives an empty table of packed pieces.
 """
 
 from __future__ import annotations
@@ -10,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressmill.llm import exact_dedup, near_dedup, packing, pii, quality
-from pressmill.llm.common import staged, table
+from pressmill.llm.common import discard, staged, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,11 +53,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, source = table(spark, sf_dir, "documents"), None
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = staged(docs, "stage")
+            before, docs = source, staged(docs, "stage")
+            if before is not None:
+                discard(before)
+            source = docs
     return docs
 
 
