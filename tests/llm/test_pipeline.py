@@ -65,5 +65,24 @@ def test_empty_table(spark, tmp_path):
             break
 
 
+def test_clashing_columns_and_a_very_long_text(spark, tmp_path):
+    tables(spark, tmp_path / "plain")
+    clash = ("score", "label", "kept", "keep_id", "class_id", "members", "surrogate", "_row", "_new", "piece", "length", "sequence_id", "offset", "uid", "salt", "key")
+    docs = spark.read.parquet(f"{tmp_path}/plain/documents.parquet")
+    long = spark.createDataFrame([(7777, "bosque lento " * 60_000 + "fin", "es", "s", 780_003)], docs.schema)
+    docs.unionByName(long).withColumns({c: F.lit("x") for c in clash}).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{tmp_path}/plain/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    one = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        columns = one.columns
+        one = staged(stage(spark, one, str(tmp_path)), "test")
+        assert one.columns == columns and all(r[c] == "x" for r in one.select(*clash).distinct().collect() for c in clash)
+    want = {r["doc_id"] for r in one.select("doc_id").collect()}
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in packed} == want
+    pieces = sorted((r["piece"], r["start"], r["length"]) for r in packed if r["doc_id"] == 7777)
+    assert (not pieces and 7777 not in want) or all(a[1] + a[2] == b[1] for a, b in zip(pieces, pieces[1:]))
+
+
 def test_stages_call_the_operators():
     assert {quality, exact_dedup, near_dedup, pii, packing} <= {v for v in vars(corpus_pipeline).values() if hasattr(v, "__file__")}
