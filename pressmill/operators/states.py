@@ -9,11 +9,18 @@ from pyspark.sql import functions as F
 from pressmill.operators import enrich, merge
 from pressmill.operators.reports import long
 from pressmill.sources.archive import html_key
-from pressmill.sources.store import Store
+from pressmill.sources.store import Store, shared_place
 
 BATCH = "id string, model string, n_requests long, created_at timestamp, collected_at timestamp, n_ok long, n_error long"
 
 
+def kept(rows: DataFrame) -> DataFrame:
+    """``rows`` written to the shared folder, for steps that read them several times."""
+    path = shared_place(rows.sparkSession, "kept")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 class Enrichments:
     """Tables ``articles`` (with enriched_at, enrichment_model), ``entities``, ``quotes`` and ``batches``."""
 
@@ -49,8 +56,8 @@ class Enrichments:
         noted = batches.where((F.col("id") == batch) & F.col("collected_at").isNull()).select("model").first()
         if noted is None:
             return
-        ours = enrich.ours(results)
-        replies = enrich.parsed(ours.where(F.col("status") == "succeeded").select("id", "reply").join(arts.select("id"), "id", "left_semi"))
+        ours = kept(enrich.ours(results))
+        replies = kept(enrich.parsed(ours.where(F.col("status") == "succeeded").select("id", "reply").join(arts.select("id"), "id", "left_semi")))
         good = replies.where("usable")
         quotes = enrich.good_quotes(good, arts).select("id", F.explode("quotes").alias("quote")).distinct()
         tags = good.select("id").join(enrich.enrichment_tags(good), "id", "left").select("id", F.coalesce("tags", F.array().cast("array<string>")).alias("new_tags"))
