@@ -7,7 +7,7 @@ forms of U+FB00 to U+FB06 and U+FF00 to U+FFEF: a character becomes one other, n
 
 from __future__ import annotations
 
-import re
+import json
 import unicodedata
 
 from pyspark.sql import Column
@@ -36,13 +36,24 @@ def tables() -> tuple[str, str, list[tuple[str, str]]]:
     return "".join([*single, *dropped]), "".join(single.values()), [(c, p) for c, p in changed.items() if len(p) > 1]
 
 
+def ranges(characters: str, gap: int = 32) -> str:
+    """A class of characters that holds these and what lies in small gaps between them: few ranges are tested faster."""
+    spans: list[list[int]] = []
+    for c in sorted(map(ord, characters)):
+        if spans and c - spans[-1][1] <= gap:
+            spans[-1][1] = c
+        else:
+            spans.append([c, c])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in spans) + "]"
+
+
 def decomposed(c: Column) -> Column:
-    """NFKD without marks. Characters that become several are looked for first: few texts have any."""
+    """NFKD without marks. Characters that become several are looked for first: few texts have any; ASCII stays as it is."""
     single, becomes, several = tables()
-    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in several])
-    has = c.rlike(f"[{''.join(re.escape(a) for a, _ in several)}]")
+    pairs = F.from_json(F.lit(json.dumps([{"a": a, "b": b} for a, b in several])), "array<struct<a:string,b:string>>")  # one literal
+    has = c.rlike(ranges("".join(a for a, _ in several)))
     spread = F.when(has, F.aggregate(pairs, c, lambda s, x: F.replace(s, x["a"], x["b"]))).otherwise(c)
-    return F.translate(spread, single, becomes)
+    return F.when(c.rlike(r"[^\x00-\x7f]"), F.translate(spread, single, becomes)).otherwise(c)
 
 
 def fold_quote(c: Column) -> Column:

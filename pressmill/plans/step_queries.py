@@ -243,8 +243,10 @@ SQL = {
  select doc, place, kicker, title, body from c where length(body) >= 600""",
     "pdf_clean": rf"""with {ARTICLES_SQL}, o as (select id, regexp_replace(replace(replace(replace(body, 'e n', 'e-' || chr(10) || 'n'), chr(13), ''), chr(173), ''), '([\p{{L}}\p{{N}}_])-\n([\p{{L}}\p{{N}}_])', '\1\2', 'g') as t from articles)
  select id, md5(trim(regexp_replace(regexp_replace(replace(regexp_replace(t, '\n{{2,}}', chr(1), 'g'), chr(10), ' '), '[ \t]+', ' ', 'g'), ' ?\x01 ?', chr(10) || chr(10), 'g'), ' ')) as text from o""",
-    "tail_counters": f"""with {ARTICLES_SQL}, o as (select id, id % 7 = 0 as late, id % 11 = 0 as early, id % 6 = 0 as other, id % 5 = 0 and id % 6 <> 0 as also from articles)
- select * from (select 'cut' as counter, count(*) filter (late and not early) as n from o union all select 'protected', count(*) filter (early) from o union all select 'te puede interesar', count(*) filter (other) from o
+    "tail_counters": f"""with {ARTICLES_SQL}, b as (select id % 6 = 0 as other, id % 5 = 0 and id % 6 <> 0 as also, case when id % 11 = 0 then 'Artículos relacionados. ' else '' end || body || case when id % 6 = 0 then chr(10) || 'Te puede interesar: x' when id % 5 = 0 then chr(10) || 'LEE TAMBIÉN y sigue leyendo' else '' end
+   || case when id % 7 = 0 then chr(10) || 'Artículos relacionados' || chr(10) || 'x' else '' end as body from articles),
+ o as (select other, also, length(body) as n, instr(strip_accents(lower(body)), 'articulos relacionados') as p from b)
+ select * from (select 'cut' as counter, count(*) filter (p > 0 and p - 1 >= 0.5 * n) as n from o union all select 'protected', count(*) filter (p > 0 and p - 1 < 0.5 * n) from o union all select 'te puede interesar', count(*) filter (other) from o
  union all select unnest(['lee tambien', 'sigue leyendo']), (select count(*) filter (also) from o) union all select unnest(['leer mas', 'mas sobre', 'articulos recientes']), 0)""",
     "trend_years": f"""with {ARTICLES_SQL}, {_WORDS}, y as (select unnest(range(min(year(published_date)), max(year(published_date)) + 1)) as year from pieces), q as (select unnest(['from with', 'eine -clown']) as query),
  h as (select year(published_date) as year, {_has('from')} and {_has('with')} as a, {_has('eine')} and not {_has('clown')} as b from words)
