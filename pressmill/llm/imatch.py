@@ -12,8 +12,9 @@ subsets, with a term in either, that have equal hashes.
 equal size, and the first document of a range is also sent to the range before it. The fingerprints are then made in
 that same partitioning, so the texts are shuffled once.
 
-Defined results: null text counts as empty; a text of fewer than 16 terms in the lexicon keeps all its terms, in the band or not;
-so only a text without any term has an empty fingerprint;
+Defined results: null text counts as empty; a text of fewer than 16 terms in the lexicon is filled up to 16 with its other terms;
+in a corpus without a lexicon (no term within the band) a text keeps all its terms; so only a text without any term has an
+empty fingerprint;
 two texts without any term are as like as 1 if equal, else 0; null ids come first; rows with the same id follow each
 other; one document is its own next; an empty table gives an empty table.
 """
@@ -127,8 +128,9 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
     """Fingerprints of each text and of its edited text (its last half replaced by the start of the next document), and how like they and the next document's are."""
     docs = texts(docs, id_col, text_col)
     words = staged(lexicon(docs), "lexicon")
+    size = words.count()
     words = words.withColumn("known", F.lit(True))
-    if words.count() <= BROADCAST_ROWS:
+    if size <= BROADCAST_ROWS:
         words = F.broadcast(words)
     order = Window.partitionBy("range_id").orderBy("helper", "ord", F.xxhash64("text"))
     rows = in_ranges(docs).withColumn("pos", F.row_number().over(order)).withColumn("after", F.lead("text").over(order))
@@ -141,10 +143,11 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
     found = sides.select(*key, "side", F.explode_outer("terms").alias("term")).join(words, "term", "left")
     inside, outside = F.when(F.col("known"), F.col("term")), F.when(F.col("known").isNull(), F.col("term"))
     sets = found.groupBy(*key, "side").agg(F.collect_list(inside).alias("inside"), F.collect_list(outside).alias("outside"))
-    # a text of few terms of the lexicon is filled up from its others, least hash first: one term more changes one term
+    # a text of few terms of the lexicon is filled up from its others, least hash first: one term more changes one term.
+    # Without a lexicon no text, edited or not, is near that line, and 16 of many terms would tell less than all of them
     rank = F.transform("outside", lambda t: F.struct(F.xxhash64(t).alias("h"), t.alias("t")))
     fill = F.transform(F.slice(F.array_sort(rank), 1, F.greatest(FEW_TERMS - F.size("inside"), F.lit(0))), lambda x: x["t"])
-    kept = F.when(F.size("inside") < FEW_TERMS, F.concat("inside", fill)).otherwise(F.col("inside"))
+    kept = F.when(F.size("inside") < FEW_TERMS, F.concat("inside", fill)).otherwise(F.col("inside")) if size else F.col("outside")
     sets = sets.select(*key, "side", F.sort_array(kept).alias("found"))
     hashed = subset_hashes(sets)
     pairs = hashed.groupBy(*key).agg(F.max(F.when(F.col("side") == 0, F.col("hashes"))).alias("own"), F.max(F.when(F.col("side") == 1, F.col("hashes"))).alias("edited"))

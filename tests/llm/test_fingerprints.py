@@ -104,3 +104,11 @@ def test_a_text_at_the_line_is_filled_up_by_one_term(spark):
     rows = [(0, " ".join(known[:15] + rare)), (1, " ".join(known + rare[:3]))] + [(2 + k, " ".join(known)) for k in range(2)] + [(10 + k, f"other{k}") for k in range(20)]
     got = found(spark, rows)
     assert got == brute(rows)
+
+
+def test_without_a_lexicon_all_terms_are_kept(spark):
+    """No term is in two documents: the fingerprint is that of all terms, and half a text left unchanged shows in it."""
+    rows = [(k, " ".join(f"j{k}x{i}" for i in range(40))) for k in range(4)] + [(8, "solo"), (9, "")]
+    got = {r[0]: r for r in found(spark, rows)}
+    assert all(got[i][3] == "".join(f"{x:06x}" for x in hashes(terms(t))) for i, t in rows)
+    assert all(got[k][5] > got[k][6] == 0 for k in range(4))
