@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressmill.llm.common import discard, kept_rows, small_batches, staged, table, texts
+from pressmill.llm.common import discard, kept_rows, shuffled, small_batches, staged, table, texts
 
 SHINGLE = 5
 REGISTERS, BAND = 256, 8
@@ -265,9 +265,9 @@ def components(links: DataFrame, n: int) -> DataFrame:
     labels = staged(edges.groupBy(F.col("a").alias("key")).agg(F.min("b").alias("label")).coalesce(files), "labels")
     while True:
         now = labels.select("key", "label")
-        near = edges.join(now, edges["b"] == now["key"]).groupBy("a").agg(F.min("label").alias("least"), F.min(F.when(F.col("a") == F.col("b"), F.col("label"))).alias("old"))
+        near = edges.join(shuffled(now), edges["b"] == now["key"]).groupBy("a").agg(F.min("label").alias("least"), F.min(F.when(F.col("a") == F.col("b"), F.col("label"))).alias("old"))
         up = now.select(F.col("key").alias("least"), F.col("label").alias("above"))
-        better = staged(near.join(up, "least").select(F.col("a").alias("key"), F.least("least", "above").alias("label"), "old").coalesce(files), "labels")
+        better = staged(near.join(shuffled(up), "least").select(F.col("a").alias("key"), F.least("least", "above").alias("label"), "old").coalesce(files), "labels")
         discard(labels)
         labels = better
         if labels.where(F.col("label") != F.col("old")).isEmpty():
@@ -281,9 +281,9 @@ def united(labels: DataFrame, links: DataFrame, own: bool) -> DataFrame:
     ends = links.select("key", "pivot")
     if not own:
         at_key, at_pivot = labels.select("key", F.col("label").alias("a")), labels.select(F.col("key").alias("pivot"), F.col("label").alias("b"))
-        ends = ends.join(at_key, "key").join(at_pivot, "pivot").select(F.col("a").alias("key"), F.col("b").alias("pivot"))
+        ends = ends.join(shuffled(at_key), "key").join(shuffled(at_pivot), "pivot").select(F.col("a").alias("key"), F.col("b").alias("pivot"))
     roots = components(ends, links.count())
-    new = staged(labels.join(roots.select(F.col("key").alias("label"), F.col("label").alias("root")), "label", "left").select("key", F.coalesce("root", "label").alias("label")), "labels")
+    new = staged(labels.join(shuffled(roots.select(F.col("key").alias("label"), F.col("label").alias("root"))), "label", "left").select("key", F.coalesce("root", "label").alias("label")), "labels")
     discard(labels), discard(roots)
     return new
 
@@ -292,14 +292,13 @@ def meeting(rows: DataFrame) -> DataFrame:
     """(bucket, uid) of the buckets with rows of several uids. A bucket is folded to two numbers before it is shuffled."""
     buckets = rows.where("bands is not null").select(F.explode("bands").alias("bucket"), "uid")
     several = buckets.groupBy("bucket").agg(F.min("uid").alias("low"), F.max("uid").alias("high")).where("low <> high").select("bucket")
-    return buckets.join(several, "bucket")
+    return buckets.join(shuffled(several), "bucket")
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(key, folded, signature) of the texts whose doc_id is wanted; the ids are broadcast if they are few."""
     ids = wanted.select("doc_id").distinct()
-    if ids.limit(FETCHED + 1).count() <= FETCHED:
-        ids = F.broadcast(ids)
+    ids = F.broadcast(ids) if ids.limit(FETCHED + 1).count() <= FETCHED else shuffled(ids)
     asked = docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
     fetched = asked.select("text").mapInArrow(signed, "key binary, folded binary, " + ", ".join(f"{w} long" for w in WORDS))
     return fetched.groupBy("key").agg(F.first(F.struct("folded", *WORDS)).alias("x")).select("key", "x.*")
@@ -310,7 +309,7 @@ def with_pivots(member: DataFrame, step: int, threshold: float) -> DataFrame:
     drawn = [F.min(F.struct(F.xxhash64("key", F.lit(step), F.lit(k)).alias("draw"), "key", "label", *WORDS)) for k in range(DRAWN[step])]
     pivots = member.groupBy("bucket").agg(F.array(*drawn).alias("p"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     pivots = pivots.select("bucket", F.explode("p").alias("p")).select("bucket", "p.*")
-    x, y = member.alias("x"), pivots.alias("y")
+    x, y = member.alias("x"), shuffled(pivots).alias("y")
     pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label")) & alike("x", "y", threshold))
     return pairs.select(F.greatest("x.key", "y.key").alias("key"), F.least("x.key", "y.key").alias("pivot")).distinct()
 
@@ -320,10 +319,10 @@ def with_others(member: DataFrame, threshold: float) -> DataFrame:
     are in and nowhere else."""
     sizes = member.groupBy("bucket", "label").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("classes")).where("classes > 1").select("bucket", "main")
-    member = staged(member.join(largest, "bucket"), "mixed")
+    member = staged(member.join(shuffled(largest), "bucket"), "mixed")
     all_of = member.groupBy("key").agg(F.collect_set("bucket").alias("buckets"))  # a key is in as many buckets as there are bands
-    member = member.join(all_of, "key")
-    x, y = member.where("label <> main").alias("x"), member.alias("y")
+    member = member.join(shuffled(all_of), "key")
+    x, y = member.where("label <> main").alias("x"), shuffled(member).alias("y")
     once = (F.col("y.label") == F.col("y.main")) | (F.col("x.key") < F.col("y.key"))
     first = F.array_min(F.array_intersect("x.buckets", "y.buckets")) == F.col("x.bucket")
     pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label")) & once & alike("x", "y", threshold) & first)
@@ -337,34 +336,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     plain = texts(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("text"))
     rows = staged(plain.mapInArrow(sketch, "uid long, doc_id long, sha binary, key binary, bands array<long>"), "sketches")
     met = staged(meeting(rows), "met")
-    who = staged(rows.select("uid", "doc_id", "key").join(met.select("uid").distinct(), "uid", "left_semi"), "met")
+    who = staged(rows.select("uid", "doc_id", "key").join(shuffled(met.select("uid").distinct()), "uid", "left_semi"), "met")
     held = staged(texts_of(plain, who), "candidate-texts")
-    member = met.join(who.select("uid", "key"), "uid").select("bucket", "key").distinct()
-    member = staged(member.join(held.drop("folded"), "key"), "members")
+    member = met.join(shuffled(who.select("uid", "key")), "uid").select("bucket", "key").distinct()
+    member = staged(member.join(shuffled(held.drop("folded")), "key"), "members")
     discard(met), discard(who)
 
     def verified(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(held.select("key", "folded"), "key").join(held.select(F.col("key").alias("pivot"), F.col("folded").alias("pivot_text")), "pivot")
+        both = pairs.join(shuffled(held.select("key", "folded")), "key").join(shuffled(held.select(F.col("key").alias("pivot"), F.col("folded").alias("pivot_text"))), "pivot")
         return both.select("key", "pivot", "folded", "pivot_text").mapInArrow(verify(threshold), "key binary, pivot binary, similarity double")
 
     labels, own, links, tried = held.select("key", F.col("key").alias("label")), True, [], []
     for step in range(len(DRAWN) + 1):
-        placed = member.withColumn("label", F.col("key")) if own else member.join(labels, "key")
+        placed = member.withColumn("label", F.col("key")) if own else member.join(shuffled(labels), "key")
         pairs = with_pivots(placed, step, threshold) if step < len(DRAWN) else with_others(placed, threshold)
         for before in tried:
-            pairs = pairs.join(before, ["key", "pivot"], "left_anti")
+            pairs = pairs.join(shuffled(before), ["key", "pivot"], "left_anti")
         tried.append(staged(pairs, "candidates"))
         links.append(staged(verified(tried[-1]), "links"))
         if not links[-1].isEmpty():
             labels, own = united(labels, links[-1], own), False
     degree = reduce(DataFrame.union, (found.select(end) for found in links for end in ("key", "pivot"))).groupBy("key").agg(F.count("*").alias("n_links"))
-    named = staged(labels.join(degree, "key"), "classes")  # keys with links
+    named = staged(labels.join(shuffled(degree), "key"), "classes")  # keys with links
     for done in (held, member, labels, *tried, *links):
         discard(done)
-    placed = rows.select("uid", "doc_id", "sha", "key").join(named, "key", "left")
+    placed = rows.select("uid", "doc_id", "sha", "key").join(shuffled(named), "key", "left")
     placed = placed.select("uid", "doc_id", "sha", F.coalesce("label", "key").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     classes = placed.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "sha", "uid")).alias("head"), F.count("*").alias("class_size"))
-    return placed.join(classes, "label").select("doc_id", F.col("head.doc_id").alias("class_id"), "class_size", "n_links", (F.col("uid") == F.col("head.uid")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
+    return placed.join(shuffled(classes), "label").select("doc_id", F.col("head.doc_id").alias("class_id"), "class_size", "n_links", (F.col("uid") == F.col("head.uid")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pressmill.llm.common import free_name, staged, table
+from pressmill.llm.common import free_name, shuffled, staged, table
 
 KEY = "surrogates"
 ROUNDS = 12
@@ -173,7 +173,7 @@ def surrogates(forms: DataFrame, key: str) -> DataFrame:
         made = seeded.select("kind", "form", "attempt", F.expr(SURROGATE).alias("surrogate"))
         taken = forms.select(F.col("kind").alias("k"), F.col("form").alias("f"))
         first = F.row_number().over(Window.partitionBy("kind", "surrogate").orderBy("attempt", "form"))
-        checked = made.withColumn("place", first).join(taken, (F.col("kind") == F.col("k")) & (F.col("surrogate") == F.col("f")), "left")
+        checked = made.withColumn("place", first).join(shuffled(taken), (F.col("kind") == F.col("k")) & (F.col("surrogate") == F.col("f")), "left")
         checked = staged(checked.select("kind", "form", "attempt", "surrogate", ((F.col("place") > 1) | F.col("f").isNotNull()).alias("clash")), "surrogates")
         before, clashes, done = clashes, checked.where("clash").count(), done + 1
         if not clashes:
@@ -205,12 +205,12 @@ def replace_private(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", tex
     mentions = staged(mentions.select("_row", "_at", "e", "_part", F.col("p.kind").alias("kind"), F.col("p.form").alias("form")), "mentions")
     same = mentions.where("kind = 'plain'").select("kind", "form", F.col("form").alias("surrogate")).distinct()
     mapping = surrogates(mentions.where("kind <> 'plain'").select("kind", "form").distinct(), key).unionByName(same)
-    written = mentions.join(mapping, ["kind", "form"]).groupBy("_row", "_at", "e").agg(F.sort_array(F.collect_set(F.struct("_part", "surrogate"))).alias("found"), F.max(F.col("kind") != "plain").alias("private"))
+    written = mentions.join(shuffled(mapping), ["kind", "form"]).groupBy("_row", "_at", "e").agg(F.sort_array(F.collect_set(F.struct("_part", "surrogate"))).alias("found"), F.max(F.col("kind") != "plain").alias("private"))
     written = written.select("_row", "_at", "e", "private", F.expr("transform(found, x -> x.surrogate)").alias("s")).select("_row", "_at", "private", F.when(F.col("private"), F.expr(WRITTEN)).otherwise(F.col("e")).alias("new"))
     per_row = written.groupBy("_row").agg(F.expr("transform(sort_array(collect_list(struct(_at, new))), x -> x.new)").alias(new), F.count_if("private").cast("int").alias(count)).withColumnRenamed("_row", row)
     between = F.when(F.col(pattern) == ENTITY, F.split(text, ENTITY, -1)).otherwise(F.split(text, F.col(pattern), -1))
     rewritten = F.array_join(F.concat(F.transform(F.col(new), lambda one, i: F.concat(F.element_at(between, i + 1), one)), F.array(F.element_at(between, -1))), "")
-    dirty = held.join(per_row, row).select(*[rewritten.alias(c) if c == text_col else F.col(c) for c in names], *([F.col(count).alias(count_col)] if count_col else []))
+    dirty = held.join(shuffled(per_row), row).select(*[rewritten.alias(c) if c == text_col else F.col(c) for c in names], *([F.col(count).alias(count_col)] if count_col else []))
     return clean.unionByName(dirty)
 
 

@@ -86,3 +86,21 @@ def test_clashing_columns_and_a_very_long_text(spark, tmp_path):
 
 def test_stages_call_the_operators():
     assert {quality, exact_dedup, near_dedup, pii, packing} <= {v for v in vars(corpus_pipeline).values() if hasattr(v, "__file__")}
+
+
+def test_growing_tables_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """An exploded array or a well compressed file looks small to Spark, whatever it holds; only ids to fetch, if few, may be sent round."""
+    tables(spark, tmp_path)
+    near = near_dedup.near_duplicates
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    want = sorted(map(str, near(docs).collect()))
+    monkeypatch.setattr(near_dedup, "FETCHED", 0)
+    states = spark._jsparkSession.sharedState().statusStore()
+    before = states.executionsCount()
+    assert sorted(map(str, near(docs).collect())) == want
+    for stage in (corpus_pipeline.without_near_copies, corpus_pipeline.without_private_data, corpus_pipeline.packed):
+        docs = staged(stage(spark, docs, str(tmp_path)), "test")
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    done = states.executionsList()
+    plans = [done.apply(k).physicalPlanDescription() for k in range(before, done.size())]
+    assert any("SortMergeJoin" in p for p in plans) and not [p for p in plans if "BroadcastExchange" in p]
