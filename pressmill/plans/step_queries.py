@@ -92,7 +92,7 @@ def listed_pages(spark, d):
     """The stored pages with a list's links around them: some to the next page in the archive, some elsewhere."""
     next_link = F.when(F.col("page_id") % 4 == 0, "<link rel='next' href='/archivo/2020/page/2/'>").when(F.col("page_id") % 4 == 1, "<div class='nav-links'><a class='next page-numbers' href='../archivo/3'>n</a></div>").when(F.col("page_id") % 4 == 2, "<a rel='next' href='/2023/page/2/'>n</a>").otherwise("")
     number = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("<div class='ctaSubscriptionsTitle'>Número del <b>"), (1 + F.col("page_id") % 28).cast("string"), F.lit(" de mayo</b> de 2021</div><a href='/f/download.php?id="), F.col("page_id").cast("string"), F.lit("'>PDF</a>"))).otherwise("")
-    url = F.concat(F.regexp_replace("url", "[?#].*", ""), F.when(F.col("page_id") % 5 != 0, F.concat(F.lit("/numero-"), F.lpad(F.col("page_id").cast("string"), 4, "0"), F.lit("/"))).otherwise(""))
+    url = F.concat(F.regexp_replace("url", "[?#].*", ""), F.when(F.col("page_id") % 5 != 0, F.format_string("/numero-%04d/", "page_id")).otherwise(""))
     return table(spark, d, "pages").select("page_id", url.alias("url"), F.concat(next_link, F.lit("<h1> </h1>"), number, F.coalesce("html", F.lit(""))).alias("html"))
 
 

@@ -42,6 +42,20 @@ def test_same_rows(spark, duck, name):
     assert got == want
 
 
+@pytest.mark.parametrize("name", ["html_issues", "html_next_pages"])
+def test_pages_of_many_digits(spark, tmp_path, name):
+    """Ids of five digits and more are the numbers of issues whole."""
+    ids = [0, 7, 10, 999, 1000, 9999, 10000, 10001, 10002, 10003, 10004, 123456, 123458, 2000000001]
+    rows = [(i, f"https://www.m.example/es/a/nota-{i}" + "?p=2#x" * (i % 2), "<h1>Nota</h1><p>x</p>") for i in ids]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    df = registry.queries()[name](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    found = con.execute(registry.oracle_sql()[name])
+    columns = [c[0] for c in found.description]
+    assert sorted("|".join(plain(r[c]) for c in columns) for r in df.collect()) == sorted("|".join(map(plain, r)) for r in found.fetchall())
+
+
 def test_every_query_has_a_stable_schema(spark):
     for name in ("search_ranked", "pdf_split", "html_articles", "backtest", "lens_rising_top", "weak_signals"):
         first, second = (registry.queries()[name](spark, FOLDER) for _ in range(2))
